@@ -1,0 +1,201 @@
+"""Registered queries: one per operator, over the whole driver tables of a scale folder.
+
+Each entry of ``QUERIES`` takes (spark, sf_dir) and returns a DataFrame; ``ORACLE`` holds
+the equivalent SQL over the same tables for DuckDB (fixture relations as CTEs). Column
+names and types are aligned on both sides (ints as int/bigint explicitly, doubles rounded
+where a floating sum's order could change the last bits).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recengine.functions.columns import lifecycle_status, parse_cjk_date
+from recengine.operators import analysis, summary, topk
+from recengine.sources.fixture_sql import with_fixtures
+from recengine.sources.fixtures import Catalog
+
+# Parameters of the registered queries (cleaning needs a cutoff that removes rows and a
+# fixed "now" so the status is reproducible).
+AS_OF = dt.datetime(1998, 6, 1)
+AS_OF_SQL = "timestamp '1998-06-01 00:00:00'"
+CUTOFF = "2001-01-01"
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = with_fixtures(sql)
+        return fn
+    return deco
+
+
+def _status_sql(start: str = "start_time_date", end: str = "end_time_date") -> str:
+    t = AS_OF_SQL
+    return (f"case when {start} < {t} and {end} > {t} then '课程进行中' "
+            f"when {end} < {t} then '课程已结束' when {start} > {t} then '课程即将开始' "
+            f"else '未知' end")
+
+
+# --- counts -----------------------------------------------------------------------------
+
+@register("group_count_1", """
+select type, count(*) as type_cnt from course group by type
+""")
+def q_group_count_1(spark, sf):
+    return summary.group_count(Catalog(spark, sf).course(), ["type"], "type_cnt", sort=True)
+
+
+@register("group_count_2", """
+select type, school, count(*) as school_cnt from course group by type, school
+""")
+def q_group_count_2(spark, sf):
+    return summary.group_count(Catalog(spark, sf).course(), ["type", "school"], "school_cnt", sort=True)
+
+
+@register("cardinality_summary", """
+select (select count(*) from (select school from course group by school) t) as school_cnt,
+       (select count(*) from (select name from course group by name) t) as name_cnt,
+       (select count(*) from (select instructor from course group by instructor) t) as instructor_cnt,
+       (select count(*) from (select student_id from student_course group by student_id) t) as student_cnt
+""")
+def q_cardinality_summary(spark, sf):
+    cat = Catalog(spark, sf)
+    course, sc = cat.course(), cat.student_course()
+    return summary.cardinality_summary({
+        "school_cnt": (course, "school"), "name_cnt": (course, "name"),
+        "instructor_cnt": (course, "instructor"), "student_cnt": (sc, "student_id")})
+
+
+@register("stacked_value_counts", f"""
+with c as (select labels, {_status_sql()} as status from course)
+select labels, count(*) as cnt from c group by labels
+union all
+select status as labels, count(*) as cnt from c group by status
+""")
+def q_stacked_value_counts(spark, sf):
+    course = Catalog(spark, sf).course()
+    course = course.withColumn("status", lifecycle_status("start_time_date", "end_time_date", AS_OF))
+    return summary.stacked_value_counts(course, ["labels", "status"], value="labels", name="cnt")
+
+
+# --- rankings ---------------------------------------------------------------------------
+
+def _hot_sql(how: str) -> str:
+    join = "join" if how == "inner" else "left join"
+    parts = []
+    for i, e in enumerate(("name", "school", "instructor"), 1):
+        parts.append(f"""r{i} as (select * from (
+  select type, e, v, row_number() over (partition by type order by v desc nulls last,
+         e asc nulls first, id asc nulls first) as rn
+  from (select id, type, cast({e} as varchar) as e, cast(sum(participants_number) as bigint) as v
+        from course group by id, type, {e}) a) b where rn <= 10)""")
+    return f"""with {', '.join(parts)}
+select r1.type, r1.e as name, r1.v as name_num, r2.e as school, r2.v as school_num,
+       r3.e as instructor, r3.v as instructor_num, cast(r1.rn as int) as rn
+from r1 {join} r2 on r1.type = r2.type and r1.rn = r2.rn
+        {join} r3 on r1.type = r3.type and r1.rn = r3.rn"""
+
+
+@register("hot_by_group", _hot_sql("inner"))
+def q_hot_by_group(spark, sf):
+    return analysis.hot_by_group(Catalog(spark, sf).course(), how="inner")
+
+
+@register("hot_by_group_left", _hot_sql("left"))
+def q_hot_by_group_left(spark, sf):
+    return analysis.hot_by_group(Catalog(spark, sf).course(), how="left")
+
+
+def _month_sql(how: str) -> str:
+    join = "join" if how == "inner" else "left join"
+    parts = []
+    for i, e in enumerate(("name", "instructor", "school"), 1):
+        parts.append(f"""r{i} as (select * from (
+  select y, m, e, v, row_number() over (partition by y, m order by v desc nulls last,
+         e asc nulls first) as rn
+  from (select cast(year(start_time_date) as int) as y, cast(month(start_time_date) as int) as m,
+               cast({e} as varchar) as e, cast(sum(participants_number) as bigint) as v
+        from course group by 1, 2, 3) a) b where rn <= 10)""")
+    rank = ", cast(r1.rn as int) as rn" if how == "inner" else ""
+    on = "r1.y = r{0}.y and r1.m = r{0}.m and r1.rn = r{0}.rn"
+    return f"""with {', '.join(parts)}
+select r1.y as year, r1.m as ymonth, r1.e as name, r1.v as name_pns, r2.e as instructor,
+       r2.v as instructor_pns, r3.e as school, r3.v as school_pns{rank}
+from r1 {join} r2 on {on.format(2)} {join} r3 on {on.format(3)}"""
+
+
+@register("hot_by_month", _month_sql("inner"))
+def q_hot_by_month(spark, sf):
+    return analysis.hot_by_month(Catalog(spark, sf).course(), how="inner", with_rank=True)
+
+
+@register("hot_by_month_left", _month_sql("left"))
+def q_hot_by_month_left(spark, sf):
+    return analysis.hot_by_month(Catalog(spark, sf).course(), how="left", with_rank=False)
+
+
+@register("top_k_per_group", """
+select * from (
+  select school, id, name, participants_number,
+         cast(row_number() over (partition by school order by participants_number desc nulls last,
+                                 id asc nulls first) as int) as rn
+  from course) t where rn <= 5
+""")
+def q_top_k_per_group(spark, sf):
+    c = Catalog(spark, sf).course().select("school", "id", "name", "participants_number")
+    return topk.top_k_per_group(c, ["school"], [F.col("participants_number").desc_nulls_last()], 5,
+                                ties=[F.col("id").asc_nulls_first()])
+
+
+@register("zip_ranked", """
+with a as (select school, cast(name as varchar) as e, cast(sum(participants_number) as bigint) as v
+           from course group by school, name),
+b as (select school, cast(instructor as varchar) as e, cast(sum(participants_number) as bigint) as v
+      from course group by school, instructor),
+ra as (select * from (select *, row_number() over (partition by school order by v desc nulls last,
+                      e asc nulls first) as rn from a) t where rn <= 5),
+rb as (select * from (select *, row_number() over (partition by school order by v desc nulls last,
+                      e asc nulls first) as rn from b) t where rn <= 5)
+select ra.school, ra.e as name, ra.v as name_num, rb.e as instructor, rb.v as instructor_num,
+       cast(ra.rn as int) as rn
+from ra join rb on ra.school = rb.school and ra.rn = rb.rn
+""")
+def q_zip_ranked(spark, sf):
+    c = Catalog(spark, sf).course()
+    ranked = topk.ranked_entities(c, ["school"], ["name", "instructor"], "participants_number", k=5)
+    return topk.zip_ranked(ranked, ["school"], ["name", "instructor"],
+                           value_names=["name_num", "instructor_num"], how="inner")
+
+
+# --- cleaning ---------------------------------------------------------------------------
+
+@register("parse_cjk_date", """
+select src_id,
+       try_cast(replace(replace(replace(start_time, '年', '-'), '月', '-'), '日', '') as date) as start_time_date,
+       try_cast(replace(replace(replace(end_time, '年', '-'), '月', '-'), '日', '') as date) as end_time_date
+from course_infos
+""")
+def q_parse_cjk_date(spark, sf):
+    ci = Catalog(spark, sf).course_infos()
+    return ci.select("src_id", parse_cjk_date("start_time").alias("start_time_date"),
+                     parse_cjk_date("end_time").alias("end_time_date"))
+
+
+@register("lifecycle_status", f"""
+select id, {_status_sql()} as status from course
+""")
+def q_lifecycle_status(spark, sf):
+    c = Catalog(spark, sf).course()
+    return c.select("id", lifecycle_status("start_time_date", "end_time_date", AS_OF).alias("status"))
+
+
+FLAGSHIP = "group_count_1"
