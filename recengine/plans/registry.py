@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recengine.functions.columns import lifecycle_status, parse_cjk_date
-from recengine.operators import analysis, summary, topk
+from recengine.operators import analysis, clean, evaluate, ratings, recommend, similarity, summary, topk
 from recengine.sources.fixture_sql import with_fixtures
 from recengine.sources.fixtures import Catalog
 
@@ -198,4 +198,241 @@ def q_lifecycle_status(spark, sf):
     return c.select("id", lifecycle_status("start_time_date", "end_time_date", AS_OF).alias("status"))
 
 
-FLAGSHIP = "group_count_1"
+
+@register("dedup_keep_first", """
+select src_id, type, link, participants_number, instructor, name, school, labels, start_time,
+       end_time, grading
+from (select *, row_number() over (partition by name, school
+                                   order by participants_number asc nulls first, src_id) as rn
+      from course_infos) t
+where rn = 1
+""")
+def q_dedup_keep_first(spark, sf):
+    ci = Catalog(spark, sf).course_infos()
+    return clean.dedup_keep_first(ci, ["name", "school"], [F.col("participants_number").asc_nulls_first()],
+                                  ties=[F.col("src_id").asc()])
+
+
+@register("assign_row_ids", """
+select cast(row_number() over (order by participants_number asc nulls first, src_id) as bigint) as id,
+       src_id
+from course_infos
+""")
+def q_assign_row_ids(spark, sf):
+    ci = Catalog(spark, sf).course_infos().select("participants_number", "src_id")
+    out = clean.assign_row_ids(ci, [F.col("participants_number").asc_nulls_first(), F.col("src_id").asc()])
+    return out.select("id", "src_id")
+
+
+@register("dense_ids", """
+select student_id, cast(row_number() over (order by student_id) as bigint) as dense_id
+from (select distinct student_id from student_course) t
+""")
+def q_dense_ids(spark, sf):
+    return clean.dense_ids(Catalog(spark, sf).student_course(), "student_id")
+
+
+@register("clean_catalog", f"""
+select cast(row_number() over (order by participants_number asc nulls first, src_id) as bigint) as id,
+       type, link, participants_number, instructor, name, school, labels,
+       start_time, start_time_date, end_time, end_time_date, {_status_sql()} as status, grading, src_id
+from (select type, link, coalesce(participants_number, 0) as participants_number, instructor, name,
+             school, labels, start_time,
+             try_cast(replace(replace(replace(start_time, '年', '-'), '月', '-'), '日', '') as date) as start_time_date,
+             end_time,
+             try_cast(replace(replace(replace(end_time, '年', '-'), '月', '-'), '日', '') as date) as end_time_date,
+             coalesce(grading, 0) as grading, src_id
+      from (select *, row_number() over (partition by name, school
+                                         order by participants_number asc nulls first, src_id) as rn
+            from course_infos
+            where name is not null and instructor is not null
+              and start_time < '{CUTOFF}' and end_time < '{CUTOFF}') a
+      where rn = 1) t
+""")
+def q_clean_catalog(spark, sf):
+    return clean.clean_catalog(Catalog(spark, sf).course_infos(), cutoff=CUTOFF, as_of=AS_OF)
+
+
+# --- ratings and similarity -------------------------------------------------------------
+
+UNIT = ratings.DEFAULT_UNIT
+
+RATINGS_SQL = f"""ratings as (
+  select st.student_id as user_id, st.course_id as item_id,
+         cast({UNIT} + round(coalesce(cast(st.rating as double), 4.0) * {round(0.2 * UNIT)})
+              + round(coalesce(c.grading, 3.0) * {round(0.3 * UNIT)})
+              + case when instr(su.course_type, c.type) > 0 then {round(0.5 * UNIT)} else 0 end
+              + case when instr(su.labels, c.labels) > 0 then {round(0.5 * UNIT)} else 0 end
+              as bigint) as x
+  from student_course st
+  left join course c on c.id = st.course_id
+  left join sys_user su on su.id = st.student_id),
+rated as (select user_id, item_id, cast(x as double) / {UNIT} as rating, x,
+                 cast(floor(x / {UNIT}) as bigint) as xt from ratings)"""
+
+
+def _cosine_sql(entity: str, by: str, value: str, k: int, name: str) -> str:
+    nb = similarity.neighbor_column(entity)
+    return f"""{name}_n as (select {entity}, sum({value} * {value}) as n2 from rated group by {entity}),
+{name}_d as (select a.{entity}, b.{entity} as {nb}, sum(a.{value} * b.{value}) as dot
+      from rated a join rated b on a.{by} = b.{by} and a.{entity} <> b.{entity}
+      group by a.{entity}, b.{entity}),
+{name}_c as (select d.{entity}, d.{nb}, cast(d.dot as double) / (sqrt(p.n2) * sqrt(q.n2)) as cos
+      from {name}_d d join {name}_n p on d.{entity} = p.{entity} join {name}_n q on d.{nb} = q.{entity}),
+{name} as (select {entity}, {nb}, cos, cast(rk as int) as rank
+      from (select *, row_number() over (partition by {entity} order by cos desc, {nb}) as rk
+            from {name}_c) t where rk <= {k})"""
+
+
+def _ratings(spark, sf, persist=True):
+    cat = Catalog(spark, sf)
+    r = ratings.composite_rating(cat.student_course(), cat.course(), cat.sys_user(), unit=UNIT)
+    return r.persist() if persist else r
+
+
+@register("composite_rating", f"""
+with {RATINGS_SQL}
+select user_id, item_id, rating, x from rated
+""")
+def q_composite_rating(spark, sf):
+    return _ratings(spark, sf, persist=False)
+
+
+@register("rating_profile", f"""
+with {RATINGS_SQL}
+select count(*) as n_ratings,
+       (select count(*) from (select user_id from rated group by user_id) t) as n_users,
+       (select count(*) from (select item_id from rated group by item_id) t) as n_items
+from rated
+""")
+def q_rating_profile(spark, sf):
+    return summary.rating_profile(_ratings(spark, sf, persist=False))
+
+
+@register("item_cosine", f"""
+with {RATINGS_SQL}, {_cosine_sql("item_id", "user_id", "x", 12, "nbr")}
+select * from nbr
+""")
+def q_item_cosine(spark, sf):
+    return similarity.cosine_neighbors(_ratings(spark, sf), entity="item_id", by="user_id", value="x", k=12)
+
+
+@register("user_cosine", f"""
+with {RATINGS_SQL}, {_cosine_sql("user_id", "item_id", "xt", 12, "nbr")}
+select * from nbr
+""")
+def q_user_cosine(spark, sf):
+    r = recommend.truncated(_ratings(spark, sf), "x", UNIT)
+    return similarity.cosine_neighbors(r, entity="user_id", by="item_id", value="xt", k=12)
+
+
+@register("neighbor_lists", f"""
+with {RATINGS_SQL}, {_cosine_sql("item_id", "user_id", "x", 12, "nbr")}
+select item_id, list(item_v order by rank) as neighbors, list(cos order by rank) as cosines
+from nbr group by item_id
+""")
+def q_neighbor_lists(spark, sf):
+    nb = similarity.cosine_neighbors(_ratings(spark, sf), entity="item_id", by="user_id", value="x", k=12)
+    return similarity.neighbor_lists(nb, entity="item_id", neighbor="item_v")
+
+
+# --- recommendations --------------------------------------------------------------------
+
+@register("item_cf_recommend", f"""
+with {RATINGS_SQL}, {_cosine_sql("item_id", "user_id", "x", 12, "nbr")},
+s as (select r.user_id, k.item_v as course_id, sum(k.cos * r.x / {UNIT}.0) as score
+      from rated r join nbr k on r.item_id = k.item_id
+      where not exists (select 1 from rated h where h.user_id = r.user_id and h.item_id = k.item_v)
+      group by r.user_id, k.item_v)
+select user_id, course_id, cast(ranking as int) as ranking
+from (select *, row_number() over (partition by user_id order by round(score, 9) desc, course_id) as ranking
+      from s) t where ranking <= 12
+""")
+def q_item_cf_recommend(spark, sf):
+    return recommend.item_cf_recommend(_ratings(spark, sf), k_neighbors=12, n=12, unit=UNIT)
+
+
+@register("user_cf_recommend", f"""
+with {RATINGS_SQL}, {_cosine_sql("user_id", "item_id", "xt", 12, "nbr")},
+s as (select k.user_id, r.item_id as course_id, avg(k.cos * r.x / {UNIT}.0) as score
+      from nbr k join rated r on k.user_v = r.user_id
+      where not exists (select 1 from rated h where h.user_id = k.user_id and h.item_id = r.item_id)
+      group by k.user_id, r.item_id)
+select user_id, course_id, cast(ranking as int) as ranking
+from (select *, row_number() over (partition by user_id order by round(score, 9) desc, course_id) as ranking
+      from s) t where ranking <= 12
+""")
+def q_user_cf_recommend(spark, sf):
+    return recommend.user_cf_recommend(_ratings(spark, sf), k_neighbors=12, n=12, unit=UNIT)
+
+
+# --- errors -----------------------------------------------------------------------------
+
+@register("rmse_join", f"""
+with {RATINGS_SQL},
+rec as (select student_id as user_id, course_id as hourse_id, rating from student_course
+        where rating is not null),
+www as (select user_id, item_id as hourse_id, rating as zonhe from rated)
+select count(*) as n, round(sqrt(avg((cast(rec.rating as double) - www.zonhe) * (cast(rec.rating as double) - www.zonhe))), 9) as rmse
+from rec join www on rec.user_id = www.user_id and rec.hourse_id = www.hourse_id
+""")
+def q_rmse_join(spark, sf):
+    cat = Catalog(spark, sf)
+    rec = (cat.student_course().where(F.col("rating").isNotNull())
+           .select(F.col("student_id").alias("user_id"), F.col("course_id").alias("hourse_id"), "rating"))
+    www = _ratings(spark, sf, persist=False).select(
+        "user_id", F.col("item_id").alias("hourse_id"), F.col("rating").alias("zonhe"))
+    out = evaluate.rmse_of(rec, www, ["user_id", "hourse_id"], "rating", "zonhe")
+    return out.select("n", F.round("rmse", 9).alias("rmse"))
+
+
+ITEM_PRED_SQL = f"""{RATINGS_SQL}, {_cosine_sql("item_id", "user_id", "x", 5, "nbr")},
+s as (select item_id, sum(cos) as c from nbr group by item_id),
+pred as (select r.user_id, r.item_id, r.rating, sum(r.rating * s.c) as prediction
+         from rated r join s on r.item_id = s.item_id group by r.user_id, r.item_id, r.rating)"""
+
+USER_PRED_SQL = f"""{RATINGS_SQL}, {_cosine_sql("user_id", "item_id", "xt", 29, "nbr")},
+cand as (select k.user_id, r.item_id, sum(k.cos * r.rating) as p
+         from nbr k join rated r on r.user_id = k.user_v group by k.user_id, r.item_id),
+pred as (select r.user_id, r.item_id, r.rating, sum(c.p) as prediction
+         from rated r join cand c on r.user_id = c.user_id and r.item_id = c.item_id
+         group by r.user_id, r.item_id, r.rating)"""
+
+
+@register("item_cf_predictions", f"""
+with {ITEM_PRED_SQL}
+select user_id, item_id, rating, round(prediction, 9) as prediction from pred
+""")
+def q_item_cf_predictions(spark, sf):
+    p = evaluate.item_cf_predictions(_ratings(spark, sf), k=5)
+    return p.select("user_id", "item_id", "rating", F.round("prediction", 9).alias("prediction"))
+
+
+@register("item_cf_rmse", f"""
+with {ITEM_PRED_SQL}
+select count(*) as n, round(sqrt(avg((rating - prediction) * (rating - prediction))), 9) as rmse from pred
+""")
+def q_item_cf_rmse(spark, sf):
+    out = evaluate.item_cf_rmse(_ratings(spark, sf), k=5)
+    return out.select("n", F.round("rmse", 9).alias("rmse"))
+
+
+@register("user_cf_predictions", f"""
+with {USER_PRED_SQL}
+select user_id, item_id, rating, round(prediction, 9) as prediction from pred
+""")
+def q_user_cf_predictions(spark, sf):
+    p = evaluate.user_cf_predictions(_ratings(spark, sf), k=29, unit=UNIT)
+    return p.select("user_id", "item_id", "rating", F.round("prediction", 9).alias("prediction"))
+
+
+@register("user_cf_rmse", f"""
+with {USER_PRED_SQL}
+select count(*) as n, round(sqrt(avg((rating - prediction) * (rating - prediction))), 9) as rmse from pred
+""")
+def q_user_cf_rmse(spark, sf):
+    out = evaluate.user_cf_rmse(_ratings(spark, sf), k=29, unit=UNIT)
+    return out.select("n", F.round("rmse", 9).alias("rmse"))
+
+
+FLAGSHIP = "item_cf_recommend"
