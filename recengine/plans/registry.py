@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recengine.functions.columns import lifecycle_status, parse_cjk_date
-from recengine.operators import analysis, clean, evaluate, ratings, recommend, similarity, summary, topk
+from recengine.operators import als, analysis, clean, evaluate, ratings, recommend, similarity, summary, topk
 from recengine.sources.fixture_sql import with_fixtures
 from recengine.sources.fixtures import Catalog
 
@@ -435,4 +435,29 @@ def q_user_cf_rmse(spark, sf):
     return out.select("n", F.round("rmse", 9).alias("rmse"))
 
 
+# --- matrix factorisation (iterative: no SQL form, rows-only checks) ---------------------
+
+@register("split_by_hash")
+def q_split_by_hash(spark, sf):
+    r = _ratings(spark, sf, persist=False)
+    train, test = als.split_by_hash(r, ["user_id", "item_id"], 0.7, seed=42)
+    return (train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+            .select("user_id", "item_id", "rating", "split"))
+
+
+@register("als_recommend")
+def q_als_recommend(spark, sf):
+    return als.als_recommend(_ratings(spark, sf), n=50, reg=0.1, iters=10, seed=42)
+
+
+@register("als_grid_search")
+def q_als_grid_search(spark, sf):
+    return als.als_grid_search(_ratings(spark, sf), regs=(0.1, 0.01, 0.001), seed=42)
+
+
+@register("als_rmse")
+def q_als_rmse(spark, sf):
+    return als.als_rmse(_ratings(spark, sf), reg=0.1, seed=42)
+
+
 FLAGSHIP = "item_cf_recommend"
