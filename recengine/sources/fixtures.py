@@ -22,10 +22,16 @@ def _s(c: Column) -> Column:
 def student_course(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Interactions (student_id, course_id, rating int?): one row per (customer, part)."""
     lo = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-    return (lo.groupBy(F.col("o_custkey").alias("student_id"), F.col("l_partkey").alias("course_id"))
-            .agg(F.when(F.max("l_returnflag") == "N", F.lit(None))
-                  .otherwise(F.ceil(F.max("l_quantity") / 10.0).cast("int"))
-                  .cast("int").alias("rating")))
+    flag = F.col("l_returnflag")
+    # max(flag) = 'N' <=> some flag is 'N' and none sorts above it; boolean aggregates keep
+    # this a hash aggregation (a string max would force a sort-based one)
+    agg = (lo.groupBy(F.col("o_custkey").alias("student_id"), F.col("l_partkey").alias("course_id"))
+           .agg(F.max(flag == "N").alias("_has_n"), F.max(flag > "N").alias("_above_n"),
+                F.max("l_quantity").alias("_q")))
+    max_is_n = F.col("_has_n") & ~F.col("_above_n")
+    return agg.select("student_id", "course_id",
+                      F.when(max_is_n, F.lit(None)).otherwise(F.ceil(F.col("_q") / 10.0))
+                      .cast("int").alias("rating"))
 
 
 def course_infos(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
