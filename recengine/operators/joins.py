@@ -1,0 +1,46 @@
+"""Equi-join of a large fact side with a per-key-bounded side, salted on hot keys.
+
+In the recommenders, ratings (large, possibly a third of them on one item or one user) are
+joined with neighbour lists (at most k rows per key). A plain shuffle join would put a hot
+key's rows in one task. Here keys with more than T rows on the large side are split: each
+large-side row of a hot key gets a deterministic salt in [0, s) from a hash of its other
+columns, and the small side's rows of that key are replicated s times (at most k * s rows
+per hot key). Cold keys join as usual (salt 0). The hot-key table is bounded (see
+``hot_key_blocks``) and broadcast.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from recengine.operators.similarity import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, hot_key_blocks
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, *, salt_cols: Sequence[str] | None = None,
+                how: str = "inner", hot_rows: int = DEFAULT_HOT_ROWS,
+                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+    """``big.join(small, key, how)`` with hot keys of ``big`` spread over several tasks.
+
+    ``salt_cols`` (default: the other columns of ``big``) give each big-side row its salt;
+    they should vary within a hot key (e.g. the user id when joining on the item id).
+    Runs one count and one degree aggregation of ``big`` (persist it if it is expensive).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    hot = hot_key_blocks(big.select(F.col(key).alias("_hk")), "_hk", hot_rows=hot_rows,
+                         max_hot_keys=max_hot_keys)
+    if hot.isEmpty():
+        return big.join(small, key, how)
+    hot = F.broadcast(hot.withColumnRenamed("_hk", key))
+    cols = list(salt_cols) if salt_cols else [c for c in big.columns if c != key]
+    b = (big.join(hot, key, "left")
+         .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
+                     .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_s"))).cast("int"))
+         .drop("_s"))
+    s = (small.join(hot, key, "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s"), F.lit(1)) - 1)))
+         .drop("_s"))
+    return b.join(s, [key, "_salt"], how).drop("_salt")

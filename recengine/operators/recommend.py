@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recengine.operators.joins import salted_join
 from recengine.operators.ratings import DEFAULT_UNIT
 from recengine.operators.similarity import (DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS,
                                             cosine_neighbors)
@@ -45,7 +46,8 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
         hot_rows=hot_rows, max_hot_keys=max_hot_keys)
     if neighbors is not None:
         nb = nb.select(item, F.col(nb.columns[1]).alias("_nb"), "cos")
-    cand = (r.select(user, item, value).join(nb.select(item, "_nb", "cos"), item)
+    cand = (salted_join(r.select(user, item, value), nb.select(item, "_nb", "cos"), item,
+                        salt_cols=[user], hot_rows=hot_rows, max_hot_keys=max_hot_keys)
             .select(user, F.col("_nb").alias(out_item),
                     (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     scores = cand.groupBy(user, out_item).agg(F.sum("_s").alias("score"))
@@ -71,7 +73,8 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     if neighbors is not None:
         nb = nb.select(user, F.col(nb.columns[1]).alias("_nb"), "cos")
     theirs = r.select(F.col(user).alias("_nb"), F.col(item).alias(out_item), value)
-    cand = (nb.select(user, "_nb", "cos").join(theirs, "_nb")
+    cand = (salted_join(theirs, nb.select(user, "_nb", "cos"), "_nb", salt_cols=[out_item],
+                        hot_rows=hot_rows, max_hot_keys=max_hot_keys)
             .select(user, out_item, (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     scores = cand.groupBy(user, out_item).agg(F.avg("_s").alias("score"))
     taken = r.select(user, F.col(item).alias(out_item))

@@ -284,10 +284,26 @@ def _cosine_sql(entity: str, by: str, value: str, k: int, name: str) -> str:
             from {name}_c) t where rk <= {k})"""
 
 
+_RATINGS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _ratings(spark, sf, persist=True):
+    """The composite ratings of ``sf``; persisted once per session and shared by the CF
+    queries (re-persisted if the cache was cleared)."""
+    if persist:
+        key = (id(spark), sf)
+        r = _RATINGS.get(key)
+        if r is not None:
+            lvl = r.storageLevel
+            if not (lvl.useMemory or lvl.useDisk):
+                r.persist()
+            return r
     cat = Catalog(spark, sf)
     r = ratings.composite_rating(cat.student_course(), cat.course(), cat.sys_user(), unit=UNIT)
-    return r.persist() if persist else r
+    if persist:
+        r = r.persist()
+        _RATINGS[(id(spark), sf)] = r
+    return r
 
 
 @register("composite_rating", f"""

@@ -191,3 +191,34 @@ def test_als_planted_low_rank(spark):
     recs = als.als_recommend(r, n=5, rank=4, iters=5, seed=3).collect()
     taken = {(u, i) for u, i, _ in rows}
     assert recs and all((x.user_id, x.course_id) not in taken for x in recs)
+
+
+def test_salted_join_equals_plain_join(spark):
+    from recengine.operators.joins import salted_join
+    big = spark.createDataFrame([(u, i % 3) for u in range(60) for i in range(u % 5 + 1)] + [(u, 0) for u in range(200)],
+                                "u bigint, k bigint")
+    small = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c"), (7, "z")], "k bigint, v string")
+    for how in ("inner", "left"):
+        plain = sorted(map(tuple, big.join(small, "k", how).select("u", "k", "v").collect()), key=str)
+        salted = sorted(map(tuple, salted_join(big, small, "k", how=how, hot_rows=10)
+                            .select("u", "k", "v").collect()), key=str)
+        assert plain == salted
+
+
+@pytest.mark.parametrize("fn", ["item_cf_recommend", "user_cf_recommend"])
+def test_recommenders_unchanged_by_hot_splitting(spark, fn):
+    rows = _random_ratings(8)
+    r = _ratings_df(spark, rows)
+    f = getattr(recommend, fn)
+    a = sorted(map(tuple, f(r, k_neighbors=4, n=5, hot_rows=3).collect()))
+    b = sorted(map(tuple, f(r, k_neighbors=4, n=5).collect()))
+    assert a == b and a
+
+
+def test_predictions_unchanged_by_hot_splitting(spark):
+    rows = _random_ratings(9)
+    r = _ratings_df(spark, rows)
+    for f in (evaluate.item_cf_predictions, evaluate.user_cf_predictions):
+        a = {(x[0], x[1]): x[3] for x in f(r, k=4, hot_rows=3).collect()}
+        b = {(x[0], x[1]): x[3] for x in f(r, k=4).collect()}
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
