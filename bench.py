@@ -29,8 +29,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
-                          app="recengine-bench", driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "32")),
+                          app="recengine-bench", driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                          advisory_partition_size=os.environ.get("BENCH_ADVISORY_PARTITION_SIZE", "16m"))
     # warm-up: JVM, parquet footers, codegen caches
     QUERIES["group_count_1"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

@@ -16,25 +16,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recengine.operators.similarity import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, hot_key_blocks
+from recengine.operators.similarity import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, find_hot_keys
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, *, salt_cols: Sequence[str] | None = None,
-                how: str = "inner", hot_rows: int = DEFAULT_HOT_ROWS,
-                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+                how: str = "inner", hot: DataFrame | None | str = "auto",
+                hot_rows: int = DEFAULT_HOT_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys of ``big`` spread over several tasks.
 
     ``salt_cols`` (default: the other columns of ``big``) give each big-side row its salt;
     they should vary within a hot key (e.g. the user id when joining on the item id).
-    Runs one count and one degree aggregation of ``big`` (persist it if it is expensive).
+    ``hot`` is the hot-key table (key, _s) from ``find_hot_keys`` (None: no hot keys); with
+    "auto" it is computed here (one count and one degree aggregation of ``big``).
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = hot_key_blocks(big.select(F.col(key).alias("_hk")), "_hk", hot_rows=hot_rows,
-                         max_hot_keys=max_hot_keys)
-    if hot.isEmpty():
+    if isinstance(hot, str):
+        hot = find_hot_keys(big, key, hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+    if hot is None:
         return big.join(small, key, how)
-    hot = F.broadcast(hot.withColumnRenamed("_hk", key))
+    hot = F.broadcast(hot)
     cols = list(salt_cols) if salt_cols else [c for c in big.columns if c != key]
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from recengine.operators.joins import salted_join
 from recengine.operators.ratings import DEFAULT_UNIT
 from recengine.operators.similarity import (DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS,
-                                            cosine_neighbors)
+                                            cosine_neighbors, find_hot_keys)
 from recengine.operators.topk import top_k_per_group
 
 SCORE_DIGITS = 9  # scores are ranked after rounding, so float summation order cannot reorder them
@@ -41,13 +41,16 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
 
     Items u already has are excluded. Output: (user, out_item, ranking).
     """
+    total = r.count()
+    hot_items = find_hot_keys(r, item, hot_rows=hot_rows, max_hot_keys=max_hot_keys, total=total)
     nb = neighbors if neighbors is not None else cosine_neighbors(
         r, entity=item, by=user, value=value, k=k_neighbors, neighbor="_nb",
-        hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+        hot_rows=hot_rows, max_hot_keys=max_hot_keys, hot_entity=hot_items,
+        hot_by=find_hot_keys(r, user, hot_rows=hot_rows, max_hot_keys=max_hot_keys, total=total))
     if neighbors is not None:
         nb = nb.select(item, F.col(nb.columns[1]).alias("_nb"), "cos")
     cand = (salted_join(r.select(user, item, value), nb.select(item, "_nb", "cos"), item,
-                        salt_cols=[user], hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+                        salt_cols=[user], hot=hot_items)
             .select(user, F.col("_nb").alias(out_item),
                     (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     scores = cand.groupBy(user, out_item).agg(F.sum("_s").alias("score"))
@@ -67,14 +70,17 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     The user similarity uses ratings truncated to whole numbers; the scores use the full
     ratings. Items u already has are excluded. Output: (user, out_item, ranking).
     """
+    total = r.count()
+    hot_users = find_hot_keys(r, user, hot_rows=hot_rows, max_hot_keys=max_hot_keys, total=total)
     nb = neighbors if neighbors is not None else cosine_neighbors(
         truncated(r, value, unit), entity=user, by=item, value="xt", k=k_neighbors, neighbor="_nb",
-        hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+        hot_rows=hot_rows, max_hot_keys=max_hot_keys, hot_entity=hot_users,
+        hot_by=find_hot_keys(r, item, hot_rows=hot_rows, max_hot_keys=max_hot_keys, total=total))
     if neighbors is not None:
         nb = nb.select(user, F.col(nb.columns[1]).alias("_nb"), "cos")
     theirs = r.select(F.col(user).alias("_nb"), F.col(item).alias(out_item), value)
     cand = (salted_join(theirs, nb.select(user, "_nb", "cos"), "_nb", salt_cols=[out_item],
-                        hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+                        hot=None if hot_users is None else hot_users.withColumnRenamed(user, "_nb"))
             .select(user, out_item, (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     scores = cand.groupBy(user, out_item).agg(F.avg("_s").alias("score"))
     taken = r.select(user, F.col(item).alias(out_item))

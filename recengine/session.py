@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "recengine", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "recengine", driver_memory: str = "8g",
+                  advisory_partition_size: str = "64m") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_size)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
