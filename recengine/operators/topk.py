@@ -66,10 +66,14 @@ def zip_ranked(ranked: DataFrame, group: Sequence[str], entities: Sequence[str],
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    slots = [F.max(F.when(F.col("_kind") == i, F.struct(F.col("_entity").alias("e"),
-                                                          F.col("_value").alias("v"))))
-             .alias(f"_z{i}") for i in range(len(entities))]
-    z = ranked.groupBy(*group, rank).agg(*slots)
+    # one element per kind at most: a bounded list, aggregated by hash
+    z = ranked.groupBy(*group, rank).agg(F.collect_list(F.struct(
+        F.col("_kind").alias("k"), F.col("_entity").alias("e"), F.col("_value").alias("v"))).alias("_l"))
+    def of_kind(i):
+        return lambda x: x["k"] == F.lit(i)
+
+    z = z.select(*group, rank, *[F.get(F.filter("_l", of_kind(i)), 0).alias(f"_z{i}")
+                                 for i in range(len(entities))])
     keys_ok = F.lit(True)
     for g in group:
         keys_ok = keys_ok & F.col(g).isNotNull()
