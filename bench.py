@@ -31,7 +31,7 @@ def main() -> None:
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "32")),
                           app="recengine-bench", driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-                          advisory_partition_size=os.environ.get("BENCH_ADVISORY_PARTITION_SIZE", "16m"))
+                          advisory_partition_size=os.environ.get("BENCH_ADVISORY_PARTITION_SIZE", "4m"))
     # warm-up: JVM, parquet footers, codegen caches
     QUERIES["group_count_1"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
