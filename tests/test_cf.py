@@ -222,3 +222,15 @@ def test_predictions_unchanged_by_hot_splitting(spark):
         a = {(x[0], x[1]): x[3] for x in f(r, k=4, hot_rows=3).collect()}
         b = {(x[0], x[1]): x[3] for x in f(r, k=4).collect()}
         assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_find_hot_keys_many_matches_single(spark):
+    rows = _random_ratings(10)
+    r = spark.createDataFrame(rows, "user_id bigint, item_id bigint, x bigint")
+    many = similarity.find_hot_keys_many(r, ["user_id", "item_id"], hot_rows=5)
+    for k in ("user_id", "item_id"):
+        one = similarity.find_hot_keys(r, k, hot_rows=5)
+        got = sorted(map(tuple, many[k].collect())) if many[k] is not None else []
+        want = sorted(map(tuple, one.collect())) if one is not None else []
+        assert got == want
+    assert (999, 6) in sorted(map(tuple, many["user_id"].collect()))
