@@ -284,14 +284,14 @@ def _cosine_sql(entity: str, by: str, value: str, k: int, name: str) -> str:
             from {name}_c) t where rk <= {k})"""
 
 
-_RATINGS: dict[tuple[int, str], DataFrame] = {}
+_RATINGS: dict[tuple[str, str], DataFrame] = {}
 
 
 def _ratings(spark, sf, persist=True):
     """The composite ratings of ``sf``; persisted once per session and shared by the CF
     queries (re-persisted if the cache was cleared)."""
     if persist:
-        key = (id(spark), sf)
+        key = (spark.sparkContext.applicationId, sf)
         r = _RATINGS.get(key)
         if r is not None:
             lvl = r.storageLevel
@@ -302,7 +302,7 @@ def _ratings(spark, sf, persist=True):
     r = ratings.composite_rating(cat.student_course(), cat.course(), cat.sys_user(), unit=UNIT)
     if persist:
         r = r.persist()
-        _RATINGS[(id(spark), sf)] = r
+        _RATINGS[(spark.sparkContext.applicationId, sf)] = r
     return r
 
 

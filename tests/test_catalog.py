@@ -116,3 +116,8 @@ def test_hot_by_group_left_vs_inner(spark):
     assert (a1.name, a1.name_num, a1.school, a1.instructor) == ("n1", 10, "s1", "i1")
     # the SQL-style and DataFrame-style forms agree on the rows both keep
     assert sorted(tuple(r) for r in inner) == sorted(tuple(r) for r in left if r.type is not None)
+
+
+def test_assign_row_ids_empty(spark):
+    df = spark.createDataFrame([], "m int, k int")
+    assert clean.assign_row_ids(df, ["m", "k"]).count() == 0

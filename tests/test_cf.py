@@ -234,3 +234,21 @@ def test_find_hot_keys_many_matches_single(spark):
         want = sorted(map(tuple, one.collect())) if one is not None else []
         assert got == want
     assert (999, 6) in sorted(map(tuple, many["user_id"].collect()))
+
+
+def test_empty_inputs(spark):
+    r = spark.createDataFrame([], "user_id bigint, item_id bigint, rating double, x bigint")
+    assert similarity.cosine_neighbors(r, k=3).count() == 0
+    assert recommend.item_cf_recommend(r).count() == 0
+    assert recommend.user_cf_recommend(r).count() == 0
+    assert evaluate.item_cf_rmse(r).first().n == 0
+    assert evaluate.user_cf_rmse(r).first().n == 0
+
+
+def test_single_rater_item_and_one_item_user(spark):
+    # item 3 has one rater, user 9 has one item: no pair, so no neighbours for them
+    rows = [(1, 1, 300), (1, 2, 200), (2, 1, 100), (2, 2, 400), (9, 3, 250)]
+    r = _ratings_df(spark, rows)
+    nb = {(x.item_id, x.item_v) for x in similarity.cosine_neighbors(r, k=5).collect()}
+    assert nb == {(1, 2), (2, 1)}
+    assert recommend.item_cf_recommend(r, n=5).count() == 0
