@@ -461,6 +461,11 @@ def q_split_by_hash(spark, sf):
             .select("user_id", "item_id", "rating", "split"))
 
 
+@register("split_sizes")
+def q_split_sizes(spark, sf):
+    return als.split_sizes(_ratings(spark, sf, persist=False), ["user_id", "item_id"], 0.7, seed=42)
+
+
 @register("als_recommend")
 def q_als_recommend(spark, sf):
     return als.als_recommend(_ratings(spark, sf), n=50, reg=0.1, iters=10, seed=42)

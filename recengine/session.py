@@ -61,6 +61,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage (eager)."""
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage (eager).
+
+    The frame is persisted while it is written, so writing it does not compute it twice.
+    """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

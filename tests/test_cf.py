@@ -175,6 +175,8 @@ def test_split_by_hash_repeatable(spark):
     a2, _ = als.split_by_hash(df.repartition(13), ["u", "i"], 0.7, seed=1)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, a2.collect()))
     assert a.count() + b.count() == 2000 and 1200 < a.count() < 1600
+    sizes = als.split_sizes(df, ["u", "i"], 0.7, seed=1).first()
+    assert (sizes.n_train, sizes.n_test) == (a.count(), b.count())
 
 
 def test_als_planted_low_rank(spark):

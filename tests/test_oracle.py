@@ -54,7 +54,7 @@ def test_every_query_has_a_callable():
     assert set(E.oracle_sql()) <= set(qs)
     # only the iterative ALS family lacks a SQL form
     assert set(qs) - set(E.oracle_sql()) == {"als_recommend", "als_grid_search", "als_rmse",
-                                             "split_by_hash"}
+                                             "split_by_hash", "split_sizes"}
 
 
 def test_entry_smoke(spark):
