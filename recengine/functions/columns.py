@@ -72,7 +72,12 @@ def text_contains(text: Column | str, part: Column | str) -> Column:
     return F.coalesce(F.instr(_col(text), _col(part)) > 0, F.lit(False))
 
 
-def nulls_one(c: Column | str) -> Column:
-    """Number of distinct values of ``c`` counting null as one value (an aggregate)."""
+def nulls_one(c: Column | str, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Number of distinct values of ``c`` counting null as one value (an aggregate).
+
+    ``approx`` uses HyperLogLog++ (``approx_count_distinct`` with relative error ``rsd``),
+    which needs no shuffle of the distinct values.
+    """
     x = _col(c)
-    return (F.count_distinct(x) + F.coalesce(F.max(x.isNull().cast("int")), F.lit(0))).cast("bigint")
+    distinct = F.approx_count_distinct(x, rsd) if approx else F.count_distinct(x)
+    return (distinct + F.coalesce(F.max(x.isNull().cast("int")), F.lit(0))).cast("bigint")

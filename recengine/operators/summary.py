@@ -21,17 +21,18 @@ def group_count(df: DataFrame, keys: Sequence[str], name: str = "cnt", *, sort:
     return out
 
 
-def cardinality_summary(columns: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+def cardinality_summary(columns: Mapping[str, tuple[DataFrame, str]], *, approx: bool = False) -> DataFrame:
     """One row with the number of distinct values per named column; null counts as one.
 
     ``columns`` maps an output name to (frame, column). Columns of the same frame are
     counted in one aggregation; the one-row results are merged by a union and a global
-    aggregate (no join). Output columns follow the order of ``columns``.
+    aggregate (no join). Output columns follow the order of ``columns``. ``approx`` trades
+    exactness for a single pass without shuffling distinct values (HyperLogLog++).
     """
     by_frame: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
     for out_name, (df, col) in columns.items():
         by_frame.setdefault(id(df), (df, []))[1].append((out_name, col))
-    parts = [df.agg(*[nulls_one(c).alias(n) for n, c in cols]) for df, cols in by_frame.values()]
+    parts = [df.agg(*[nulls_one(c, approx).alias(n) for n, c in cols]) for df, cols in by_frame.values()]
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p, allowMissingColumns=True)

@@ -121,3 +121,10 @@ def test_hot_by_group_left_vs_inner(spark):
 def test_assign_row_ids_empty(spark):
     df = spark.createDataFrame([], "m int, k int")
     assert clean.assign_row_ids(df, ["m", "k"]).count() == 0
+
+
+def test_cardinality_approx_close(spark):
+    df = spark.range(20000).select((F.col("id") % 5000).alias("c"))
+    exact = summary.cardinality_summary({"n": (df, "c")}).first().n
+    approx = summary.cardinality_summary({"n": (df, "c")}, approx=True).first().n
+    assert exact == 5000 and abs(approx - exact) / exact < 0.05
