@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recengine.operators.joins import salted_join
 from recengine.operators.ratings import DEFAULT_UNIT
-from recengine.operators.similarity import (DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS,
-                                            cosine_neighbors, find_hot_keys_many)
+from recengine.operators.similarity import cosine_neighbors
+from recengine.operators.skew import (DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, find_hot_keys_many,
+                                      salted_join)
 from recengine.operators.topk import top_k_per_group
 
 SCORE_DIGITS = 9  # scores are ranked after rounding, so float summation order cannot reorder them

@@ -196,7 +196,7 @@ def test_als_planted_low_rank(spark):
 
 
 def test_salted_join_equals_plain_join(spark):
-    from recengine.operators.joins import salted_join
+    from recengine.operators.skew import salted_join
     big = spark.createDataFrame([(u, i % 3) for u in range(60) for i in range(u % 5 + 1)] + [(u, 0) for u in range(200)],
                                 "u bigint, k bigint")
     small = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c"), (7, "z")], "k bigint, v string")
