@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from recengine.operators.ratings import DEFAULT_UNIT
 from recengine.operators.similarity import cosine_neighbors
-from recengine.operators.skew import (DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, find_hot_keys_many,
-                                      salted_join)
+from recengine.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, profile_keys, salted_join
 from recengine.operators.topk import top_k_per_group
 
 SCORE_DIGITS = 9  # scores are ranked after rounding, so float summation order cannot reorder them
@@ -41,11 +40,10 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
 
     Items u already has are excluded. Output: (user, out_item, ranking).
     """
-    hot = find_hot_keys_many(r, [item, user], hot_rows=hot_rows, max_hot_keys=max_hot_keys)
-    hot_items = hot[item]
+    prof = profile_keys(r, [item, user], hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+    hot_items = prof[item].hot
     nb = neighbors if neighbors is not None else cosine_neighbors(
-        r, entity=item, by=user, value=value, k=k_neighbors, neighbor="_nb",
-        hot_rows=hot_rows, max_hot_keys=max_hot_keys, hot_entity=hot_items, hot_by=hot[user])
+        r, entity=item, by=user, value=value, k=k_neighbors, neighbor="_nb", profile=prof)
     if neighbors is not None:
         nb = nb.select(item, F.col(nb.columns[1]).alias("_nb"), "cos")
     cand = (salted_join(r.select(user, item, value), nb.select(item, "_nb", "cos"), item,
@@ -69,11 +67,11 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     The user similarity uses ratings truncated to whole numbers; the scores use the full
     ratings. Items u already has are excluded. Output: (user, out_item, ranking).
     """
-    hot = find_hot_keys_many(r, [user, item], hot_rows=hot_rows, max_hot_keys=max_hot_keys)
-    hot_users = hot[user]
+    prof = profile_keys(r, [user, item], hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+    hot_users = prof[user].hot
     nb = neighbors if neighbors is not None else cosine_neighbors(
         truncated(r, value, unit), entity=user, by=item, value="xt", k=k_neighbors, neighbor="_nb",
-        hot_rows=hot_rows, max_hot_keys=max_hot_keys, hot_entity=hot_users, hot_by=hot[item])
+        profile=prof)
     if neighbors is not None:
         nb = nb.select(user, F.col(nb.columns[1]).alias("_nb"), "cos")
     theirs = r.select(F.col(user).alias("_nb"), F.col(item).alias(out_item), value)
