@@ -254,3 +254,9 @@ def test_single_rater_item_and_one_item_user(spark):
     nb = {(x.item_id, x.item_v) for x in similarity.cosine_neighbors(r, k=5).collect()}
     assert nb == {(1, 2), (2, 1)}
     assert recommend.item_cf_recommend(r, n=5).count() == 0
+
+
+def test_zero_ratings_give_null_cos_not_error(spark):
+    r = spark.createDataFrame([(1, 1, 0), (1, 2, 3), (2, 1, 0), (2, 2, 4)], "user_id bigint, item_id bigint, x bigint")
+    got = {(x.item_id, x.item_v): x.cos for x in similarity.cosine_neighbors(r, k=3).collect()}
+    assert got == {(1, 2): None, (2, 1): None}
