@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recengine.operators.ratings import DEFAULT_UNIT
-from recengine.operators.similarity import cosine_neighbors
+from recengine.operators.similarity import cosine_neighbors, pair_partitions
 from recengine.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, profile_keys, salted_join
 from recengine.operators.topk import top_k_per_group
 
@@ -46,8 +46,10 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
         r, entity=item, by=user, value=value, k=k_neighbors, neighbor="_nb", profile=prof)
     if neighbors is not None:
         nb = nb.select(item, F.col(nb.columns[1]).alias("_nb"), "cos")
+    # each rating row meets at most k neighbours: the join emits up to k * rows rows
+    width = pair_partitions(r.sparkSession, k_neighbors * prof[item].rows)
     cand = (salted_join(r.select(user, item, value), nb.select(item, "_nb", "cos"), item,
-                        salt_cols=[user], hot=hot_items)
+                        salt_cols=[user], hot=hot_items, partitions=width)
             .select(user, F.col("_nb").alias(out_item),
                     (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     scores = cand.groupBy(user, out_item).agg(F.sum("_s").alias("score"))
@@ -75,8 +77,11 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     if neighbors is not None:
         nb = nb.select(user, F.col(nb.columns[1]).alias("_nb"), "cos")
     theirs = r.select(F.col(user).alias("_nb"), F.col(item).alias(out_item), value)
+    # every user has at most k neighbours, each bringing its rows: about k * rows candidates
+    width = pair_partitions(r.sparkSession, k_neighbors * prof[user].rows)
     cand = (salted_join(theirs, nb.select(user, "_nb", "cos"), "_nb", salt_cols=[out_item],
-                        hot=None if hot_users is None else hot_users.withColumnRenamed(user, "_nb"))
+                        hot=None if hot_users is None else hot_users.withColumnRenamed(user, "_nb"),
+                        partitions=width)
             .select(user, out_item, (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     scores = cand.groupBy(user, out_item).agg(F.avg("_s").alias("score"))
     taken = r.select(user, F.col(item).alias(out_item))
