@@ -11,8 +11,9 @@ from collections.abc import Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from recengine.operators import als, analysis, clean, ratings, recommend, summary
+from recengine.operators import als, analysis, clean, evaluate, ratings, recommend, summary
 from recengine.sources.io import read_table, write_table
 
 
@@ -87,3 +88,41 @@ def als_job(spark: SparkSession, *, source: Mapping, sink: Mapping, n: int = 50,
         write_table(out.select("user_id", "course_id", "ranking"), out_table, mode="overwrite", **sink)
     finally:
         r.unpersist()
+
+
+def evaluation_job(spark: SparkSession, *, source: Mapping, sink: Mapping, item_k: int = 5,
+                   user_k: int = 29, als_reg: float = 0.1, seed: int = 42,
+                   unit: int = ratings.DEFAULT_UNIT, out_table: str = "rmse_report") -> None:
+    """Fit/hold-out errors of the three recommenders in one report table
+    (model, n, rmse): item CF and user CF fit statistics, ALS on the 30 % hash split."""
+    r, _ = _ratings(spark, source, unit)
+    r = r.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        parts = [
+            evaluate.item_cf_rmse(r, k=item_k).select(F.lit("item_cf").alias("model"), "n", "rmse"),
+            evaluate.user_cf_rmse(r, k=user_k, unit=unit).select(F.lit("user_cf").alias("model"), "n", "rmse"),
+            als.als_rmse(r, reg=als_reg, seed=seed).select(F.lit("als").alias("model"), "n", "rmse"),
+        ]
+        report = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        write_table(report, out_table, mode="overwrite", **sink)
+    finally:
+        r.unpersist()
+
+
+def als_tuning_job(spark: SparkSession, *, source: Mapping, sink: Mapping,
+                   regs=(0.1, 0.01, 0.001), ranks=(10,), seed: int = 42,
+                   out_table: str = "als_tuning") -> None:
+    """Hold-out RMSE per (rank, regParam) on one shared split."""
+    r, _ = _ratings(spark, source, ratings.DEFAULT_UNIT)
+    write_table(als.als_grid_search(r, regs=regs, ranks=ranks, seed=seed), out_table,
+                mode="overwrite", **sink)
+
+
+def rmse_join_job(spark: SparkSession, *, source: Mapping, sink: Mapping, left_table: str,
+                  right_table: str, keys=("user_id", "item_id"), label: str = "rating",
+                  prediction: str = "prediction", out_table: str = "rmse_join") -> None:
+    """RMSE between a label column of one table and a prediction column of another."""
+    left = read_table(spark, left_table, **source)
+    right = read_table(spark, right_table, **source)
+    write_table(evaluate.rmse_of(left, right, list(keys), label, prediction), out_table,
+                mode="overwrite", **sink)

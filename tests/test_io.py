@@ -39,10 +39,22 @@ def test_jobs_end_to_end(spark, tmpdir_path):
     jobs.analysis_job(spark, source={"root": src}, sink={"root": out})
     jobs.item_cf_job(spark, source={"root": src}, sink={"root": out})
     jobs.user_cf_job(spark, source={"root": src}, sink={"root": out})
+    jobs.evaluation_job(spark, source={"root": src}, sink={"root": out})
     for name in ("school_cnt_analysis", "type_cnt_analysis", "hot_analysis", "total_analysis",
                  "total_analysis2", "year_month_analysis", "course_recommend_item_cf",
                  "course_recommend_user_cf"):
         assert io.read_table(spark, name, root=out).count() > 0, name
+    report = {r.model: r for r in io.read_table(spark, "rmse_report", root=out).collect()}
+    assert set(report) == {"item_cf", "user_cf", "als"} and all(r.n > 0 for r in report.values())
+
+
+def test_cli_runs_a_job(spark, tmpdir_path):
+    from recengine.plans import cli
+    cat = Catalog(spark, SF_SMALL)
+    src = os.path.join(tmpdir_path, "src")
+    io.write_table(cat.course_infos(), "course_infos", root=src)
+    assert cli.main(["load_catalog", "--source-root", src, "--cutoff", "2001-01-01"]) == 0
+    assert io.read_table(spark, "course", root=src).count() > 0
 
 
 def test_streaming_append(spark, tmpdir_path):
