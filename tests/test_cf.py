@@ -260,3 +260,13 @@ def test_zero_ratings_give_null_cos_not_error(spark):
     r = spark.createDataFrame([(1, 1, 0), (1, 2, 3), (2, 1, 0), (2, 2, 4)], "user_id bigint, item_id bigint, x bigint")
     got = {(x.item_id, x.item_v): x.cos for x in similarity.cosine_neighbors(r, k=3).collect()}
     assert got == {(1, 2): None, (2, 1): None}
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 3])
+def test_norm_broadcast_and_carried_paths_agree(spark, hot_rows):
+    rows = _random_ratings(11)
+    r = spark.createDataFrame(rows, "user_id bigint, item_id bigint, x bigint")
+    a = sorted(map(tuple, similarity.cosine_neighbors(r, k=6, hot_rows=hot_rows).collect()))
+    b = sorted(map(tuple, similarity.cosine_neighbors(r, k=6, hot_rows=hot_rows,
+                                                      max_broadcast_entities=0).collect()))
+    assert a == b and a
