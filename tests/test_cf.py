@@ -270,3 +270,13 @@ def test_norm_broadcast_and_carried_paths_agree(spark, hot_rows):
     b = sorted(map(tuple, similarity.cosine_neighbors(r, k=6, hot_rows=hot_rows,
                                                       max_broadcast_entities=0).collect()))
     assert a == b and a
+
+
+def test_als_maps_wide_ids_to_dense_ints(spark):
+    big = 10_000_000_000
+    rows = [(big + u, 7 * big + i, float((u * i) % 5 + 1)) for u in range(20) for i in range(15) if (u + i) % 3]
+    r = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+    recs = als.als_recommend(r, n=3, rank=3, iters=3, seed=1).collect()
+    assert recs and all(x.user_id >= big and x.course_id >= 7 * big for x in recs)
+    taken = {(u, i) for u, i, _ in rows}
+    assert all((x.user_id, x.course_id) not in taken for x in recs)
