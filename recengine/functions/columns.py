@@ -26,15 +26,17 @@ def _col(c: Column | str) -> Column:
 
 
 def timestamp_lit(as_of: Column | str | _dt.datetime | _dt.date | None) -> Column:
-    """A timestamp literal; ``None`` means the query's current time."""
+    """A timestamp literal in the session time zone; ``None`` means the query's current time."""
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
+    # wall-clock text cast in the session time zone, like a SQL timestamp literal (a naive
+    # Python datetime would be converted with the process's zone instead)
     if isinstance(as_of, _dt.datetime):
-        return F.lit(as_of)
+        return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
     if isinstance(as_of, _dt.date):
-        return F.lit(_dt.datetime(as_of.year, as_of.month, as_of.day))
+        return F.lit(as_of.strftime("%Y-%m-%d 00:00:00")).cast("timestamp")
     return F.lit(as_of).cast("timestamp")
 
 

@@ -128,3 +128,15 @@ def test_cardinality_approx_close(spark):
     exact = summary.cardinality_summary({"n": (df, "c")}).first().n
     approx = summary.cardinality_summary({"n": (df, "c")}, approx=True).first().n
     assert exact == 5000 and abs(approx - exact) / exact < 0.05
+
+
+def test_status_literal_follows_session_time_zone(spark):
+    t = dt.datetime(2020, 6, 1)
+    df = spark.createDataFrame([(dt.date(2020, 6, 1), dt.date(2020, 12, 1))], "s date, e date")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "Asia/Shanghai", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert df.select(lifecycle_status("s", "e", t)).first()[0] == UNKNOWN, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
