@@ -6,8 +6,14 @@ The event log goes to a fresh scratch folder under /tmp; stages longer than 0.3
 writing more than 100k shuffle records are listed with wall time, task CPU time, task
 count and shuffle records written.
 """
-import glob, json, sys, tempfile, time
-sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
+import glob
+import json
+import os
+import sys
+import tempfile
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession
 q = sys.argv[1]; sf = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
 d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
