@@ -24,20 +24,34 @@ def load_catalog_job(spark: SparkSession, *, source: Mapping, sink: Mapping, cut
     write_table(clean.clean_catalog(raw, cutoff=cutoff, as_of=as_of), out_table, mode="overwrite", **sink)
 
 
-def analysis_job(spark: SparkSession, *, source: Mapping, sink: Mapping, k: int = 10) -> None:
-    """The six catalogue summaries, SQL-form parity (left-anchored rankings)."""
+def analysis_job(spark: SparkSession, *, source: Mapping, sink: Mapping, k: int = 10,
+                 form: str = "sql") -> None:
+    """The six catalogue summaries.
+
+    ``form="sql"``: rankings anchored on the first one (left), the monthly table without
+    the rank, totals ordered school, name, instructor, student. ``form="dataframe"``:
+    rankings present in all three (inner) with the rank, totals ordered student, name,
+    instructor, school. Both forms are available in the original application.
+    """
+    if form not in ("sql", "dataframe"):
+        raise ValueError("form must be 'sql' or 'dataframe'")
+    how = "left" if form == "sql" else "inner"
     course = read_table(spark, "course", **source).persist(StorageLevel.MEMORY_AND_DISK)
     sc = read_table(spark, "student_course", **source)
+    totals = {"school_cnt": (course, "school"), "name_cnt": (course, "name"),
+              "instructor_cnt": (course, "instructor"), "student_cnt": (sc, "student_id")}
+    if form == "dataframe":
+        totals = {n: totals[n] for n in ("student_cnt", "name_cnt", "instructor_cnt", "school_cnt")}
     try:
         outputs = {
-            "school_cnt_analysis": summary.group_count(course, ["type", "school"], "school_cnt", sort=True),
-            "type_cnt_analysis": summary.group_count(course, ["type"], "type_cnt", sort=True),
-            "hot_analysis": analysis.hot_by_group(course, k=k, how="left"),
-            "total_analysis": summary.cardinality_summary({
-                "school_cnt": (course, "school"), "name_cnt": (course, "name"),
-                "instructor_cnt": (course, "instructor"), "student_cnt": (sc, "student_id")}),
+            "school_cnt_analysis": summary.group_count(course, ["type", "school"], "school_cnt",
+                                                       sort=form == "sql"),
+            "type_cnt_analysis": summary.group_count(course, ["type"], "type_cnt", sort=form == "sql"),
+            "hot_analysis": analysis.hot_by_group(course, k=k, how=how),
+            "total_analysis": summary.cardinality_summary(totals),
             "total_analysis2": summary.stacked_value_counts(course, ["labels", "status"], "labels", "cnt"),
-            "year_month_analysis": analysis.hot_by_month(course, k=k, how="left", with_rank=False),
+            "year_month_analysis": analysis.hot_by_month(course, k=k, how=how,
+                                                         with_rank=form == "dataframe"),
         }
         for name, df in outputs.items():
             write_table(df, name, mode="overwrite", **sink)

@@ -40,6 +40,12 @@ def test_jobs_end_to_end(spark, tmpdir_path):
     jobs.item_cf_job(spark, source={"root": src}, sink={"root": out})
     jobs.user_cf_job(spark, source={"root": src}, sink={"root": out})
     jobs.evaluation_job(spark, source={"root": src}, sink={"root": out})
+    out_df = os.path.join(tmpdir_path, "out_df")
+    jobs.analysis_job(spark, source={"root": src}, sink={"root": out_df}, form="dataframe")
+    assert io.read_table(spark, "total_analysis", root=out_df).columns == [
+        "student_cnt", "name_cnt", "instructor_cnt", "school_cnt"]
+    assert "rn" in io.read_table(spark, "year_month_analysis", root=out_df).columns
+    assert "rn" not in io.read_table(spark, "year_month_analysis", root=out).columns
     for name in ("school_cnt_analysis", "type_cnt_analysis", "hot_analysis", "total_analysis",
                  "total_analysis2", "year_month_analysis", "course_recommend_item_cf",
                  "course_recommend_user_cf"):
