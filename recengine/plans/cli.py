@@ -52,12 +52,14 @@ def main(argv=None) -> int:
     ap.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
     ap.add_argument("--jdbc-driver")
     ap.add_argument("--cutoff", default="2024-01-01", help="load_catalog: upper bound of start/end text")
+    ap.add_argument("--form", default="sql", choices=["sql", "dataframe"], help="analysis: output form")
     args = ap.parse_args(argv)
     if not args.jdbc_url and not args.source_root:
         ap.error("give --source-root (parquet) or --jdbc-url")
     source, sink = _endpoints(args)
     spark = SparkSession.builder.appName(f"recengine-{args.job}").getOrCreate()
-    kwargs = {"cutoff": args.cutoff} if args.job == "load_catalog" else {}
+    kwargs = ({"cutoff": args.cutoff} if args.job == "load_catalog"
+              else {"form": args.form} if args.job == "analysis" else {})
     JOBS[args.job](spark, source=source, sink=sink, **kwargs)
     return 0
 
