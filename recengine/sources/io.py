@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -63,7 +64,10 @@ def read_table(spark: SparkSession, name: str, *, root: str | None = None, fmt:
         reader = spark.read.format(fmt).options(**dict(options or {}))
         try:
             df = reader.load(path)
-        except Exception:
+        except AnalysisException as err:
+            # a folder <root>/<name> or, as the driver's tables are laid out, <root>/<name>.<fmt>
+            if "PATH_NOT_FOUND" not in str(err):
+                raise
             df = reader.load(f"{path}.{fmt}")
     if view:
         df.createOrReplaceTempView(view)

@@ -73,3 +73,8 @@ def test_streaming_append(spark, tmpdir_path):
                       root=os.path.join(tmpdir_path, "tables"))
     q.awaitTermination(120)
     assert io.read_table(spark, "student_course", root=os.path.join(tmpdir_path, "tables")).count() == sc.count()
+
+
+def test_read_table_driver_layout(spark):
+    df = io.read_table(spark, "part", root=SF_SMALL)
+    assert "p_partkey" in df.columns and df.count() > 0
