@@ -84,8 +84,8 @@ def write_table(df: DataFrame, name: str, *, mode: str = "overwrite", root: str
     if fmt == "jdbc":
         if url is None:
             raise ValueError("a JDBC write needs url=")
-        out = df.coalesce(num_partitions) if num_partitions else df
-        (out.write.format("jdbc").mode(mode)
+        # the numPartitions option caps concurrent connections (Spark coalesces to it)
+        (df.write.format("jdbc").mode(mode)
             .options(**jdbc_write_options(url, name, options, num_partitions=num_partitions))
             .save())
         return
