@@ -280,3 +280,29 @@ def test_als_maps_wide_ids_to_dense_ints(spark):
     assert recs and all(x.user_id >= big and x.course_id >= 7 * big for x in recs)
     taken = {(u, i) for u, i, _ in rows}
     assert all((x.user_id, x.course_id) not in taken for x in recs)
+
+
+@pytest.mark.parametrize("ids", ["small", "wide", "int32", "text"])
+def test_packed_and_unpacked_pair_keys_agree(spark, ids):
+    rows = _random_ratings(12)
+    if ids == "wide":      # beyond 2^31: the unpacked path
+        rows = [(u, i + (1 << 40), x) for u, i, x in rows]
+        schema = "user_id bigint, item_id bigint, x bigint"
+    elif ids == "int32":
+        schema = "user_id int, item_id int, x bigint"
+    elif ids == "text":
+        rows = [(u, f"i{i:03d}", x) for u, i, x in rows]
+        schema = "user_id bigint, item_id string, x bigint"
+    else:
+        schema = "user_id bigint, item_id bigint, x bigint"
+    r = spark.createDataFrame(rows, schema)
+    got = similarity.cosine_neighbors(r, k=5, hot_rows=3)
+    assert dict(got.dtypes)["item_id"] == dict(r.dtypes)["item_id"]
+    got = sorted(map(tuple, got.collect()))
+    by_e = {}
+    for u, i, x in rows:
+        by_e.setdefault(i, len(by_e))
+    want = _brute_cosine(rows, 5)
+    flat = sorted((e, v, c, rank) for e, lst in want.items() for rank, (v, c) in enumerate(lst, 1))
+    assert [(a, b, rk) for a, b, _, rk in got] == [(a, b, rk) for a, b, _, rk in flat]
+    assert all(g[2] == w[2] for g, w in zip(got, flat))
