@@ -1,7 +1,8 @@
 """Item-based and user-based collaborative filtering recommendations.
 
 Both are flat joins and aggregations: ratings join neighbours, sum or average by
-(user, candidate), drop candidates the user already has (left anti join), rank per user.
+(user, candidate) while dropping candidates the user already has (marker rows in the same
+aggregation), rank per user.
 No arrays, no UDFs, no RDDs; every step is partial-aggregated or partial-limited before
 its shuffle.
 """
@@ -24,6 +25,20 @@ def truncated(r: DataFrame, value: str = "x", unit: int = DEFAULT_UNIT, name: st
     return r.withColumn(name, F.expr(f"`{value}` div {int(unit)}"))
 
 
+def _fresh_scores(cand: DataFrame, taken: DataFrame, user: str, item: str, how: str) -> DataFrame:
+    """Aggregate candidate scores by (user, item), dropping items the user already has.
+
+    The user's own items join the same aggregation as marker rows (null score, flag 1),
+    so "not already taken" needs no separate anti join: one hash aggregation, one shuffle,
+    partial aggregation before it for candidates and markers alike.
+    """
+    marks = taken.select(user, item, F.lit(None).cast("double").alias("_s"), F.lit(1).alias("_t"))
+    rows = cand.select(user, item, "_s", F.lit(0).alias("_t")).unionByName(marks)
+    agg = F.sum("_s") if how == "sum" else F.avg("_s")
+    return (rows.groupBy(user, item).agg(agg.alias("score"), F.max("_t").alias("_taken"))
+            .where(F.col("_taken") == 0).drop("_taken"))
+
+
 def _rank(scores: DataFrame, user: str, item: str, n: int) -> DataFrame:
     ranked = top_k_per_group(scores, [user], [F.round("score", SCORE_DIGITS).desc()], n,
                              ties=[F.col(item).asc()], name="ranking")
@@ -52,10 +67,8 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
                         salt_cols=[user], hot=hot_items, partitions=width)
             .select(user, F.col("_nb").alias(out_item),
                     (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
-    scores = cand.groupBy(user, out_item).agg(F.sum("_s").alias("score"))
     taken = r.select(user, F.col(item).alias(out_item))
-    fresh = scores.join(taken, [user, out_item], "left_anti")
-    return _rank(fresh, user, out_item, n)
+    return _rank(_fresh_scores(cand, taken, user, out_item, "sum"), user, out_item, n)
 
 
 def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user: str = "user_id",
@@ -83,7 +96,5 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
                         hot=None if hot_users is None else hot_users.withColumnRenamed(user, "_nb"),
                         partitions=width)
             .select(user, out_item, (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
-    scores = cand.groupBy(user, out_item).agg(F.avg("_s").alias("score"))
     taken = r.select(user, F.col(item).alias(out_item))
-    fresh = scores.join(taken, [user, out_item], "left_anti")
-    return _rank(fresh, user, out_item, n)
+    return _rank(_fresh_scores(cand, taken, user, out_item, "avg"), user, out_item, n)
