@@ -25,18 +25,34 @@ def truncated(r: DataFrame, value: str = "x", unit: int = DEFAULT_UNIT, name: st
     return r.withColumn(name, F.expr(f"`{value}` div {int(unit)}"))
 
 
-def _fresh_scores(cand: DataFrame, taken: DataFrame, user: str, item: str, how: str) -> DataFrame:
+_PACK = 1 << 32
+
+
+def _fits(p) -> bool:
+    """Ids of a key profile are all in [0, 2^31) (so two of them pack into one long)."""
+    return isinstance(p.lo, int) and isinstance(p.hi, int) and p.lo >= 0 and p.hi < (1 << 31)
+
+
+def _fresh_scores(cand: DataFrame, taken: DataFrame, user: str, item: str, how: str,
+                  pack: bool = False) -> DataFrame:
     """Aggregate candidate scores by (user, item), dropping items the user already has.
 
     The user's own items join the same aggregation as marker rows (null score, flag 1),
     so "not already taken" needs no separate anti join: one hash aggregation, one shuffle,
-    partial aggregation before it for candidates and markers alike.
+    partial aggregation before it for candidates and markers alike. With ``pack`` (both
+    ids proven to lie in [0, 2^31)) the aggregation key is one long.
     """
     marks = taken.select(user, item, F.lit(None).cast("double").alias("_s"), F.lit(1).alias("_t"))
     rows = cand.select(user, item, "_s", F.lit(0).alias("_t")).unionByName(marks)
     agg = F.sum("_s") if how == "sum" else F.avg("_s")
-    return (rows.groupBy(user, item).agg(agg.alias("score"), F.max("_t").alias("_taken"))
-            .where(F.col("_taken") == 0).drop("_taken"))
+    if not pack:
+        return (rows.groupBy(user, item).agg(agg.alias("score"), F.max("_t").alias("_taken"))
+                .where(F.col("_taken") == 0).drop("_taken"))
+    types = dict(cand.dtypes)
+    keyed = rows.select((F.col(user).cast("bigint") * F.lit(_PACK) + F.col(item)).alias("_k"), "_s", "_t")
+    out = keyed.groupBy("_k").agg(agg.alias("score"), F.max("_t").alias("_taken")).where(F.col("_taken") == 0)
+    return out.select(F.shiftright("_k", 32).cast(types[user]).alias(user),
+                      (F.col("_k") % F.lit(_PACK)).cast(types[item]).alias(item), "score")
 
 
 def _rank(scores: DataFrame, user: str, item: str, n: int) -> DataFrame:
@@ -68,7 +84,8 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
             .select(user, F.col("_nb").alias(out_item),
                     (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     taken = r.select(user, F.col(item).alias(out_item))
-    return _rank(_fresh_scores(cand, taken, user, out_item, "sum"), user, out_item, n)
+    pack = _fits(prof[user]) and _fits(prof[item])
+    return _rank(_fresh_scores(cand, taken, user, out_item, "sum", pack), user, out_item, n)
 
 
 def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user: str = "user_id",
@@ -97,4 +114,5 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
                         partitions=width)
             .select(user, out_item, (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     taken = r.select(user, F.col(item).alias(out_item))
-    return _rank(_fresh_scores(cand, taken, user, out_item, "avg"), user, out_item, n)
+    pack = _fits(prof[user]) and _fits(prof[item])
+    return _rank(_fresh_scores(cand, taken, user, out_item, "avg", pack), user, out_item, n)
