@@ -306,3 +306,15 @@ def test_packed_and_unpacked_pair_keys_agree(spark, ids):
     flat = sorted((e, v, c, rank) for e, lst in want.items() for rank, (v, c) in enumerate(lst, 1))
     assert [(a, b, rk) for a, b, _, rk in got] == [(a, b, rk) for a, b, _, rk in flat]
     assert all(g[2] == w[2] for g, w in zip(got, flat))
+
+
+@pytest.mark.parametrize("fn", ["item_cf_recommend", "user_cf_recommend"])
+def test_recommenders_same_with_wide_ids(spark, fn):
+    """Ids beyond 2^31 take the unpacked aggregation; results are the same, shifted."""
+    rows = _random_ratings(13)
+    shift = 1 << 40
+    f = getattr(recommend, fn)
+    small = sorted(map(tuple, f(_ratings_df(spark, rows), k_neighbors=4, n=4).collect()))
+    wide = sorted(map(tuple, f(_ratings_df(spark, [(u + shift, i + shift, x) for u, i, x in rows]),
+                               k_neighbors=4, n=4).collect()))
+    assert small and wide == [(u + shift, i + shift, rk) for u, i, rk in small]
