@@ -318,3 +318,26 @@ def test_recommenders_same_with_wide_ids(spark, fn):
     wide = sorted(map(tuple, f(_ratings_df(spark, [(u + shift, i + shift, x) for u, i, x in rows]),
                                k_neighbors=4, n=4).collect()))
     assert small and wide == [(u + shift, i + shift, rk) for u, i, rk in small]
+
+
+def test_profile_keys_exact_stats(spark):
+    from recengine.operators.skew import profile_keys
+    rows = [(1, 10), (1, 11), (1, 12), (2, 10), (3, 10), (3, 11)]
+    r = spark.createDataFrame(rows, "u bigint, i bigint")
+    prof = profile_keys(r, ["u", "i"], hot_rows=2)
+    u, i = prof["u"], prof["i"]
+    assert (u.rows, u.distinct, u.sum_sq, u.lo, u.hi) == (6, 3, 9 + 1 + 4, 1, 3)
+    assert (i.rows, i.distinct, i.sum_sq, i.lo, i.hi) == (6, 3, 9 + 4 + 1, 10, 12)
+    assert u.half_pairs == (14 - 6) / 2
+    assert sorted(map(tuple, u.hot.collect())) == [(1, 2)]      # 3 rows > T=2 -> 2 blocks
+    assert sorted(map(tuple, i.hot.collect())) == [(10, 2)]
+    none = profile_keys(r, ["u", "i"], hot_rows=100)
+    assert none["u"].hot is None and none["i"].hot is None
+
+
+def test_pair_partitions_whole_waves(spark):
+    par = spark.sparkContext.defaultParallelism
+    assert similarity.pair_partitions(spark, 0) == par
+    assert similarity.pair_partitions(spark, 10 * par * 1_000_000) == 10 * par
+    assert similarity.pair_partitions(spark, (par + 1) * 1_000_000) == 2 * par
+    assert similarity.pair_partitions(spark, 1e30) == similarity.MAX_PAIR_PARTITIONS
