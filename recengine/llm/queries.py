@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from recengine.llm import mixing, token_output
+from recengine.llm import decontaminate, mixing, ngram_join, token_output
 
 QUERIES = {
+    "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_token_output": token_output.op3_token_output,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
 
 ORACLE = {
+    "op2_ngram_join": ngram_join.OP2_SQL,
+    "op5_decontaminate": decontaminate.OP5_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
 }
