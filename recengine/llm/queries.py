@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from recengine.llm import decontaminate, mixing, ngram_join, token_output
+from recengine.llm import chat_format, decontaminate, mixing, ngram_join, quality, token_output
 
 QUERIES = {
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_token_output": token_output.op3_token_output,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_quality_rules": quality.op6_quality_rules,
+    "op8_chat_format": chat_format.op8_chat_format,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
 
 ORACLE = {
     "op2_ngram_join": ngram_join.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
+    "op8_chat_format": chat_format.OP8_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
 }
