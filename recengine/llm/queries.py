@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from recengine.llm import chat_format, decontaminate, mixing, ngram_join, quality, token_output
+from recengine.llm import chat_format, decontaminate, mixing, ngram_join, quality, substring_dedup, token_output
 
 QUERIES = {
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_token_output": token_output.op3_token_output,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_chat_format": chat_format.op8_chat_format,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
@@ -16,6 +17,7 @@ QUERIES = {
 ORACLE = {
     "op2_ngram_join": ngram_join.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
+    "op7_substring_dedup": substring_dedup.OP7_SQL,
     "op8_chat_format": chat_format.OP8_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
 }
