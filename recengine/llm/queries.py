@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from recengine.llm import chat_format, decontaminate, mixing, ngram_join, quality, substring_dedup, token_output
+from recengine.llm import chat_format, ctw, decontaminate, language_id, mixing, ngram_join, quality, substring_dedup, token_output
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_token_output": token_output.op3_token_output,
+    "op4_lm_scores": ctw.op4_lm_scores,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,

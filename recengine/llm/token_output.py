@@ -1,8 +1,8 @@
 """Token-ID output (operator 3): Arrow files of equal-length sequences with zero-copy random access.
 
 Format. A data set is a folder of Arrow IPC files ``part-NNNNNN.arrow``. Each holds, in record batches of
-``BATCH_ROWS`` rows, the columns ``ids`` (fixed-size list of ``seq_len`` uint32) and ``mask`` (fixed-size list of
-``seq_len`` uint8: 1 for a token, 2 for a document's end id, 0 for padding). All batches but the last of a file have
+``BATCH_ROWS`` rows, the columns ``ids`` (fixed-size list of ``seq_len`` uint16, or uint32 for vocabularies of over 65,536
+ids) and ``mask`` (fixed-size list of ``seq_len`` bits: set for a token, clear for padding). All batches but the last of a file have
 equally many rows, so row r of a file is row r % BATCH_ROWS of batch r // BATCH_ROWS, and a memory map gives it
 without a copy. Documents run on across sequences; only the last sequence of a file is padded. Beside it,
 ``part-NNNNNN.docs.arrow`` has one row per document: ``doc_id``, ``start`` (offset in the file's tokens) and
@@ -19,6 +19,7 @@ Empty and null texts give the end id alone. An empty table gives an empty data s
 from __future__ import annotations
 
 import functools
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -36,8 +37,8 @@ BATCH_ROWS = 256
 END_ID = 0
 #: Rough characters of text per output file.
 CHARS_PER_FILE = 16 << 20
-#: Chunks whose ids a worker keeps; beyond, it starts anew.
-CACHE_CHUNKS = 400_000
+#: Pieces, and chunks, whose ids a worker keeps; beyond, it starts anew.
+CACHE_PIECES, CACHE_CHUNKS = 400_000, 1_000_000
 
 MANIFEST = "part long, file string, n_docs long, file_tokens long, n_rows long"
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -49,43 +50,93 @@ def default_tokenizer() -> str:
 
 
 class ChunkEncoder:
-    """Ids of texts by the tokenizers library, with ids of repeated chunks remembered.
+    """Ids of texts by the tokenizers library, with the ids of repeated pieces remembered.
 
-    The byte-level splitter never joins two characters that are not white space across one single space: that
-    space begins a new piece. So a text can be cut before each such space and the ids of the chunks joined. Texts
-    where white space meets a space (a run of blanks, a line break beside a blank) are encoded as they stand.
-    Strings of special tokens are ordinary text.
+    A byte-level BPE splits a text into pieces by a fixed pattern and merges inside each piece, so ids are looked up
+    per piece and the library's model is asked for new pieces only. One step above, a text is cut before each single
+    blank between two characters that are no white space: the pattern always begins a piece there, so the ids of
+    such chunks are remembered too. Texts where white space meets a blank are split by the pattern alone. A tokenizer of another kind
+    encodes whole texts. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
+        import public_tokenizers
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.uneven = regex.compile(r"^\s|\s$|\s | \s").search
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
+        self.dtype = id_type(self.tokenizer.get_vocab_size())
+        self.chunks = Chunks(self.by_pieces)
+        self.pieces: dict[str, bytes] = {}
+        kind = json.loads(self.tokenizer.to_str())
+        split = kind["pre_tokenizer"] or {}
+        self.by_piece = (kind["normalizer"] is None and kind["model"]["type"] == "BPE" and split.get("type") == "ByteLevel"
+                         and split.get("use_regex") and not split.get("add_prefix_space"))
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.byte_chars = byte_chars()
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= CACHE_PIECES:
+                self.pieces.clear()
+            found = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.byte_chars))
+            ids = self.pieces[piece] = np.array([t.id for t in found], self.dtype).tobytes()
+        return ids
+
+    def by_pieces(self, text: str) -> bytes:
+        return b"".join(map(self.piece, self.split(text)))
+
+    def __call__(self, text: str | None) -> bytes:
+        """The ids of a text, as little-endian integers of ``dtype``."""
         if not text:
             return b""
-        if self.uneven(text):
-            return self.encode([text])[0]
+        if not self.by_piece:
+            return self.whole(text)
         first, *rest = text.split(" ")
-        chunks = [first, *map(" ".__add__, rest)]
-        ids = list(map(self.known.get, chunks))
-        if None in ids:
-            if len(self.known) > CACHE_CHUNKS:
-                self.known.clear()
-            new = list(dict.fromkeys(c for c, i in zip(chunks, ids) if i is None))
-            found = dict(zip(new, self.encode(new)))
-            ids = [found[c] if i is None else i for c, i in zip(chunks, ids)]
-            self.known.update(found)
-        return b"".join(ids)
+        if not rest:
+            return self.by_pieces(text)
+        last = rest.pop()
+        if not first or first[-1].isspace() or not last or last[0].isspace():
+            return self.by_pieces(text)
+        try:
+            inner = b"".join(map(self.chunks.__getitem__, rest))
+        except Uneven:
+            return self.by_pieces(text)
+        if len(self.chunks) >= CACHE_CHUNKS:
+            self.chunks.clear()
+        return self.by_pieces(first) + inner + self.by_pieces(" " + last)
+
+
+class Uneven(Exception):
+    """White space meets a blank."""
+
+
+class Chunks(dict):
+    """Ids of a blank and the characters behind it, made when first asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise Uneven
+        ids = self[chunk] = self.encode(" " + chunk)
+        return ids
+
+
+def byte_chars() -> dict[int, int]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+def id_type(vocabulary: int) -> np.dtype:
+    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
 
 
 @functools.lru_cache(1)
@@ -102,42 +153,41 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def sequence_schema(seq_len: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))])
+def sequence_schema(seq_len: int, dtype: np.dtype) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
 
 
 class SequenceWriter:
     """Writes a run of token ids as equal-length sequences, and the documents' places."""
 
-    def __init__(self, fs: pafs.FileSystem, path: str, seq_len: int):
-        self.fs, self.seq_len, self.rows, self.tokens = fs, seq_len, 0, 0
+    def __init__(self, fs: pafs.FileSystem, path: str, seq_len: int, dtype: np.dtype):
+        self.fs, self.seq_len, self.dtype, self.rows, self.tokens = fs, seq_len, dtype, 0, 0
         self.sinks = [fs.open_output_stream(path), fs.open_output_stream(path.removesuffix(".arrow") + ".docs.arrow")]
-        self.schema = sequence_schema(seq_len)
+        self.schema = sequence_schema(seq_len, dtype)
         self.data = pa.ipc.new_file(self.sinks[0], self.schema)
         self.docs = pa.ipc.new_file(self.sinks[1], DOCS)
         self.buffer, self.held = [], 0
 
     def add(self, doc_ids: list[int | None], ids: list[bytes]) -> None:
         """Appends documents; the ids come without the end id."""
-        sizes = np.array([len(x) // 4 + 1 for x in ids], np.int64)
+        end = np.array([END_ID], self.dtype).tobytes()
+        sizes = np.array([len(x) // self.dtype.itemsize + 1 for x in ids], np.int64)
         starts = self.tokens + np.cumsum(sizes) - sizes
         self.docs.write_batch(pa.record_batch([pa.array(doc_ids, pa.int64()), starts, sizes], schema=DOCS))
-        end = np.uint32(END_ID).tobytes()
-        flat = np.frombuffer(b"".join(x + end for x in ids), np.uint32)
-        mask = np.ones(len(flat), np.uint8)
-        mask[starts + sizes - 1 - self.tokens] = 2
+        flat = np.frombuffer(b"".join(x + end for x in ids), self.dtype)
         self.tokens += len(flat)
-        self.buffer.append((flat, mask))
+        self.buffer.append(flat)
         self.held += len(flat)
         block = self.seq_len * BATCH_ROWS
         if self.held >= block:
-            flat, mask = (np.concatenate(x) for x in zip(*self.buffer))
+            flat = np.concatenate(self.buffer)
             whole = len(flat) // block * block
             for i in range(0, whole, block):
-                self._write(flat[i:i + block], mask[i:i + block])
-            self.buffer, self.held = [(flat[whole:], mask[whole:])], len(flat) - whole
+                self._write(flat[i:i + block], block)
+            self.buffer, self.held = [flat[whole:].copy()], len(flat) - whole
 
-    def _write(self, flat: np.ndarray, mask: np.ndarray) -> None:
+    def _write(self, flat: np.ndarray, tokens: int) -> None:
+        mask = np.arange(len(flat)) < tokens
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.seq_len) for x in (flat, mask)]
         batch = pa.record_batch(lists, schema=self.schema)
         self.data.write_batch(batch)
@@ -145,9 +195,8 @@ class SequenceWriter:
 
     def close(self) -> None:
         if self.held:
-            flat, mask = (np.concatenate(x) for x in zip(*self.buffer))
-            pad = -len(flat) % self.seq_len
-            self._write(np.pad(flat, (0, pad)), np.pad(mask, (0, pad)))
+            flat = np.concatenate(self.buffer)
+            self._write(np.pad(flat, (0, -len(flat) % self.seq_len)), len(flat))
         for x in (self.data, self.docs, *self.sinks):
             x.close()
 
@@ -171,7 +220,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, seq
         draft = f"{root}/.attempt-{TaskContext.get().taskAttemptId()}-{name}"
         encode = encoder(tokenizer)
         for b in batches_of(batches, 500):
-            out = out or SequenceWriter(fs, draft, seq_len)
+            out = out or SequenceWriter(fs, draft, seq_len, encode.dtype)
             out.add(b["doc_id"].to_pylist(), [encode(x) for x in b["text"].to_pylist()])
             n += b.num_rows
         if out:
@@ -191,11 +240,12 @@ def open_ipc(uri: str) -> pa.RecordBatchFileReader:
     return pa.ipc.open_file(pa.memory_map(path) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(path))
 
 
-def sequence(reader: pa.RecordBatchFileReader, row: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of one sequence of a file, as views of the file's bytes."""
+def sequence(reader: pa.RecordBatchFileReader, row: int) -> tuple[np.ndarray, pa.Array]:
+    """Ids (numpy) and mask (Arrow booleans) of one sequence of a file, as views of the file's bytes."""
     batch = reader.get_batch(row // BATCH_ROWS)
     n, i = batch["ids"].type.list_size, row % BATCH_ROWS
-    return tuple(c.values.slice((c.offset + i) * n, n).to_numpy() for c in (batch["ids"], batch["mask"]))
+    ids, mask = (c.values.slice((c.offset + i) * n, n) for c in (batch["ids"], batch["mask"]))
+    return ids.to_numpy(), mask
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
@@ -212,7 +262,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
             for uri, base in zip(b["file"].to_pylist(), b["base"].to_pylist()):
                 data = open_ipc(uri)
                 docs = open_ipc(uri.removesuffix(".arrow") + ".docs.arrow")
-                held, held_at, k = np.empty(0, np.uint32), 0, 0
+                held, held_at, k = np.empty(0, data.schema.field("ids").type.value_type.to_pandas_dtype()), 0, 0
                 for j in range(docs.num_record_batches):
                     d = docs.get_batch(j)
                     sums = []
@@ -221,7 +271,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                             more = data.get_batch(k)
                             flat = more["ids"].flatten().to_numpy()
                             held, held_at, k = np.concatenate([held[start - held_at:], flat]), start, k + 1
-                        sums.append(zlib.crc32(held[start - held_at:start - held_at + n].tobytes()))
+                        sums.append(zlib.crc32(held[start - held_at:start - held_at + n].astype("<u4").tobytes()))
                     yield pa.RecordBatch.from_pydict({
                         "doc_id": d["doc_id"], "start": pa.array(d["start"].to_numpy() + base),
                         "n_tokens": d["n_tokens"], "ids_crc32": pa.array(sums, pa.int64())})
