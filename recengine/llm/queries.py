@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recengine.llm import chat_format, ctw, decontaminate, language_id, mixing, ngram_join, quality, substring_dedup, token_output
+from recengine.llm import chat_format, ctw, decontaminate, html_extract, language_id, mixing, ngram_join, quality, substring_dedup, token_output
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_chat_format": chat_format.op8_chat_format,
+    "op9_html_extract": html_extract.op9_html_extract,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
 
