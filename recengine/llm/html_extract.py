@@ -83,8 +83,9 @@ NEVER = 1e-12
 #: Tags that name a part; header does outside of articles.
 MARKING = frozenset("nav footer aside form dialog menu".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+# possessive, so that a match is tried in linear time
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+                  r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 _HINT_WORD = re.compile(r"[a-z]+")
@@ -188,8 +189,9 @@ class Page:
 
     def _parse(self, source: str) -> None:
         at, size, silent = 0, len(source), []
+        last = max(source.rfind(">"), source.rfind("<!"))  # no tag ends beyond
         while at < size:
-            m = _TAG.search(source, at)
+            m = _TAG.search(source, at) if at <= last else None
             if not m:
                 if not silent:
                     self._say(source[at:])
