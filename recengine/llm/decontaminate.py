@@ -18,7 +18,6 @@ equal item_id count once. Null item ids match and are hit, but are not listed. A
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -232,15 +231,17 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     text_key is a hash of the text; rows of equal doc_id are told apart by it.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scans = [_scan(d, phrases) for phrases in benchmark_blocks(benchmark, window, block_chars)]
+    return scans[0] if len(scans) == 1 else _merge_blocks(scans)
+
+
+def benchmark_blocks(benchmark: DataFrame, window: int, block_chars: int) -> Iterator[Phrases]:
+    """The windows of the benchmark, about ``block_chars`` characters of items at a time."""
     b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     chars = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
-    scans = []
     for k in range(blocks):
-        # at most about block_chars characters come to the driver at a time
-        part = b.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
-        scans.append(_scan(d, Phrases([tuple(r) for r in part], window)))
-    return scans[0] if blocks == 1 else _merge_blocks(scans)
+        yield Phrases([tuple(r) for r in b.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()], window)
 
 
 def _merge_blocks(scans: list[DataFrame]) -> DataFrame:
@@ -266,6 +267,43 @@ def _merge_blocks(scans: list[DataFrame]) -> DataFrame:
     return grouped.mapInArrow(join, "doc_id long, " + SPANS)
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs``, with all columns, in which no benchmark window occurs; nothing is shuffled."""
+    for phrases in benchmark_blocks(benchmark, window, block_chars):
+        docs = _without_hits(docs, phrases)
+    return docs
+
+
+def _without_hits(docs: DataFrame, phrases: Phrases) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = phrases.vocabulary.get
+        held, shard, words, symbols = [], [], 0, 0
+
+        def flush():
+            hit = np.zeros(len(shard), bool)
+            if phrases.shortest:
+                hit[search_shard(shard, phrases)[0]] = True
+            at = 0
+            for b in held:
+                yield b.filter(pa.array(~hit[at:at + b.num_rows]))
+                at += b.num_rows
+
+        for b in batches_of(batches, 500):
+            held.append(b)
+            for text in utf8(b["text"]):
+                w = item_words(text)
+                shard.append(np.fromiter((number(x, 0) for x in w), np.int32, len(w)))
+                words += len(w)
+                symbols += int(np.count_nonzero(shard[-1]))
+            if words >= SHARD_WORDS or symbols >= SHARD_SYMBOLS:
+                yield from flush()
+                held, shard, words, symbols = [], [], 0, 0
+        if held:
+            yield from flush()
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def hit_digest(hits: DataFrame) -> DataFrame:
     n_hit = F.aggregate(F.transform(F.arrays_zip("starts", "ends"), lambda s: s["ends"] - s["starts"]),
                         F.lit(0).cast("long"), lambda a, x: a + x)

@@ -91,8 +91,8 @@ def key_thresholds(sized: DataFrame, budgets: DataFrame, scratch: Scratch) -> Da
     return open_.select("source", nearer.alias("threshold"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken): a row for each row of ``docs``."""
+def mix_plan(docs: DataFrame, weights: tuple[int, ...], share: float, seed: str) -> tuple[DataFrame, DataFrame]:
+    """(sized, plan): (doc_id, source, size, key) of every row, and per source ``s`` (source_size, target, base, threshold)."""
     scratch = Scratch(docs.sparkSession, "mix")
     sized = scratch.save(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"),
                                      mix_key(F.col("doc_id"), seed).alias("key")), "sized")
@@ -104,10 +104,29 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     plan = targets.join(cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").select(
         F.col("source").alias("s"), "source_size", "target", (F.col("target") >= F.col("source_size")).cast("int").alias("base"),
         F.coalesce("threshold", F.lit(0)).alias("threshold"))
-    copies = F.col("base") + (F.col("key") < F.col("threshold")).cast("int")
+    return sized, scratch.save(plan, "plan")
+
+
+def copies(key: Column) -> Column:
+    """How often the mix takes a document, beside its source's plan."""
+    return F.col("base") + (key < F.col("threshold")).cast("int")
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, seed: str = SEED) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken): a row for each row of ``docs``."""
+    sized, plan = mix_plan(docs, weights, share, seed)
+    n = copies(F.col("key"))
     return (sized.join(plan, F.col("source").eqNullSafe(F.col("s")))
-            .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-                    (F.col("size") * copies).alias("taken")))
+            .select("doc_id", "source", "size", "source_size", "target", n.alias("copies"), (F.col("size") * n).alias("taken")))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, seed: str = SEED) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it (0, 1 or 2 times)."""
+    _, plan = mix_plan(docs, weights, share, seed)
+    d = docs.withColumn("__key", mix_key(F.col("doc_id"), seed))
+    plan = plan.select(F.col("s").alias("__s"), "base", "threshold")
+    taken = d.join(plan, F.col("source").eqNullSafe(F.col("__s"))).withColumn("__n", copies(F.col("__key"))).where("__n > 0")
+    return taken.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*docs.columns)
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

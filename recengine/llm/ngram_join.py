@@ -5,15 +5,16 @@ a hash of the set, so copies cost nothing further. Two sets link when 100 * inte
 
 Candidates, without loss. Linked sets differ in at most k = (100 - p) / (100 + p) * (|A| + |B|) elements, and their sizes are
 at most a factor 100/p apart. Sizes fall into bands of that ratio; a tile holds two neighbouring bands, so each link lies inside a tile. A
-tile cuts the hash space into k + 1 ranges, k taken for its largest sizes: two linked sets agree in a whole range. The sums of
-the elements of each range are the tile's signatures (about one per ten shingles), and only sets that share one are compared.
+tile cuts the hash space into k + 1 ranges, k taken for the largest sizes of its pairs: two linked sets agree in a whole range. The
+sums of the elements of each range are the tile's signatures (at 90 %, about one per ten shingles), and only sets that share one
+are compared.
 
-Comparisons, without all pairs of a group. (1) Each member of a signature's group is compared with the group's least and
-greatest class. (2) Where the verified links leave a group of three or more in several components, the pairs across
+Comparisons, without all pairs of a group. (1) Each member of a signature's group is compared with one center of the group: first
+inside the chunk of documents that a task reads, whose first holder alone passes the signature on (so that a group reaches
+the shuffle as at most one row per chunk, copies not at all), then among these. (2) Where the verified links leave a group of three or more in several components, the pairs across
 components are taken in blocks of at most BLOCK x BLOCK: there bit counts of the hashed bitmaps bound the overlap from above,
 |A and B| <= |A| - popcount(a & ~b), and only pairs that may still link are verified. Verification intersects the sorted
-arrays exactly. Groups are found by partial aggregation (copies collapse before the shuffle), joins are left to the adaptive
-skew split, and a group is never held by one task: its blocks are.
+arrays exactly. Joins are left to the adaptive skew split, and a group is never held by one task: its blocks are.
 
 What this proves is each document's component: pairs inside one component are not all verified, but no link between
 components is missed. (Two different shingles, or sets, with equal 64-bit hashes would count as equal.)
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -41,6 +42,8 @@ PERCENT = 90
 #: Sets in one side of a block, and 64-bit words of a bitmap.
 BLOCK = 256
 BITMAP_WORDS = 32
+#: Signatures of the documents that a task resolves together.
+CHUNK_SIGNATURES = 1_000_000
 
 
 def shingle_set(text: bytes, n: int) -> np.ndarray:
@@ -69,11 +72,12 @@ class Tiles:
         return int(np.searchsorted(self.edges, n, "right")) - 1
 
     def ranges(self, tile: int) -> int:
-        """Tile t holds bands t and t + 1; one range more than its linked sets can differ in."""
+        """Tile t compares the sets of band t with each other and with band t + 1: one range more than two linked ones of
+        these can differ in."""
         while tile + 2 >= len(self.edges):
             self.band(self.edges[-1])
-        largest = self.edges[tile + 2] - 1
-        return (100 - self.percent) * 2 * largest // (100 + self.percent) + 1
+        both = self.edges[tile + 1] + self.edges[tile + 2] - 2
+        return (100 - self.percent) * both // (100 + self.percent) + 1
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(finish(s), dtype=np.uint64)])
@@ -88,19 +92,48 @@ class Tiles:
 
 
 def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, cls, sigs): class and signatures of each document's set (cls null when empty)."""
+    """(doc_id, text_key, n_shingles, cls, sigs, also, centers) per row of ``docs``.
+
+    cls: the class of the document's set (null when empty). sigs: the class's signatures that no earlier class of the
+    chunk has; also: those that an earlier one has, centers: that class. Further rows of a class in the chunk have none.
+    """
+    def flush(rows: list[tuple]) -> pa.RecordBatch:
+        classes: dict[int, int] = {}
+        for i, r in enumerate(rows):
+            if r[3] is not None:
+                classes.setdefault(r[3], i)
+        none = np.empty(0, np.uint64)
+        lists = [r[4] if r[3] is not None and classes[r[3]] == i else none for i, r in enumerate(rows)]
+        flat = np.concatenate(lists)
+        owner = np.repeat(np.arange(len(rows)), [len(x) for x in lists])
+        _, first, inverse = np.unique(flat, return_index=True, return_inverse=True)
+        holder = owner[first][inverse]
+        own = holder == owner
+        cls = np.array([0 if r[3] is None else r[3] for r in rows], np.uint64)
+        edge = np.cumsum([0, *map(len, lists)])
+        part = lambda x, keep: [signed(x[a:b][keep[a:b]]) for a, b in zip(edge[:-1], edge[1:])]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
+             pa.array([r[3] for r in rows], pa.uint64()).view(pa.int64()),
+             *(list_array(part(x, k), pa.int64()) for x, k in ((flat, own), (flat, ~own), (cls[holder], ~own)))],
+            names=["doc_id", "text_key", "n_shingles", "cls", "sigs", "also", "centers"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tiles = Tiles(percent)
+        tiles, rows, held = Tiles(percent), [], 0
         for b in batches_of(batches, 1000):
-            sets = [shingle_set(x, n) for x in utf8(b["text"])]
-            keys = pa.array([None if len(s) == 0 else set_key(s) for s in sets], pa.uint64())
-            sigs = [signed(tiles.signatures(s)) if len(s) else np.empty(0, np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), keys.view(pa.int64()),
-                 list_array(sigs, pa.int64())], names=["doc_id", "n_shingles", "cls", "sigs"])
+            for doc_id, key, text in zip(b["doc_id"].to_pylist(), b["text_key"].to_pylist(), utf8(b["text"])):
+                s = shingle_set(text, n)
+                sigs = tiles.signatures(s) if len(s) else np.empty(0, np.uint64)
+                rows.append((doc_id, key, len(s), set_key(s) if len(s) else None, sigs))
+                held += len(sigs)
+                if held >= CHUNK_SIGNATURES:
+                    yield flush(rows)
+                    rows, held = [], 0
+        if rows:
+            yield flush(rows)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, cls long, sigs array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, cls long, sigs array<long>, also array<long>, centers array<long>")
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
@@ -184,22 +217,29 @@ def across_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, cls, component_id) per row of ``docs``."""
+    """(doc_id, text_key, n_shingles, cls, component, component_id) per row of ``docs``.
+
+    text_key is a hash of the text; component a class of the document's component (null for an empty set).
+    """
     scratch = Scratch(docs.sparkSession, "ngram")
     rows = scratch.save(signature_rows(docs, n, percent), "rows")
-    sigs = rows.where("cls is not null").select("cls", F.explode("sigs").alias("sig"))
-    groups = (sigs.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi"))
-    shared = scratch.save(sigs.join(groups, "sig").distinct(), "shared")
-    stars = (shared.select(F.col("lo").alias("a"), F.col("cls").alias("b"))
-             .unionByName(shared.select(F.col("cls").alias("a"), F.col("hi").alias("b"))).where("a <> b").distinct())
-    tested = scratch.save(stars, "stars")
-    classes = shared.select("cls").distinct()
-    firsts = (rows.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
+    passed = rows.select("cls", F.explode("sigs").alias("sig"))
+    order = Window.partitionBy("sig").orderBy("cls")  # at most one row per chunk in a group
+    far = passed.withColumns({"i": F.row_number().over(order), "center": F.first("cls").over(order)}).where("i > 1 and cls <> center")
+    near = rows.select("cls", F.explode(F.arrays_zip("also", "centers")).alias("x")).select(
+        F.col("x.also").alias("sig"), "cls", F.col("x.centers").alias("center"))
+    twins = scratch.save(far.select("sig", "cls", "center").unionByName(near), "twins")
+    tested = scratch.save(twins.select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b")).distinct(), "stars")
+    classes = scratch.save(tested.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "classes")
+    slim = scratch.save(rows.select("doc_id", "text_key", "n_shingles", "cls"), "slim")
+    scratch.drop("rows")
+    firsts = slim.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     sets = scratch.save(class_sets(docs, firsts, n).join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
     found = scratch.save(verified(tested, sets, percent), "links")
     parts = scratch.save(connected_components(scratch, found, "parts"), "parts")
     # groups of three or more that the links leave apart
-    members = shared.select("sig", "cls").join(parts.withColumnRenamed("node", "cls"), "cls", "left").select(
+    members = twins.select("sig", "cls").unionByName(twins.select("sig", F.col("center").alias("cls"))).distinct()
+    members = members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select(
         "sig", "cls", F.coalesce("component", "cls").alias("component"))
     apart = members.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("c"), F.max("component").alias("d")
                                        ).where("size > 2 and c < d").select("sig")
@@ -208,13 +248,34 @@ def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Dat
     if not more.isEmpty():
         found = found.unionByName(verified(more, sets, percent))
         parts = connected_components(scratch, found, "whole")
-    named = rows.drop("sigs").join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    named = slim.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     named = scratch.save(named, "named")
-    scratch.drop("rows")
     ids = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return named.join(ids, "component", "left").select(
-        "doc_id", "n_shingles", "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "text_key", "n_shingles", "cls", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row of least doc_id (nulls last, then by a hash of
+    the text) stays, once. Documents with an empty set all stay."""
+    scratch = Scratch(docs.sparkSession, "ngram-keep")
+    d = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": F.xxhash64("text")})
+    joined = scratch.save(ngram_join(docs, n, percent).where("component is not null"), "joined")
+    last = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
+    kept = joined.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_key"), last).alias("k"))
+    gone = joined.join(kept, "component").where(~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("text_key") == F.col("k.text_key"))))
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    # ids of repeated rows: equal rows are one document and stay once
+    again = joined.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    rest = d.join(gone.withColumnsRenamed({"__id": "g", "__key": "h"}), F.col("__id").eqNullSafe(F.col("g")) & (F.col("__key") == F.col("h")), "left_anti")
+    same = F.col("__id").eqNullSafe(F.col("g")) & (F.col("__key") == F.col("h"))
+    again = again.withColumnsRenamed({"__id": "g", "__key": "h"})
+    if again.isEmpty():
+        return rest.select(*docs.columns)
+    once = rest.join(again, same, "left_semi").dropDuplicates(["__id", "__key"])
+    return rest.join(again, same, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
