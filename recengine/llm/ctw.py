@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from recengine.llm.common import MIX_A, Scratch, batches_of, list_array, lower_words, signed, table, utf8, word_hashes
 
 DEPTH = 5
-MAX_GRAMS = 600_000
+MAX_GRAMS = 400_000
 MAX_FREQUENT = 500_000
 #: Key of the end token (a word hashes to it with probability 2^-64).
 END = 0
@@ -102,9 +102,10 @@ class ContextTree:
                 b.append(n * one)
             key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
             nodes.append((key, *(np.bincount(inverse, np.concatenate(x).astype(np.float64), len(key)) for x in (a, b))))
+            del keys, a, b, inverse
         self.keys, self.kt, self.stop, below = [], [], [], None
         for d in reversed(range(self.depth + 1)):
-            key, a, b = nodes[d]
+            key, a, b = nodes.pop()
             pe = log_kt(a, b)
             pw = pe
             if below is not None and len(key):
@@ -119,42 +120,22 @@ class ContextTree:
             self.kt.insert(0, ((b + 0.5) / (a + b + 1)).astype(np.float32))
             self.stop.insert(0, np.exp(np.minimum(_HALF + pe - pw, 0)).astype(np.float32))
             below = (key, a, b, pw)
-        self._known()
-
-    def _known(self) -> None:
-        """Scores of all grams of full depth, so that scoring is one search for each byte."""
-        if not len(self.keys[-1]):
-            self.codes, self.scores = np.empty(0, np.uint64), np.empty(0, np.float32)
-            return
-        last = self.keys[-1]
-        prefix = last & np.uint64(255)
-        leaf = last[prefix >= 128]
-        both = np.concatenate([(leaf >> np.uint64(8) << np.uint64(8)) | (((leaf & np.uint64(127)) << np.uint64(1)) + np.uint64(i)) for i in (0, 1)])
-        codes = np.unique(both)
-        scores = self.predict(codes).astype(np.float32)
-        # open addressing with linear probes, at most half full
-        self.bits = max(4, int(len(codes) * 2 - 1).bit_length())
-        self.codes = np.full(1 << self.bits, FREE, np.uint64)
-        self.scores = np.zeros(1 << self.bits, np.float32)
-        slot, left = self._slot(codes), np.arange(len(codes))
-        while len(left):
-            free = self.codes[slot[left]] == FREE
-            taken, first = np.unique(slot[left[free]], return_index=True)
-            put = left[free][first]
-            self.codes[taken], self.scores[taken] = codes[put], scores[put]
-            left = left[self.codes[slot[left]] != codes[left]]
-            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+        self.seen = []  # of each depth: the contexts, and the scores of known grams by nodes up to that depth
+        for d, (code, _) in enumerate(counts):
+            self.seen.append((Table(np.unique(code >> np.uint64(8))), Table(code, self.predict(code, d))))
 
-    def _slot(self, codes: np.ndarray) -> np.ndarray:
-        return ((codes * MIX_A) >> np.uint64(64 - self.bits)).astype(np.int64)
+    def predict(self, codes: np.ndarray, limit: int | None = None) -> np.ndarray:
+        """log10 of the probability of each code's last byte after the bytes before it, from nodes up to depth ``limit``."""
+        step = 1 << 16
+        parts = [self._predict(codes[i:i + step], self.depth if limit is None else limit) for i in range(0, len(codes), step)]
+        return np.concatenate(parts) if parts else np.empty(0)
 
-    def predict(self, codes: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each code's last byte after the bytes before it."""
+    def _predict(self, codes: np.ndarray, limit: int) -> np.ndarray:
         byte, total = (codes & np.uint64(255)).astype(np.int64), np.zeros(len(codes))
         for k in range(8):
             prefix = ((1 << k) | (byte >> (8 - k))).astype(np.uint64)
             found, path = np.ones(len(codes), bool), []
-            for d in range(self.depth + 1):
+            for d in range(limit + 1):
                 context = (codes >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1)
                 key = (context << np.uint64(8)) | prefix
                 if len(self.keys[d]):
@@ -169,22 +150,61 @@ class ContextTree:
         return total
 
     def score(self, codes: np.ndarray) -> np.ndarray:
-        """As predict, by the table of known grams; the others are predicted one by one."""
-        if not len(self.codes):
-            return self.predict(codes)
-        slot = self._slot(codes)
-        found, out = self.codes[slot], self.scores[slot].astype(np.float64)
-        left = np.flatnonzero(found != codes)
+        """As predict, by tables: a gram that is unknown at some depth is one of the depth below if its context there is
+        unknown too. Only new bytes after known contexts are predicted bit by bit."""
+        found, out = self.seen[self.depth][1].find(codes)
+        left, slow = np.flatnonzero(~found), []
+        for d in reversed(range(self.depth + 1)):
+            if d < self.depth:
+                found, value = self.seen[d][1].find(codes[left] & np.uint64((1 << (8 * d + 8)) - 1))
+                out[left[found]] = value[found]
+                left = left[~found]
+            context = (codes[left] >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1)
+            known = self.seen[d][0].find(context)[0]
+            slow.append(left[known])
+            left = left[~known]
+        rest = np.concatenate([*slow, left])
+        if len(rest):
+            new, inverse = np.unique(codes[rest], return_inverse=True)
+            out[rest] = self.predict(new)[inverse]
+        return out
+
+
+class Table:
+    """A fixed hash table from codes to scores (0 to -32), by open addressing with linear probes.
+
+    An entry is one word: 40 further bits of the code's hash, which is one-to-one, and the score in steps of 2^-19.
+    """
+
+    def __init__(self, codes: np.ndarray, scores: np.ndarray | None = None):
+        self.bits = min(24, max(4, int(len(codes) * 5 // 2).bit_length()))
+        self.entries = np.full(1 << self.bits, FREE, np.uint64)
+        slot, mark = self._place(codes)
+        steps = np.zeros(len(codes)) if scores is None else np.clip(np.rint(-scores * (1 << 19)), 0, (1 << 24) - 2)
+        entry, left = (mark << np.uint64(24)) | steps.astype(np.uint64), np.arange(len(codes))
         while len(left):
-            open_ = found[left] == FREE
-            if open_.any():
-                unseen, inverse = np.unique(codes[left[open_]], return_inverse=True)
-                out[left[open_]] = self.predict(unseen)[inverse]
-            left = left[~open_]
+            free = left[self.entries[slot[left]] == FREE]
+            taken, first = np.unique(slot[free], return_index=True)
+            self.entries[taken] = entry[free[first]]
+            left = left[self.entries[slot[left]] != entry[left]]
             slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
-            found[left], out[left] = self.codes[slot[left]], self.scores[slot[left]]
-            left = left[found[left] != codes[left]]
-        return out
+
+    def _place(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h = codes * MIX_A
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64), (h << np.uint64(self.bits)) >> np.uint64(24)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(found, score) of each code."""
+        slot, mark = self._place(codes)
+        held = self.entries[slot]
+        found = (held >> np.uint64(24)) == mark
+        left = np.flatnonzero(~found & (held != FREE))
+        while len(left):
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            now = self.entries[slot[left]]
+            held[left], found[left] = now, (now >> np.uint64(24)) == mark[left]
+            left = left[~found[left] & (now != FREE)]
+        return found, (held & np.uint64((1 << 24) - 1)).astype(np.float64) * -(2.0 ** -19)
 
 
 def merge_counts(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
