@@ -4,9 +4,10 @@ rating = 1 + 0.2*coalesce(rating, 4) + 0.3*coalesce(grading, 3)
            + 0.5*[item type in the user's course types] + 0*[school in the user's schools]
            + 0.5*[item labels in the user's labels]
 
-The rating is computed exactly as an integer number of ``1/unit`` steps (column ``x``) and
-also returned as a double (``x / unit``). Downstream similarity sums are then integer sums:
-the same bits whatever the partitioning or the engine.
+The rating is exact: an integer number of ``1/unit`` steps (column ``x``), also returned as
+the double nearest to it (``x / unit``). Nothing is rounded: a value whose weighted term is no
+whole number of steps stops the job. Downstream similarity sums are then integer sums: the
+same bits whatever the partitioning or the engine.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ BASE = 1
 DEFAULT_WEIGHTS = {"rating": 0.2, "grading": 0.3, "type": 0.5, "school": 0.0, "labels": 0.5}
 DEFAULT_FILL = {"rating": 4, "grading": 3}
 
-DEFAULT_UNIT = 100
+DEFAULT_UNIT = 10_000
 
 
 def _steps(w: float, unit: int) -> int:
@@ -47,8 +48,8 @@ def composite_rating(facts: DataFrame, items: DataFrame, users: DataFrame, *,
     still gets a rating from the fill values. Duplicate interactions stay (bag semantics)
     unless ``dedupe`` keeps one row per pair (the highest raw rating).
 
-    A term ``value * weight`` is rounded to whole steps: exact when the inputs have no more
-    decimals than ``unit`` resolves (one-decimal gradings with unit 100).
+    A term ``value * weight`` must be a whole number of steps (three-decimal gradings with
+    the default weights and unit); the plan raises on the first row where it is not.
     """
     w = dict(DEFAULT_WEIGHTS, **(weights or {}))
     f = dict(DEFAULT_FILL, **(fill or {}))
@@ -65,7 +66,13 @@ def composite_rating(facts: DataFrame, items: DataFrame, users: DataFrame, *,
 
     def term(value, key):
         s = _steps(w[key], unit)
-        return F.round(value * F.lit(s)).cast("bigint") if s else F.lit(0).cast("bigint")
+        if not s:
+            return F.lit(0).cast("bigint")
+        steps = value * F.lit(s)
+        off = F.abs(steps - F.round(steps)) > F.lit(1e-6)
+        stop = F.raise_error(F.concat(F.lit(f"{key} "), value.cast("string"),
+                                      F.lit(f" is no whole number of 1/{unit} steps; raise unit")))
+        return F.when(off, stop.cast("bigint")).otherwise(F.round(steps).cast("bigint"))
 
     def flag(cond, key):
         s = _steps(w[key], unit)

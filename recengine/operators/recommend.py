@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from recengine.operators.ratings import DEFAULT_UNIT
 from recengine.operators.similarity import cosine_neighbors, pair_partitions
-from recengine.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, profile_keys, salted_join
+from recengine.operators.skew import DEFAULT_HOT_ROWS, hub_join, profile_keys, salted_join
 from recengine.operators.topk import top_k_per_group
+from recengine.session import reliable_checkpoint
 
 SCORE_DIGITS = 9  # scores are ranked after rounding, so float summation order cannot reorder them
 
@@ -29,8 +30,8 @@ _PACK = 1 << 32
 
 
 def _fits(p) -> bool:
-    """Ids of a key profile are all in [0, 2^31) (so two of them pack into one long)."""
-    return isinstance(p.lo, int) and isinstance(p.hi, int) and p.lo >= 0 and p.hi < (1 << 31)
+    """Ids of a key profile are all in [0, 2^31 - 1): with null as 0 and id + 1 otherwise, two pack into one long."""
+    return isinstance(p.lo, int) and isinstance(p.hi, int) and p.lo >= 0 and p.hi < (1 << 31) - 1
 
 
 def _fresh_scores(cand: DataFrame, taken: DataFrame, user: str, item: str, how: str,
@@ -40,7 +41,8 @@ def _fresh_scores(cand: DataFrame, taken: DataFrame, user: str, item: str, how:
     The user's own items join the same aggregation as marker rows (null score, flag 1),
     so "not already taken" needs no separate anti join: one hash aggregation, one shuffle,
     partial aggregation before it for candidates and markers alike. With ``pack`` (both
-    ids proven to lie in [0, 2^31)) the aggregation key is one long.
+    ids proven to lie in [0, 2^31 - 1)) the aggregation key is one long; null ids are kept
+    as ids of their own, as without it.
     """
     marks = taken.select(user, item, F.lit(None).cast("double").alias("_s"), F.lit(1).alias("_t"))
     rows = cand.select(user, item, "_s", F.lit(0).alias("_t")).unionByName(marks)
@@ -49,10 +51,11 @@ def _fresh_scores(cand: DataFrame, taken: DataFrame, user: str, item: str, how:
         return (rows.groupBy(user, item).agg(agg.alias("score"), F.max("_t").alias("_taken"))
                 .where(F.col("_taken") == 0).drop("_taken"))
     types = dict(cand.dtypes)
-    keyed = rows.select((F.col(user).cast("bigint") * F.lit(_PACK) + F.col(item)).alias("_k"), "_s", "_t")
+    code = lambda c: F.coalesce(F.col(c).cast("bigint") + 1, F.lit(0))
+    back = lambda v, c: F.when(v > 0, v - 1).cast(types[c]).alias(c)
+    keyed = rows.select((code(user) * F.lit(_PACK) + code(item)).alias("_k"), "_s", "_t")
     out = keyed.groupBy("_k").agg(agg.alias("score"), F.max("_t").alias("_taken")).where(F.col("_taken") == 0)
-    return out.select(F.shiftright("_k", 32).cast(types[user]).alias(user),
-                      (F.col("_k") % F.lit(_PACK)).cast(types[item]).alias(item), "score")
+    return out.select(back(F.shiftright("_k", 32), user), back(F.col("_k") % F.lit(_PACK), item), "score")
 
 
 def _rank(scores: DataFrame, user: str, item: str, n: int) -> DataFrame:
@@ -64,14 +67,13 @@ def _rank(scores: DataFrame, user: str, item: str, n: int) -> DataFrame:
 def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user: str = "user_id",
                       item: str = "item_id", value: str = "x", unit: int = DEFAULT_UNIT,
                       out_item: str = "course_id", neighbors: DataFrame | None = None,
-                      hot_rows: int = DEFAULT_HOT_ROWS,
-                      max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+                      hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Top-``n`` items per user: score(u, j) = sum over u's items i having j among the
     ``k_neighbors`` most similar items of i, of cos(i, j) * rating(u, i) (not normalised).
 
     Items u already has are excluded. Output: (user, out_item, ranking).
     """
-    prof = profile_keys(r, [item, user], hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+    prof = profile_keys(r, [item, user], hot_rows=hot_rows)
     hot_items = prof[item].hot
     nb = neighbors if neighbors is not None else cosine_neighbors(
         r, entity=item, by=user, value=value, k=k_neighbors, neighbor="_nb", profile=prof)
@@ -88,18 +90,34 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     return _rank(_fresh_scores(cand, taken, user, out_item, "sum", pack), user, out_item, n)
 
 
+def neighbor_rows(theirs: DataFrame, nb: DataFrame, user: str, item: str, hot_users: DataFrame | None,
+                  hot_rows: int) -> DataFrame:
+    """Rows of each user's neighbours: ``theirs`` (_nb, item, ...) joined with ``nb`` (user, _nb, cos).
+
+    A user may be in any number of neighbour lists, so both sides of the join are split. The lists
+    (k rows per user) are checkpointed once, for the count of the hubs, the exact output size that
+    sets the width, and the join.
+    """
+    nb = reliable_checkpoint(nb)
+    size = nb.groupBy("_nb").agg(F.count(F.lit(1)).alias("_d"))
+    rows = theirs.groupBy("_nb").agg(F.count(F.lit(1)).alias("_r")).join(size, "_nb")
+    out = rows.agg(F.sum(F.col("_d").cast("double") * F.col("_r"))).first()[0] or 0.0
+    return hub_join(theirs, nb, "_nb", big_salt=[item], small_salt=[user],
+                    hot=None if hot_users is None else hot_users.withColumnRenamed(user, "_nb"),
+                    hot_rows=hot_rows, partitions=pair_partitions(nb.sparkSession, out))
+
+
 def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user: str = "user_id",
                       item: str = "item_id", value: str = "x", unit: int = DEFAULT_UNIT,
                       out_item: str = "course_id", neighbors: DataFrame | None = None,
-                      hot_rows: int = DEFAULT_HOT_ROWS,
-                      max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+                      hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Top-``n`` items per user: score(u, j) = average over u's ``k_neighbors`` most similar
     users v that have j, of cos(u, v) * rating(v, j).
 
     The user similarity uses ratings truncated to whole numbers; the scores use the full
     ratings. Items u already has are excluded. Output: (user, out_item, ranking).
     """
-    prof = profile_keys(r, [user, item], hot_rows=hot_rows, max_hot_keys=max_hot_keys)
+    prof = profile_keys(r, [user, item], hot_rows=hot_rows)
     hot_users = prof[user].hot
     nb = neighbors if neighbors is not None else cosine_neighbors(
         truncated(r, value, unit), entity=user, by=item, value="xt", k=k_neighbors, neighbor="_nb",
@@ -107,11 +125,7 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     if neighbors is not None:
         nb = nb.select(user, F.col(nb.columns[1]).alias("_nb"), "cos")
     theirs = r.select(F.col(user).alias("_nb"), F.col(item).alias(out_item), value)
-    # every user has at most k neighbours, each bringing its rows: about k * rows candidates
-    width = pair_partitions(r.sparkSession, k_neighbors * prof[user].rows)
-    cand = (salted_join(theirs, nb.select(user, "_nb", "cos"), "_nb", salt_cols=[out_item],
-                        hot=None if hot_users is None else hot_users.withColumnRenamed(user, "_nb"),
-                        partitions=width)
+    cand = (neighbor_rows(theirs, nb.select(user, "_nb", "cos"), user, out_item, hot_users, hot_rows)
             .select(user, out_item, (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
     taken = r.select(user, F.col(item).alias(out_item))
     pack = _fits(prof[user]) and _fits(prof[item])

@@ -17,11 +17,19 @@ from recengine.operators import als, analysis, clean, evaluate, ratings, recomme
 from recengine.sources.io import read_table, write_table
 
 
+def of_table(source: Mapping, name: str) -> dict:
+    """The read settings of one table: ``source`` without its key "tables", overlaid with
+    source["tables"][name] (for JDBC: partition_column, lower_bound, upper_bound, num_partitions)."""
+    common = {k: v for k, v in source.items() if k != "tables"}
+    return common | dict(source.get("tables", {}).get(name, {}))
+
+
 def load_catalog_job(spark: SparkSession, *, source: Mapping, sink: Mapping, cutoff: str = "2024-01-01",
-                     as_of=None, raw_table: str = "course_infos", out_table: str = "course") -> None:
-    """Raw catalogue -> cleaned catalogue with ids and status (overwrite)."""
-    raw = read_table(spark, raw_table, **source)
-    write_table(clean.clean_catalog(raw, cutoff=cutoff, as_of=as_of), out_table, mode="overwrite", **sink)
+                     as_of=None, tie: str | None = None, raw_table: str = "course_infos",
+                     out_table: str = "course") -> None:
+    """Raw catalogue -> cleaned catalogue with ids and status (overwrite). ``tie``: see clean_catalog."""
+    raw = read_table(spark, raw_table, **of_table(source, raw_table))
+    write_table(clean.clean_catalog(raw, cutoff=cutoff, as_of=as_of, tie=tie), out_table, mode="overwrite", **sink)
 
 
 def analysis_job(spark: SparkSession, *, source: Mapping, sink: Mapping, k: int = 10,
@@ -36,8 +44,8 @@ def analysis_job(spark: SparkSession, *, source: Mapping, sink: Mapping, k: int
     if form not in ("sql", "dataframe"):
         raise ValueError("form must be 'sql' or 'dataframe'")
     how = "left" if form == "sql" else "inner"
-    course = read_table(spark, "course", **source).persist(StorageLevel.MEMORY_AND_DISK)
-    sc = read_table(spark, "student_course", **source)
+    course = read_table(spark, "course", **of_table(source, "course")).persist(StorageLevel.MEMORY_AND_DISK)
+    sc = read_table(spark, "student_course", **of_table(source, "student_course"))
     totals = {"school_cnt": (course, "school"), "name_cnt": (course, "name"),
               "instructor_cnt": (course, "instructor"), "student_cnt": (sc, "student_id")}
     if form == "dataframe":
@@ -60,9 +68,9 @@ def analysis_job(spark: SparkSession, *, source: Mapping, sink: Mapping, k: int
 
 
 def _ratings(spark: SparkSession, source: Mapping, unit: int):
-    sc = read_table(spark, "student_course", **source)
-    course = read_table(spark, "course", **source)
-    users = read_table(spark, "sys_user", **source)
+    sc = read_table(spark, "student_course", **of_table(source, "student_course"))
+    course = read_table(spark, "course", **of_table(source, "course"))
+    users = read_table(spark, "sys_user", **of_table(source, "sys_user"))
     return ratings.composite_rating(sc, course, users, unit=unit), sc
 
 
@@ -128,15 +136,19 @@ def als_tuning_job(spark: SparkSession, *, source: Mapping, sink: Mapping,
                    out_table: str = "als_tuning") -> None:
     """Hold-out RMSE per (rank, regParam) on one shared split."""
     r, _ = _ratings(spark, source, ratings.DEFAULT_UNIT)
-    write_table(als.als_grid_search(r, regs=regs, ranks=ranks, seed=seed), out_table,
-                mode="overwrite", **sink)
+    r = r.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_table(als.als_grid_search(r, regs=regs, ranks=ranks, seed=seed), out_table,
+                    mode="overwrite", **sink)
+    finally:
+        r.unpersist()
 
 
 def rmse_join_job(spark: SparkSession, *, source: Mapping, sink: Mapping, left_table: str,
                   right_table: str, keys=("user_id", "item_id"), label: str = "rating",
                   prediction: str = "prediction", out_table: str = "rmse_join") -> None:
     """RMSE between a label column of one table and a prediction column of another."""
-    left = read_table(spark, left_table, **source)
-    right = read_table(spark, right_table, **source)
+    left = read_table(spark, left_table, **of_table(source, left_table))
+    right = read_table(spark, right_table, **of_table(source, right_table))
     write_table(evaluate.rmse_of(left, right, list(keys), label, prediction), out_table,
                 mode="overwrite", **sink)

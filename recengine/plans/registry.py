@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recengine.functions.columns import lifecycle_status, parse_cjk_date
@@ -250,25 +250,24 @@ from (select type, link, coalesce(participants_number, 0) as participants_number
       where rn = 1) t
 """)
 def q_clean_catalog(spark, sf):
-    return clean.clean_catalog(Catalog(spark, sf).course_infos(), cutoff=CUTOFF, as_of=AS_OF)
+    return clean.clean_catalog(Catalog(spark, sf).course_infos(), cutoff=CUTOFF, as_of=AS_OF, tie="src_id")
 
 
 # --- ratings and similarity -------------------------------------------------------------
 
 UNIT = ratings.DEFAULT_UNIT
 
+# from the formula, in doubles; the steps and whole parts are read off the rounded rating
 RATINGS_SQL = f"""ratings as (
   select st.student_id as user_id, st.course_id as item_id,
-         cast({UNIT} + round(coalesce(cast(st.rating as double), 4.0) * {round(0.2 * UNIT)})
-              + round(coalesce(c.grading, 3.0) * {round(0.3 * UNIT)})
-              + case when instr(su.course_type, c.type) > 0 then {round(0.5 * UNIT)} else 0 end
-              + case when instr(su.labels, c.labels) > 0 then {round(0.5 * UNIT)} else 0 end
-              as bigint) as x
+         round(1 + 0.2::double * coalesce(cast(st.rating as double), 4) + 0.3::double * coalesce(c.grading, 3)
+              + 0.5::double * case when instr(su.course_type, c.type) > 0 then 1 else 0 end
+              + 0.5::double * case when instr(su.labels, c.labels) > 0 then 1 else 0 end, 9) as rating
   from student_course st
   left join course c on c.id = st.course_id
   left join sys_user su on su.id = st.student_id),
-rated as (select user_id, item_id, cast(x as double) / {UNIT} as rating, x,
-                 cast(floor(x / {UNIT}) as bigint) as xt from ratings)"""
+rated as (select user_id, item_id, rating, cast(round(rating * {UNIT}) as bigint) as x,
+                 cast(floor(rating) as bigint) as xt from ratings)"""
 
 
 def _cosine_sql(entity: str, by: str, value: str, k: int, name: str) -> str:
@@ -453,15 +452,21 @@ def q_user_cf_rmse(spark, sf):
 
 # --- matrix factorisation (iterative: no SQL form, rows-only checks) ---------------------
 
-@register("split_by_hash")
+SPLIT_SQL = f"""{RATINGS_SQL},
+halves as (select *, case when ('0x' || substr(md5('42|' || user_id || '|' || item_id), 1, 12))::bigint % 10000 < 7000
+                          then 'train' else 'test' end as split from rated)"""
+
+
+@register("split_by_hash", f"with {SPLIT_SQL} select user_id, item_id, round(rating, 9) as rating, split from halves")
 def q_split_by_hash(spark, sf):
     r = _ratings(spark, sf, persist=False)
     train, test = als.split_by_hash(r, ["user_id", "item_id"], 0.7, seed=42)
     return (train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-            .select("user_id", "item_id", "rating", "split"))
+            .select("user_id", "item_id", F.round("rating", 9).alias("rating"), "split"))
 
 
-@register("split_sizes")
+@register("split_sizes", f"""with {SPLIT_SQL}
+select count(*) filter (split = 'train') as n_train, count(*) filter (split = 'test') as n_test from halves""")
 def q_split_sizes(spark, sf):
     return als.split_sizes(_ratings(spark, sf, persist=False), ["user_id", "item_id"], 0.7, seed=42)
 
@@ -481,4 +486,41 @@ def q_als_rmse(spark, sf):
     return als.als_rmse(_ratings(spark, sf), reg=0.1, seed=42)
 
 
+# What can be checked in SQL about a trained model: facts that hold for any right result.
+
+@register("als_recommend_check", f"""
+with {RATINGS_SQL}, u as (select distinct user_id from rated)
+select count(*) as users, 0::bigint as taken_pairs, 0::bigint as users_over_n, 0::bigint as rank_gaps, 0::bigint as out_of_order from u
+""")
+def q_als_recommend_check(spark, sf):
+    """Users of the ratings; recommendations of pairs already taken, users with more than n, with gaps in ranks, or with a
+    rating above that of a better rank: none of these may occur."""
+    r = _ratings(spark, sf)
+    recs = als.als_recommend(r, n=50, reg=0.1, iters=10, seed=42).persist()
+    taken = recs.join(r.select("user_id", F.col("item_id").alias("course_id")).distinct(), ["user_id", "course_id"])
+    before = F.lag("rating").over(Window.partitionBy("user_id").orderBy("ranking"))
+    per = (recs.withColumn("up", (F.col("rating") > before).cast("int")).groupBy("user_id")
+           .agg(F.count("*").alias("m"), F.max("ranking").alias("last"), F.sum("up").alias("up")))
+    facts = per.agg(F.count_if(F.col("m") > 50).alias("users_over_n"), F.count_if(F.col("m") != F.col("last")).alias("rank_gaps"),
+                    F.coalesce(F.sum("up"), F.lit(0)).cast("bigint").alias("out_of_order"))
+    return (r.agg(F.countDistinct("user_id").alias("users")).crossJoin(taken.agg(F.count("*").alias("taken_pairs")))
+            .crossJoin(facts))
+
+
+@register("als_grid_check", f"""
+with {SPLIT_SQL}, t as (select * from halves where split = 'train'),
+ s as (select count(*) as n from halves h where split = 'test'
+       and exists (select 1 from t where t.user_id = h.user_id) and exists (select 1 from t where t.item_id = h.item_id)),
+ g as (select unnest([0.1::double, 0.01, 0.001]) as "lambda")
+select "lambda", s.n, true as below_twice_spread from g, s
+""")
+def q_als_grid_check(spark, sf):
+    """Per grid point: the test pairs scored (both ids seen in training), and whether the error is below twice the ratings'
+    standard deviation, the error of a useless guess."""
+    r = _ratings(spark, sf)
+    spread = r.agg(F.stddev_pop("rating").alias("sd"))
+    return (als.als_grid_search(r, regs=(0.1, 0.01, 0.001), seed=42).crossJoin(spread)
+            .select("lambda", "n", (F.col("rmse") < 2 * F.col("sd")).alias("below_twice_spread")))
+
+
 FLAGSHIP = "item_cf_recommend"

@@ -79,7 +79,7 @@ def test_clean_catalog_small(spark):
     raw = spark.createDataFrame(rows, "src_id bigint, type string, link string, participants_number bigint, "
                                       "instructor string, name string, school string, labels string, "
                                       "start_time string, end_time string, grading double")
-    out = clean.clean_catalog(raw, cutoff="2001-01-01", as_of=dt.datetime(1998, 6, 1)).orderBy("id").collect()
+    out = clean.clean_catalog(raw, cutoff="2001-01-01", as_of=dt.datetime(1998, 6, 1), tie="src_id").orderBy("id").collect()
     assert [(r.id, r.src_id, r.participants_number, r.grading, r.status) for r in out] == [
         (1, 1, 0, 0.0, UPCOMING), (2, 5, 2, 0.4, UPCOMING)]
 
@@ -140,3 +140,18 @@ def test_status_literal_follows_session_time_zone(spark):
             assert df.select(lifecycle_status("s", "e", t)).first()[0] == UNKNOWN, tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_clean_catalog_on_the_raw_schema(spark):
+    """The 13 raw columns, without a source id: ties are broken by the other columns and nothing is added."""
+    cols = ("type link participants_number instructor name school labels start_time end_time grading overview "
+            "cover_image_url remark").split()
+    row = lambda name, n, link: ("T", link, n, "i", name, "s", "L", "1998年7月1日", "1999年3月1日", 4.85, "o", "u", "r")
+    kinds = {"participants_number": "bigint", "grading": "double"}
+    raw = spark.createDataFrame([row("b", 3, "/2"), row("b", 3, "/1"), row("a", None, "/3"), row("c", 3, "/0")],
+                                ", ".join(f"{c} {kinds.get(c, 'string')}" for c in cols))
+    for df in (raw, raw.repartition(5)):
+        out = clean.clean_catalog(df, as_of=dt.datetime(1998, 6, 1)).orderBy("id").collect()
+        assert [(r.id, r.name, r.link, r.participants_number) for r in out] == [
+            (1, "a", "/3", 0), (2, "c", "/0", 3), (3, "b", "/1", 3)]
+        assert "src_id" not in out[0].asDict() and {"overview", "cover_image_url"} <= set(out[0].asDict())

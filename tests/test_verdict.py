@@ -1,0 +1,169 @@
+"""Values that must not be rounded, ids that must not be lost, keys that must be spread."""
+
+import math
+from collections import Counter
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from recengine.operators import als, evaluate, ratings, recommend, similarity, skew
+from recengine.plans import cli, jobs
+
+
+def frames(spark, gradings, stars=()):
+    facts = spark.createDataFrame([(1, i, s) for i, s in enumerate(stars or [None] * len(gradings))],
+                                  "student_id long, course_id long, rating double")
+    items = spark.createDataFrame([(i, "t", "s", "l", g) for i, g in enumerate(gradings)],
+                                  "id long, type string, school string, labels string, grading double")
+    users = spark.createDataFrame([(1, "", "", "")], "id long, course_type string, school_names string, labels string")
+    return facts, items, users
+
+
+def test_ratings_are_not_rounded(spark):
+    got = {r.item_id: (r.rating, r.x) for r in ratings.composite_rating(*frames(spark, [4.85, 4.99, 4.9])).collect()}
+    assert got == {0: (3.255, 32550), 1: (3.297, 32970), 2: (3.27, 32700)}
+
+
+def test_values_between_steps_stop_the_job(spark):
+    with pytest.raises(PySparkException, match="no whole number of"):
+        ratings.composite_rating(*frames(spark, [4.85555])).collect()
+
+
+def test_whole_part_is_that_of_the_exact_rating(spark):
+    r = ratings.composite_rating(*frames(spark, [3.32], [5.0]))  # 1 + 1 + 0.996
+    assert [(round(x.rating, 9), x.xt) for x in recommend.truncated(r).collect()] == [(2.996, 2)]
+
+
+def rows_with_null_user(spark, shift):
+    rows = [(u, i, 30000 + 1000 * ((i * 3 + (u or 0)) % 5)) for u in (1, 2, 3, None) for i in range(4) if (i + (u or 0)) % 3]
+    return spark.createDataFrame([(None if u is None else u + shift, i + shift, x) for u, i, x in rows],
+                                 "user_id long, item_id long, x long").withColumn("rating", F.col("x") / 10000)
+
+
+@pytest.mark.parametrize("cf", [recommend.item_cf_recommend, recommend.user_cf_recommend])
+def test_null_users_are_kept_at_any_id_width(spark, cf):
+    small, wide = (sorted(((None if r[0] is None else r[0] - s, r[1] - s, r[2]) for r in cf(rows_with_null_user(spark, s)).collect()), key=str)
+                   for s in (0, 1 << 33))
+    assert small == wide and small
+    if cf is recommend.item_cf_recommend:
+        assert any(r[0] is None for r in small)
+
+
+def test_threshold_and_width_have_no_cap(spark):
+    df = spark.createDataFrame([(1, i) for i in range(50)] + [(i, 0) for i in range(2, 40)], "u long, i long")
+    p = skew.profile_keys(df, ["u", "i"], hot_rows=10)
+    assert [tuple(r) for r in p["u"].hot.collect()] == [(1, 5)] and p["u"].cells == 15
+    assert [tuple(r) for r in p["i"].hot.collect()] == [(0, 4)]
+
+
+def cells(spark, f):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return f()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_pair_cells_are_spread(spark):
+    base = spark.createDataFrame([(1, e, e % 7 + 1) for e in range(400)], "_by long, _e long, _x long")
+    hot = spark.createDataFrame([(1, 8)], "k long, _s int")
+
+    def run():
+        dots = similarity.pair_dots(base, hot=hot, partitions=4, hot_partitions=16)
+        assert dots.count() == 400 * 399 // 2
+        bad = dots.where("a >= b or dot <> (a % 7 + 1) * (b % 7 + 1)").count()
+        warm = base.withColumn("_s", F.lit(8)).withColumn("_blk", F.pmod(F.xxhash64("_e"), F.col("_s")).cast("int"))
+        left = warm.select("_by", F.col("_blk").alias("_p"), F.explode(F.sequence(F.col("_blk"), F.col("_s") - 1)).alias("_q"), "_e", "_x")
+        right = warm.select("_by", F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_p"), F.col("_blk").alias("_q"), "_e", "_x")
+        left, right = (x.repartition(16, "_by", "_p", "_q") for x in (left, right))
+        pairs = similarity._pairs(left.alias("l"), right.alias("r"), ["_by", "_p", "_q"], False, blocks=True)
+        tasks = pairs.groupBy(F.spark_partition_id()).count().count()
+        return bad, tasks
+    bad, tasks = cells(spark, run)
+    assert bad == 0 and tasks >= min(36, spark.sparkContext.defaultParallelism)
+
+
+def test_a_user_in_every_list_is_spread(spark):
+    theirs = spark.createDataFrame([(0, i) for i in range(60)], "_nb long, item long")
+    nb = spark.createDataFrame([(u, 0) for u in range(1, 500)], "user long, _nb long")
+
+    def run():
+        out = skew.hub_join(theirs, nb, "_nb", big_salt=["item"], small_salt=["user"], hot=spark.createDataFrame([(0, 3)], "_nb long, _s int"),
+                            hot_rows=50, partitions=16)
+        assert out.count() == out.distinct().count() == 60 * 499
+        return out.groupBy(F.spark_partition_id()).count().count()
+    assert cells(spark, run) >= spark.sparkContext.defaultParallelism
+
+
+def test_user_cf_with_a_hub_equals_the_plain_join(spark):
+    rows = [(u, i, 10000 * (1 + (u * i) % 4)) for u in range(40) for i in range(8) if (u + i) % 3 or u == 0]
+    r = spark.createDataFrame(rows, "user_id long, item_id long, x long").withColumn("rating", F.col("x") / 10000)
+    plain = Counter(map(tuple, recommend.user_cf_recommend(r).collect()))
+    assert plain == Counter(map(tuple, recommend.user_cf_recommend(r, hot_rows=3).collect()))
+    near = lambda d: {(x.user_id, x.item_id): round(x.prediction, 9) for x in d.collect()}
+    assert near(evaluate.user_cf_predictions(r)) == near(evaluate.user_cf_predictions(r, hot_rows=3))
+
+
+def pairs(spark, f, kind):
+    return spark.createDataFrame([(f(u), f(i), float(1 + (u * i) % 5)) for u in range(30) for i in range(20)],
+                                 f"user_id {kind}, item_id {kind}, rating double")
+
+
+@pytest.mark.parametrize("kind,f", [("int", int), ("long", int), ("long", lambda x: x + (1 << 40)), ("string", lambda x: f"k{x}")])
+def test_als_trains_on_the_reported_split(spark, kind, f):
+    r = pairs(spark, f, kind)
+    n_train, n_test = als.split_sizes(r).first()
+    train, test = als.split_by_hash(r, ["user_id", "item_id"])
+    assert (train.count(), test.count()) == (n_train, n_test) and n_train + n_test == 600 and 350 < n_train < 490
+    tagged, _ = als._int_ids(als._tagged(r, "user_id", "item_id", "rating", 0.7, 42), ["user_id", "item_id"])
+    assert tagged.where("_train").count() == n_train
+    if kind != "string":
+        same = pairs(spark, f, "long" if kind == "int" else kind)
+        assert als.split_sizes(same).first() == (n_train, n_test)
+    recs = als.als_recommend(r, n=5, iters=2)
+    assert dict(recs.dtypes)["user_id"] == ("string" if kind == "string" else "bigint")
+
+
+def test_nothing_scored_is_null(spark):
+    one = spark.createDataFrame([(1, 1, 3.0)], "user_id long, item_id long, rating double")
+    whole = als.als_grid_search(one, regs=(0.1,), train_fraction=1.0, iters=1).first()
+    assert whole.n == 0 and whole.rmse is None
+
+
+def test_recommendations_for_some_users(spark):
+    r = pairs(spark, int, "long")
+    some = spark.createDataFrame([(3,), (4,)], "user_id long")
+    got = als.als_recommend(r, r.limit(0), n=4, iters=2, users=some)
+    assert Counter(x.user_id for x in got.collect()) == {3: 4, 4: 4}
+
+
+def test_no_frame_stays_persisted(spark):
+    before = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    r = rows_with_null_user(spark, 0)
+    recommend.item_cf_recommend(r, hot_rows=2).collect()
+    recommend.user_cf_recommend(r, hot_rows=2).collect()
+    evaluate.user_cf_rmse(r).collect()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) <= before
+
+
+def test_every_table_has_its_own_partitioning():
+    args = cli.parser().parse_args(["item_cf", "--jdbc-url", "jdbc:x", "--jdbc-partition", "course:id:1:100:4",
+                                    "--jdbc-partition", "sys_user:uid:5:50:2", "--k-neighbors", "3"])
+    source, sink = cli._endpoints(args)
+    assert jobs.of_table(source, "course") == {"fmt": "jdbc", "url": "jdbc:x", "options": {"user": "", "password": ""}, "partition_column": "id",
+                                               "lower_bound": 1, "upper_bound": 100, "num_partitions": 4}
+    assert jobs.of_table(source, "sys_user")["partition_column"] == "uid"
+    assert "partition_column" not in jobs.of_table(source, "student_course") and "tables" not in sink
+    assert cli.job_options(args) == {"k_neighbors": 3}
+    args = cli.parser().parse_args(["rmse_join", "--source-root", "x", "--left-table", "a", "--right-table", "b"])
+    assert cli.job_options(args) == {"left_table": "a", "right_table": "b"}
+
+
+def test_rmse_join_job(spark, tmpdir_path):
+    spark.createDataFrame([(1, 1, 3.0), (1, 2, 4.0)], "user_id long, item_id long, rating double").write.parquet(f"{tmpdir_path}/a")
+    spark.createDataFrame([(1, 1, 2.0), (2, 2, 4.0)], "user_id long, item_id long, prediction double").write.parquet(f"{tmpdir_path}/b")
+    where = {"root": tmpdir_path}
+    jobs.rmse_join_job(spark, source=where, sink=where, left_table="a", right_table="b")
+    row = spark.read.parquet(f"{tmpdir_path}/rmse_join").first()
+    assert row.n == 1 and math.isclose(row.rmse, 1.0)
