@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recengine.llm.common import MIX_A, MIX_B, Scratch, batches_of, finish, list_array, ngram_hashes, signed, table, utf8, word_hashes
+from recengine.llm.common import MIX_B, Scratch, batches_of, finish, list_array, ngram_hashes, signed, table, utf8, word_hashes
 
 WINDOW = 20
 ANCHOR = 6

@@ -9,7 +9,6 @@ import corpus_pipeline as p
 from llm_helpers import SF_SMALL, documents
 from recengine.llm import decontaminate as d
 from recengine.llm import language_id as g
-from recengine.llm import mixing as m
 from recengine.llm import ngram_join as j
 from recengine.llm import token_output as t
 from test_decontaminate import brute as hits
