@@ -22,6 +22,7 @@ import functools
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ BATCH_ROWS = 256
 END_ID = 0
 #: Rough characters of text per output file.
 CHARS_PER_FILE = 16 << 20
-#: Pieces, and chunks, whose ids a worker keeps; beyond, it starts anew.
-CACHE_PIECES, CACHE_CHUNKS = 400_000, 1_000_000
+#: Pieces, and chunks, of one generation whose ids a worker keeps.
+CACHE_PIECES, CACHE_CHUNKS = 100_000, 600_000
 
 MANIFEST = "part long, file string, n_docs long, file_tokens long, n_rows long"
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -66,8 +67,8 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = id_type(self.tokenizer.get_vocab_size())
-        self.chunks = Chunks(self.by_pieces)
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Remembered(self.model_ids, CACHE_PIECES)
+        self.chunks = Remembered(self.chunk_ids, CACHE_CHUNKS)
         kind = json.loads(self.tokenizer.to_str())
         split = kind["pre_tokenizer"] or {}
         self.by_piece = (kind["normalizer"] is None and kind["model"]["type"] == "BPE" and split.get("type") == "ByteLevel"
@@ -78,17 +79,18 @@ class ChunkEncoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= CACHE_PIECES:
-                self.pieces.clear()
-            found = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.byte_chars))
-            ids = self.pieces[piece] = np.array([t.id for t in found], self.dtype).tobytes()
-        return ids
+    def model_ids(self, piece: str) -> bytes:
+        found = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.byte_chars))
+        return np.array([t.id for t in found], self.dtype).tobytes()
+
+    def chunk_ids(self, chunk: str) -> bytes:
+        """Ids of a blank and the characters behind it."""
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise Uneven
+        return self.by_pieces(" " + chunk)
 
     def by_pieces(self, text: str) -> bytes:
-        return b"".join(map(self.piece, self.split(text)))
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
     def __call__(self, text: str | None) -> bytes:
         """The ids of a text, as little-endian integers of ``dtype``."""
@@ -96,18 +98,18 @@ class ChunkEncoder:
             return b""
         if not self.by_piece:
             return self.whole(text)
-        first, *rest = text.split(" ")
-        if not rest:
+        rest = text.split(" ")
+        if len(rest) == 1:
             return self.by_pieces(text)
-        last = rest.pop()
+        first, last = rest[0], rest.pop()
         if not first or first[-1].isspace() or not last or last[0].isspace():
             return self.by_pieces(text)
         try:
-            inner = b"".join(map(self.chunks.__getitem__, rest))
+            inner = b"".join(map(self.chunks.__getitem__, islice(rest, 1, None)))
         except Uneven:
             return self.by_pieces(text)
-        if len(self.chunks) >= CACHE_CHUNKS:
-            self.chunks.clear()
+        self.chunks.age()
+        self.pieces.age()
         return self.by_pieces(first) + inner + self.by_pieces(" " + last)
 
 
@@ -115,17 +117,23 @@ class Uneven(Exception):
     """White space meets a blank."""
 
 
-class Chunks(dict):
-    """Ids of a blank and the characters behind it, made when first asked for."""
+class Remembered(dict):
+    """Values made when first asked for; of two generations of keys, the one not used for longer is forgotten."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, make, limit: int):
+        self.make, self.limit, self.older = make, limit, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise Uneven
-        ids = self[chunk] = self.encode(" " + chunk)
-        return ids
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def age(self) -> None:
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
 
 
 def byte_chars() -> dict[int, int]:
@@ -271,7 +279,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                             more = data.get_batch(k)
                             flat = more["ids"].flatten().to_numpy()
                             held, held_at, k = np.concatenate([held[start - held_at:], flat]), start, k + 1
-                        sums.append(zlib.crc32(held[start - held_at:start - held_at + n].astype("<u4").tobytes()))
+                        sums.append(zlib.crc32(held[start - held_at:start - held_at + n].astype("<u4")))
                     yield pa.RecordBatch.from_pydict({
                         "doc_id": d["doc_id"], "start": pa.array(d["start"].to_numpy() + base),
                         "n_tokens": d["n_tokens"], "ids_crc32": pa.array(sums, pa.int64())})
