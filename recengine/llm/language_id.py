@@ -30,7 +30,7 @@ MAX_ENTRIES = 200_000
 MAX_N = 5
 SMOOTH = 0.5
 #: Unseen words that a task remembers.
-MAX_REMEMBERED = 200_000
+MAX_REMEMBERED = 100_000
 UNDETERMINED = "und"
 
 letters = regex.compile(r"\p{L}+").findall
@@ -82,27 +82,29 @@ class Predictor:
         self._start()
 
     def _start(self):
-        self.place, self.used = dict(self.model.words), len(self.model.words)
-        self.scores = np.vstack([self.model.word_scores, np.zeros((1024, len(self.model.languages)))])
+        self.learned: dict[str, int] = {}
+        self.scores = np.vstack([self.model.word_scores, np.zeros((MAX_REMEMBERED, len(self.model.languages)))])
 
     def _learn(self, word: str) -> int:
-        if self.used == len(self.scores):
-            self.scores = np.vstack([self.scores, np.zeros((len(self.scores) - len(self.model.words), len(self.model.languages)))])
-        self.scores[self.used] = self.model.unseen(word)
-        self.place[word] = self.used
-        self.used += 1
-        return self.place[word]
+        place = self.learned.get(word)
+        if place is None:
+            place = self.learned[word] = len(self.model.words) + len(self.learned)
+            self.scores[place] = self.model.unseen(word)
+        return place
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
         if not words or not self.model.languages:
             return UNDETERMINED, 0.0
-        at = list(map(self.place.get, words))
-        if None in at:
-            if self.used - len(self.model.words) > MAX_REMEMBERED:
-                self._start()
-            at = [self.place[w] if w in self.place else self._learn(w) for w in words]
-        total = self.scores[at].sum(0)
+        total = np.zeros(len(self.model.languages))
+        for i in range(0, len(words), MAX_REMEMBERED // 2):
+            part = words[i:i + MAX_REMEMBERED // 2]
+            if len(self.learned) + len(part) > MAX_REMEMBERED:
+                self.learned.clear()  # so that no place is used twice within a part
+            at = list(map(self.model.words.get, part))
+            if None in at:
+                at = [self._learn(w) if k is None else k for w, k in zip(part, at)]
+            total += self.scores[at].sum(0)
         best = int(np.argmax(total))
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
