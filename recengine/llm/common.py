@@ -119,11 +119,44 @@ def batches_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
             yield b.slice(i, rows)
 
 
+#: Edges that a task contracts together.
+CHUNK_EDGES = 500_000
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with the same components: in each chunk that a task reads, every node's least node of the chunk."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+        held = 0
+
+        def find(x):
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = x = root[up]
+            return x
+
+        def stars():
+            pairs = [(x, r) for x in root if (r := find(x)) != x]
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+        for b in batches:
+            for u, v in zip(b["u"].to_pylist(), b["v"].to_pylist()):
+                low, high = sorted((find(u), find(v)))
+                root[high] = low
+            held += b.num_rows
+            if held >= CHUNK_EDGES:
+                yield stars()
+                root, held = {}, 0
+        if root:
+            yield stars()
+
+    return edges.select("u", "v").mapInArrow(run, "u long, v long")
+
+
 def connected_components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """Components of edges (a, b) as (node, component): each node's smallest reachable node.
 
-    Alternating large-star and small-star rounds: in each, every node links its neighbours to the smallest
-    of them, by a partial aggregation and a join on the node, until the edges are stars. Nothing is
+    Rounds of contraction inside tasks and of alternating large star and small star: every node links its neighbours to the
+    smallest of them, by a partial aggregation and a join on the node, until the edges are stars. Nothing is
     collected; hot nodes are split by the adaptive skew join. Each round is written to the shared folder.
     """
     e = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -131,7 +164,8 @@ def connected_components(scratch: Scratch, edges: DataFrame, name: str) -> DataF
     state = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     last, step = state(e), 0
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        less = contracted(e)
+        both = less.unionByName(less.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))

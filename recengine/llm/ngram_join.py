@@ -11,10 +11,12 @@ are compared.
 
 Comparisons, without all pairs of a group. (1) Each member of a signature's group is compared with one center of the group: first
 inside the chunk of documents that a task reads, whose first holder alone passes the signature on (so that a group reaches
-the shuffle as at most one row per chunk, copies not at all), then among these. (2) Where the verified links leave a group of three or more in several components, the pairs across
-components are taken in blocks of at most BLOCK x BLOCK: there bit counts of the hashed bitmaps bound the overlap from above,
-|A and B| <= |A| - popcount(a & ~b), and only pairs that may still link are verified. Verification intersects the sorted
-arrays exactly. Joins are left to the adaptive skew split, and a group is never held by one task: its blocks are.
+the shuffle as at most one row per chunk, copies not at all), then among these. (2) Where the verified links leave a group of
+three or more in several components, its members are compared with the most linked one. (3) Where that leaves several still,
+the pairs across components are taken in blocks of at most BLOCK x BLOCK. In each step, bit counts of the hashed bitmaps bound
+the overlap from above, |A and B| <= |A| - popcount(a & ~b), and only pairs that may still link are verified: the sets of their
+classes are made again from one text each, and the sorted arrays intersected exactly.
+Joins are left to the adaptive skew split, and a group is never held by one task: its blocks are.
 
 What this proves is each document's component: pairs inside one component are not all verified, but no link between
 components is missed. (Two different shingles, or sets, with equal 64-bit hashes would count as equal.)
@@ -39,11 +41,12 @@ from recengine.llm.common import (MIX_A, Scratch, batches_of, connected_componen
 
 SHINGLE = 3
 PERCENT = 90
-#: Sets in one side of a block, and 64-bit words of a bitmap.
+#: Sets in one side of a block. Bits of a bitmap per shingle, and its least and greatest number of 64-bit words.
 BLOCK = 256
-BITMAP_WORDS = 32
+BITS_PER_SHINGLE, LEAST_WORDS, MOST_WORDS = 2, 2, 512
+LAST = 2 ** 63 - 1
 #: Signatures of the documents that a task resolves together.
-CHUNK_SIGNATURES = 1_000_000
+CHUNK_SIGNATURES = 500_000
 
 
 def shingle_set(text: bytes, n: int) -> np.ndarray:
@@ -92,10 +95,11 @@ class Tiles:
 
 
 def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, cls, sigs, also, centers) per row of ``docs``.
+    """(doc_id, text_key, n_shingles, cls, sigs, also, centers, bits) per row of ``docs``.
 
     cls: the class of the document's set (null when empty). sigs: the class's signatures that no earlier class of the
-    chunk has; also: those that an earlier one has, centers: that class. Further rows of a class in the chunk have none.
+    chunk has; also: those that an earlier one has, centers: that class; bits: the bitmap. Further rows of a class in the
+    chunk have none of these.
     """
     def flush(rows: list[tuple]) -> pa.RecordBatch:
         classes: dict[int, int] = {}
@@ -115,8 +119,9 @@ def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
              pa.array([r[3] for r in rows], pa.uint64()).view(pa.int64()),
-             *(list_array(part(x, k), pa.int64()) for x, k in ((flat, own), (flat, ~own), (cls[holder], ~own)))],
-            names=["doc_id", "text_key", "n_shingles", "cls", "sigs", "also", "centers"])
+             *(list_array(part(x, k), pa.int64()) for x, k in ((flat, own), (flat, ~own), (cls[holder], ~own))),
+             pa.array([r[5] if r[3] is not None and classes[r[3]] == i else None for i, r in enumerate(rows)], pa.binary())],
+            names=["doc_id", "text_key", "n_shingles", "cls", "sigs", "also", "centers", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles, rows, held = Tiles(percent), [], 0
@@ -124,7 +129,7 @@ def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for doc_id, key, text in zip(b["doc_id"].to_pylist(), b["text_key"].to_pylist(), utf8(b["text"])):
                 s = shingle_set(text, n)
                 sigs = tiles.signatures(s) if len(s) else np.empty(0, np.uint64)
-                rows.append((doc_id, key, len(s), set_key(s) if len(s) else None, sigs))
+                rows.append((doc_id, key, len(s), set_key(s) if len(s) else None, sigs, bitmap(s).tobytes() if len(s) else None))
                 held += len(sigs)
                 if held >= CHUNK_SIGNATURES:
                     yield flush(rows)
@@ -133,17 +138,24 @@ def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
             yield flush(rows)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
-        run, "doc_id long, text_key long, n_shingles long, cls long, sigs array<long>, also array<long>, centers array<long>")
+        run, "doc_id long, text_key long, n_shingles long, cls long, sigs array<long>, also array<long>, centers array<long>, "
+             "bits binary")
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITMAP_WORDS * 64, np.uint8)
-    bits[s % np.uint64(BITMAP_WORDS * 64)] = 1
-    return np.packbits(bits).view(np.uint64)
+    """Bits at hash mod size; sizes are powers of two, so that a bitmap folds onto a smaller one."""
+    words = min(MOST_WORDS, max(LEAST_WORDS, 1 << max(0, (len(s) * BITS_PER_SHINGLE // 64 - 1)).bit_length()))
+    bits = np.zeros(words * 64, np.uint8)
+    bits[s % np.uint64(words * 64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    return bits if len(bits) == words else np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
 
 
 def overlap_bound(n_a, n_b, a, b):
-    """Upper bounds of intersections from sizes and bitmaps (the last axis is the bitmap's)."""
+    """Upper bounds of intersections from sizes and bitmaps of one size (the last axis is the bitmap's)."""
     only_a = np.bitwise_count(a & ~b).sum(-1, dtype=np.int64)
     only_b = np.bitwise_count(b & ~a).sum(-1, dtype=np.int64)
     return np.minimum(n_a - only_a, n_b - only_b)
@@ -153,67 +165,123 @@ def links(overlap, n_a, n_b, percent):
     return 100 * overlap >= percent * (n_a + n_b - overlap)
 
 
+def may_link(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose bit counts allow a link. info: (cls, n, bits)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            keep = []
+            for n_a, n_b, a, b in zip(*(rows[c].to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))):
+                words = min(len(a), len(b)) // 8
+                x, y = (folded(np.frombuffer(v, np.uint64), words) for v in (a, b))
+                keep.append(bool(links(overlap_bound(n_a, n_b, x, y), n_a, n_b, percent)))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([rows["a"].filter(keep), rows["b"].filter(keep)], names=["a", "b"])
+
+    side = lambda k: info.select(F.col("cls").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}"))
+    # sizes alone rule out some
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(
+        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+
+
+def first_texts(slim: DataFrame, classes: DataFrame) -> DataFrame:
+    """(d, text_key, cls): one text of each of ``classes``."""
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), "text_key")).alias("f")
+    return slim.join(classes, "cls").groupBy("cls").agg(first).select("f.d", "f.text_key", "cls")
+
+
 def class_sets(docs: DataFrame, firsts: DataFrame, n: int) -> DataFrame:
-    """(cls, n, bits, members) of classes, from the text of one document of each (firsts: doc_id)."""
+    """(cls, members) of classes, from one text of each. firsts: (d, text_key, cls)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_of(batches, 500):
-            sets = [s for s in (shingle_set(x, n) for x in utf8(b["text"])) if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_key(s) for s in sets], pa.uint64()).view(pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "n", "bits", "members"])
+            yield pa.RecordBatch.from_arrays([b["cls"], pa.array([shingle_set(x, n).tobytes() for x in utf8(b["text"])], pa.binary())],
+                                             names=["cls", "members"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(firsts, "doc_id", "left_semi")
-    # rows of equal doc_id may differ; each class is kept once
-    return rows.mapInArrow(run, "cls long, n long, bits binary, members binary")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64("text").alias("text_key"), "text")
+    # equal rows count once; the join has already brought them together
+    rows = rows.join(firsts, ["d", "text_key"]).dropDuplicates(["d", "text_key"])
+    return rows.select("cls", "text").mapInArrow(run, "cls long, members binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link: bit counts first, then the exact intersection of sorted arrays."""
+def verified(pairs: DataFrame, docs: DataFrame, slim: DataFrame, n: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b) of classes that link, by the exact intersection of sorted arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches_of(batches, 256):
-            n_a, n_b = (rows[c].to_numpy() for c in ("n_a", "n_b"))
-            bits = [np.array([np.frombuffer(x, np.uint64) for x in rows[c].to_pylist()]).reshape(-1, BITMAP_WORDS)
-                    for c in ("bits_a", "bits_b")]
             keep = []
-            for i in np.flatnonzero(links(overlap_bound(n_a, n_b, *bits), n_a, n_b, percent)).tolist():
-                a, b = (np.frombuffer(rows[c][i].as_buffer(), np.uint64) for c in ("members_a", "members_b"))
-                if links(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([rows["a"].take(pa.array(keep, pa.int64())), rows["b"].take(pa.array(keep, pa.int64()))],
-                                             names=["a", "b"])
-
-    side = lambda k: sets.select(*[F.col(c).alias(f"{c}_{k}") for c in ("n", "bits", "members")], F.col("cls").alias(k))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "n_a", "n_b", "bits_a", "bits_b", "members_a", "members_b").mapInArrow(run, "a long, b long")
-
-
-def across_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) across components inside each group that may link. members: (sig, cls, component, n, bits).
-
-    A group is cut into blocks of about BLOCK sets, and each pair of blocks is a task's unit.
-    """
+            for x, y in zip(rows["members_a"], rows["members_b"]):
+                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                keep.append(bool(links(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent)))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([rows["a"].filter(keep), rows["b"].filter(keep)], names=["a", "b"])
+
+    classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = scratch.save(class_sets(docs, first_texts(slim, classes), n), f"{name}-sets")
+    side = lambda k: sets.select(F.col("cls").alias(k), F.col("members").alias(f"members_{k}"))
+    out = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "members_a", "members_b")
+                       .mapInArrow(run, "a long, b long"), name)
+    scratch.drop(f"{name}-sets")
+    return out
+
+
+def block_pairs(members: DataFrame, *columns: str) -> DataFrame:
+    """Members of groups (sig, cls, component, ...) dealt to the pairs (i, j) of blocks of about BLOCK sets, i <= j."""
     groups = members.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = members.join(groups, "sig").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     # a set of block x is on one side of the block pairs (x, y) and (y, x), written with the lower first
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other).select(
-        "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "component",
-        "n", "bits")
+    return rows.withColumn("other", other).select(
+        "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "component", *columns)
+
+
+def unit(t: pa.Table, maps: list[np.ndarray], n: np.ndarray, percent: int, visit) -> None:
+    """Calls visit(x, y) for the pairs of a unit whose components differ (visit may unite them) and whose bits allow a link."""
+    block, cls = (t[c].to_numpy() for c in ("block", "cls"))
+    label = np.unique(t["component"].to_numpy(), return_inverse=True)[1]
+    words = min(map(len, maps))
+    bits = np.array([folded(x, words) for x in maps])
+    i, j = t["i"][0].as_py(), t["j"][0].as_py()
+    right = np.flatnonzero(block == j)
+    for x in np.flatnonzero(block == i).tolist():
+        y = right[(label[right] != label[x]) & ((cls[right] > cls[x]) | (i != j))]
+        bound = overlap_bound(n[x], n[y], bits[x], bits[y])
+        hopeful = links(bound, n[x], n[y], percent)
+        for z in y[hopeful][np.argsort(-bound[hopeful], kind="stable")].tolist():
+            if label[z] != label[x] and visit(x, z):
+                label[label == label[z]] = label[x]
+
 
+def across_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across components inside each group that may link. members: (sig, cls, component, n, bits)."""
     def compare(t: pa.Table) -> pa.Table:
-        block, cls, comp, n = (t[c].to_numpy() for c in ("block", "cls", "component", "n"))
-        bits = np.array([np.frombuffer(x, np.uint64) for x in t["bits"].to_pylist()]).reshape(-1, BITMAP_WORDS)
-        i, j = t["i"][0].as_py(), t["j"][0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out = []
-        for x in left.tolist():
-            y = right[(comp[right] != comp[x]) & ((cls[right] > cls[x]) | (i != j))]
-            y = y[links(overlap_bound(n[x], n[y], bits[x], bits[y]), n[x], n[y], percent)]
-            out += [(min(int(cls[x]), int(c)), max(int(cls[x]), int(c))) for c in cls[y]]
-        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+        cls, out = t["cls"].to_numpy(), []
+
+        def visit(x, z):
+            out.append((min(int(cls[x]), int(cls[z])), max(int(cls[x]), int(cls[z]))))
+            return False
+        unit(t, [np.frombuffer(x, np.uint64) for x in t["bits"].to_pylist()], t["n"].to_numpy(), percent, visit)
+        return pa.table({k: pa.array([p[m] for p in out], pa.int64()) for m, k in enumerate(("a", "b"))})
+
+    return block_pairs(members, "n", "bits").groupBy("sig", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def apart_members(twins: DataFrame, parts: DataFrame) -> DataFrame:
+    """(sig, cls, component) of the groups of three or more classes in several components, each membership once."""
+    members = twins.select("sig", "cls").unionByName(twins.select("sig", F.col("center").alias("cls"))).distinct()
+    members = members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "sig", "cls", F.coalesce("component", "cls").alias("component"))
+    apart = (members.groupBy("sig").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("same"),
+                                        F.min("component").alias("c"), F.max("component").alias("d"))
+             .where("size > 2 and c < d").groupBy("size", "same").agg(F.min("sig").alias("sig")).select("sig"))
+    return members.join(apart, "sig", "left_semi")
+
 
-    return rows.groupBy("sig", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+def hub_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of each group's most linked member with the members of other components: most near copies link with it."""
+    degree = found.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("degree"))
+    m = members.join(degree, "cls", "left")
+    hubs = m.groupBy("sig").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "cls", "component")).alias("h"))
+    m = m.join(hubs, "sig").where("component <> h.component")
+    return m.select(F.least("cls", "h.cls").alias("a"), F.greatest("cls", "h.cls").alias("b")).distinct()
 
 
 def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -232,21 +300,22 @@ def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Dat
     tested = scratch.save(twins.select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b")).distinct(), "stars")
     classes = scratch.save(tested.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "classes")
     slim = scratch.save(rows.select("doc_id", "text_key", "n_shingles", "cls"), "slim")
+    info = scratch.save(rows.where("bits is not null").select("cls", F.col("n_shingles").alias("n"), "bits")
+                        .join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "info")
     scratch.drop("rows")
-    firsts = slim.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    sets = scratch.save(class_sets(docs, firsts, n).join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
-    found = scratch.save(verified(tested, sets, percent), "links")
+    hopeful = scratch.save(may_link(tested, info, percent), "hopeful")
+    found = verified(hopeful, docs, slim, n, percent, scratch, "links")
     parts = scratch.save(connected_components(scratch, found, "parts"), "parts")
-    # groups of three or more that the links leave apart
-    members = twins.select("sig", "cls").unionByName(twins.select("sig", F.col("center").alias("cls"))).distinct()
-    members = members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "sig", "cls", F.coalesce("component", "cls").alias("component"))
-    apart = members.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("c"), F.max("component").alias("d")
-                                       ).where("size > 2 and c < d").select("sig")
-    members = scratch.save(members.join(apart, "sig", "left_semi").join(sets.select("cls", "n", "bits"), "cls"), "members")
+    # groups of three or more that the links leave apart: first by their hubs, then block by block
+    more = scratch.save(hub_pairs(apart_members(twins, parts), found).join(tested, ["a", "b"], "left_anti"), "hubs")
+    tested = tested.unionByName(more)
+    found = found.unionByName(verified(scratch.save(may_link(more, info, percent), "hub-hopeful"), docs, slim, n, percent, scratch, "hub-links"))
+    parts = scratch.save(connected_components(scratch, found, "joined"), "joined")
+    members = scratch.save(apart_members(twins, parts).join(info, "cls"), "members")
     more = scratch.save(across_pairs(members, percent).join(tested, ["a", "b"], "left_anti"), "across")
+    scratch.drop("members")
     if not more.isEmpty():
-        found = found.unionByName(verified(more, sets, percent))
+        found = found.unionByName(verified(more, docs, slim, n, percent, scratch, "more-links"))
         parts = connected_components(scratch, found, "whole")
     named = slim.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
