@@ -9,9 +9,12 @@ for its child; where the child's context was never seen, the path ends. A text's
 and its code length per byte -score * log2(10) / bytes.
 
 What is gathered. All training texts are counted, with partial sums in each task: the (DEPTH + 1)-grams of bytes and the words.
-The tree takes, per depth, the MAX_GRAMS most frequent contexts' rows (what it leaves out is one further child, so parents keep their full
-counts); it is the only thing sent to all tasks besides the counts of the MAX_FREQUENT most frequent words. The other
-words' counts are joined by hash. So both broadcasts have fixed bounds and every count covers all data.
+The nodes of each depth are a table in the shared folder: counts and products of children are summed from the deepest depth up by the
+parent's key, weights are carried from the root down by joins with the parent, so every context seen in training has its
+node, whatever their number. The score of every known gram follows from its eight nodes. Only the MAX_GRAMS most frequent grams' scores and the
+counts of the MAX_FREQUENT most frequent words are sent to all tasks; other grams and words of a text are looked up by joins on
+their code or hash, and grams never seen in training take the deepest known node of each bit. So both broadcasts have fixed bounds, and what they
+leave out changes no result: scores are summed in whole steps of 2^-19.
 
 Words are compared by 64-bit hashes. Null texts are empty: only the end. Without training rows every bit has
 probability 1/2, N = V = 0. Null doc_ids count as training rows, not held out.
@@ -31,7 +34,8 @@ from pyspark.sql import functions as F
 from recengine.llm.common import MIX_A, Scratch, batches_of, list_array, lower_words, signed, table, utf8, word_hashes
 
 DEPTH = 5
-MAX_GRAMS = 400_000
+#: Grams whose scores every task holds.
+MAX_GRAMS = 1_000_000
 MAX_FREQUENT = 500_000
 #: Key of the end token (a word hashes to it with probability 2^-64).
 END = 0
@@ -39,6 +43,8 @@ END = 0
 COUNT_BYTES, COUNT_KEYS = 6 << 20, 2_000_000
 
 _HALF = -math.log(2)
+#: Scores are whole numbers of steps of 1/STEP.
+STEP = 1 << 19
 #: An empty place of the gram table: no code has all bits set.
 FREE = np.uint64(2 ** 64 - 1)
 
@@ -82,7 +88,7 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class ContextTree:
-    """All decision trees over byte contexts, as one sorted table of nodes per depth.
+    """All decision trees over byte contexts, as one sorted table of nodes per depth: the model in one process, for few grams.
 
     A node's key is its context (``d`` bytes) and the bits of the next byte so far behind a leading 1.
     """
@@ -180,7 +186,7 @@ class Table:
         self.bits = min(24, max(4, int(len(codes) * 5 // 2).bit_length()))
         self.entries = np.full(1 << self.bits, FREE, np.uint64)
         slot, mark = self._place(codes)
-        steps = np.zeros(len(codes)) if scores is None else np.clip(np.rint(-scores * (1 << 19)), 0, (1 << 24) - 2)
+        steps = np.zeros(len(codes)) if scores is None else np.clip(np.rint(-scores * STEP), 0, (1 << 24) - 2)
         entry, left = (mark << np.uint64(24)) | steps.astype(np.uint64), np.arange(len(codes))
         while len(left):
             free = left[self.entries[slot[left]] == FREE]
@@ -204,7 +210,7 @@ class Table:
             now = self.entries[slot[left]]
             held[left], found[left] = now, (now >> np.uint64(24)) == mark[left]
             left = left[~found[left] & (now != FREE)]
-        return found, (held & np.uint64((1 << 24) - 1)).astype(np.float64) * -(2.0 ** -19)
+        return found, (held & np.uint64((1 << 24) - 1)).astype(np.float64) * (-1 / STEP)
 
 
 def merge_counts(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -251,18 +257,74 @@ def training_counts(docs: DataFrame, depth: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def context_tree(counts: DataFrame, depth: int) -> ContextTree:
-    """The tree from all gram counts; at most MAX_GRAMS rows of each depth come to the driver."""
-    levels = []
+def low_bytes(key: str, n: int) -> Column:
+    return F.col(key).bitwiseAND(F.lit((1 << (8 * n)) - 1))
+
+
+def decisions(grams: DataFrame) -> DataFrame:
+    """Eight rows per row of ``grams``: key of the node of each bit of the code's last byte, and the bit."""
+    return (grams.withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(8)])))
+            .withColumn("key", F.expr("(code - (code & 255)) | shiftleft(1L, k) | shiftright(code & 255, 8 - k)"))
+            .withColumn("bit", F.expr("shiftright(code & 255, 7 - k) & 1")).drop("k"))
+
+
+def weighted(level: DataFrame, leaf: bool) -> DataFrame:
+    """(key, a, b, pw, kt, stop) from (key, a, b, below): below is the sum of the children's log Pw."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in batches:
+            a, b, below = (r[x].to_numpy().astype(np.float64) for x in ("a", "b", "below"))
+            pe = log_kt(a, b)
+            pw = pe if leaf else np.logaddexp(_HALF + pe, _HALF + below)
+            yield pa.RecordBatch.from_arrays(
+                [r["key"], r["a"], r["b"], pa.array(pw), pa.array((b + 0.5) / (a + b + 1)), pa.array(np.exp(np.minimum(_HALF + pe - pw, 0)))],
+                names=["key", "a", "b", "pw", "kt", "stop"])
+
+    return level.mapInArrow(run, "key long, a long, b long, pw double, kt double, stop double")
+
+
+def node_tables(scratch: Scratch, grams: DataFrame, depth: int) -> list[DataFrame]:
+    """Of each depth (key, p, ...): the probability of a one at every node whose path ends there, from all grams (code, n)."""
+    level = decisions(grams).select("key", (F.col("n") * (1 - F.col("bit"))).alias("a"), (F.col("n") * F.col("bit")).alias("b"),
+                                    F.lit(0.0).alias("below"))
+    nodes = {}
+    for d in reversed(range(depth + 1)):
+        # a child's context has one more, earlier byte: drop it to find the parent
+        level = level.groupBy(low_bytes("key", d + 1).alias("key")).agg(*[F.sum(x).alias(x) for x in ("a", "b", "below")])
+        nodes[d] = scratch.save(weighted(level, d == depth), f"nodes{d}")
+        level = nodes[d].select("key", "a", "b", F.col("pw").alias("below"))
+    out: list[DataFrame] = []
     for d in range(depth + 1):
-        code = F.col("key").bitwiseAND(F.lit((1 << (8 * d + 8)) - 1))
-        rows = counts.where("kind = 1").groupBy(code.alias("code")).agg(F.sum("n").alias("n"))
-        size = rows.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("size"))
-        rows = rows.withColumn("context", F.shiftright("code", 8)).join(size, "context").orderBy(
-            F.desc("size"), "context", "code").limit(MAX_GRAMS)
-        t = rows.select("code", "n").toArrow()
-        levels.append((t["code"].to_numpy().astype(np.uint64), t["n"].to_numpy()))
-    return ContextTree(levels)
+        if d:
+            up = out[-1].select(F.col("key").alias("up"), "done", "rest")
+            node = nodes[d].join(small(up, d - 1), low_bytes("key", d) == F.col("up"))
+        else:
+            node = nodes[d].withColumns({"done": F.lit(0.0), "rest": F.lit(1.0)})
+        # what the nodes above have decided, and the weight that is left for the children
+        out.append(scratch.save(node.select(
+            "key", F.expr("done + rest * kt").alias("p"), F.expr("done + rest * stop * kt").alias("done"),
+            F.expr("rest * (1 - stop)").alias("rest")), f"values{d}"))
+        scratch.drop(f"nodes{d}")
+    return out
+
+
+def small(nodes: DataFrame, d: int) -> DataFrame:
+    """Nodes of depths 0 and 1 go to all tasks: at most 255 and 65,280 rows, with few keys to deal out by."""
+    return F.broadcast(nodes) if d <= 1 else nodes
+
+
+def gram_steps(found: DataFrame, *more: Column) -> DataFrame:
+    """(code, steps, ...) from the rows (code, bit, p) of all decisions."""
+    p = F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p"))
+    return found.groupBy("code").agg(F.round(F.sum(F.log10(p)) * -STEP).cast("long").alias("steps"), *more)
+
+
+def unseen_steps(codes: DataFrame, values: list[DataFrame]) -> DataFrame:
+    """(code, steps) of grams that training texts lack: each bit by its deepest known node, 1/2 without any."""
+    rows = decisions(codes).withColumn("p", F.lit(None).cast("double"))
+    for d in reversed(range(len(values))):
+        node = small(values[d].select(F.col("key").alias("node"), F.col("p").alias("at")), d)
+        rows = rows.join(node, low_bytes("key", d + 1) == F.col("node"), "left").withColumn("p", F.coalesce("p", "at")).drop("node", "at")
+    return gram_steps(rows.withColumn("p", F.coalesce("p", F.lit(0.5))))
 
 
 def lm_scores(docs: DataFrame, held: Column | None = None, depth: int = DEPTH) -> DataFrame:
@@ -278,15 +340,23 @@ def lm_scores(docs: DataFrame, held: Column | None = None, depth: int = DEPTH) -
     order = np.argsort(top["key"].to_numpy().astype(np.int64).view(np.uint64), kind="stable")
     keys = top["key"].to_numpy().astype(np.int64).view(np.uint64)[order]
     gain = np.log10(top["n"].to_numpy()[order] + 1.0)
-    model = spark.sparkContext.broadcast((context_tree(counts, depth), keys, gain))
+    grams_n = counts.where("kind = 1").select(F.col("key").alias("code"), "n")
+    values = node_tables(scratch, grams_n, depth)
+    known_grams = scratch.save(gram_steps(decisions(grams_n).join(values[depth].select("key", "p"), "key"), F.first("n").alias("n")), "grams")
+    hot = known_grams.orderBy(F.desc("n"), "code").limit(MAX_GRAMS).select("code", "steps").toArrow()
+    cache = Table(hot["code"].to_numpy().astype(np.uint64), hot["steps"].to_numpy() / -STEP)
+    model = spark.sparkContext.broadcast((cache, keys, gain))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, keys, gain = model.value
+        cache, keys, gain = model.value
         row = TaskContext.get().partitionId() << 33
         for b in batches_of(batches, 200):
             lists = [lower_words(t) for t in utf8(b["text"])]
             texts = [spell(w) for w in lists]
-            score = np.add.reduceat(tree.score(grams(texts, depth)), np.cumsum([0, *map(len, texts[:-1])]))
+            codes, ends = grams(texts, depth), np.cumsum([len(t) for t in texts])
+            cached, score = cache.find(codes)
+            score = np.add.reduceat(np.where(cached, score, 0.0), ends - [len(t) for t in texts])
+            others = [np.unique(x[~c], return_counts=True) for x, c in zip(np.split(codes, ends[:-1]), np.split(cached, ends[:-1]))]
             h = [np.append(word_hashes(w), np.uint64(END)) for w in lists]
             flat = np.concatenate(h)
             at = np.searchsorted(keys, flat).clip(0, max(0, len(keys) - 1))
@@ -298,15 +368,23 @@ def lm_scores(docs: DataFrame, held: Column | None = None, depth: int = DEPTH) -
             m = b.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + m)), b["doc_id"], b["held_out"], pa.array(np.diff(edge)), pa.array(known),
-                 pa.array([len(t) for t in texts], pa.int64()), pa.array(sums), pa.array(score), list_array(rare, pa.int64())],
-                names=["row", "doc_id", "held_out", "n_tokens", "known", "n_bytes", "gain", "score", "rare"])
+                 pa.array([len(t) for t in texts], pa.int64()), pa.array(sums), pa.array(score), list_array(rare, pa.int64()),
+                 list_array([signed(x) for x, _ in others], pa.int64()), list_array([x for _, x in others], pa.int64())],
+                names=["row", "doc_id", "held_out", "n_tokens", "known", "n_bytes", "gain", "cached", "rare", "codes", "times"])
             row += m
 
     scored = scratch.save(d.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, known long, n_bytes long, "
-                                            "gain double, score double, rare array<long>"), "scored")
+                                            "gain double, cached double, rare array<long>, codes array<long>, times array<long>"), "scored")
     rare = (scored.select("row", F.explode("rare").alias("key")).join(words.select("key", "n"), "key")
             .groupBy("row").agg(F.sum(F.log10(F.col("n") + 1.0)).alias("more"), F.count("*").alias("found")))
-    out = scored.drop("rare").join(rare, "row", "left")
+    others = (scored.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x"))
+              .select("row", F.col("x.codes").alias("code"), F.col("x.times").alias("times")))
+    new = scratch.save(unseen_steps(others.select("code").distinct().join(known_grams, "code", "left_anti"), values), "new")
+    scratch.drop(*[f"values{i}" for i in range(depth + 1)])
+    steps = (others.join(known_grams.select("code", "steps").unionByName(new), "code")
+             .groupBy("row").agg(F.sum(F.col("times") * F.col("steps")).alias("steps")))
+    out = scored.drop("rare", "codes", "times").join(rare, "row", "left").join(steps, "row", "left")
+    out = out.withColumn("score", F.col("cached") - F.coalesce("steps", F.lit(0)) / F.lit(float(STEP)))
     base = F.col("gain") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(n + v + 1))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"),
                       F.lit(n).cast("long").alias("train_tokens"), "n_bytes", base.alias("base_score"), "score",

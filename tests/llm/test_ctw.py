@@ -82,6 +82,16 @@ def test_equals_slow_weighting(spark, monkeypatch, depth, frequent):
         assert g.n_bytes == len(spell(t)) and math.isclose(g.bits_per_byte, -s * math.log2(10) / len(spell(t)), rel_tol=1e-4, abs_tol=1e-5)
 
 
+@pytest.mark.parametrize("cached", [1, 7])
+def test_grams_beyond_the_cache_count(spark, monkeypatch, cached):
+    monkeypatch.setattr(ctw, "MAX_GRAMS", cached)
+    rows = list(enumerate(TEXTS * 2))
+    out = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    want = slow_scores([t for (_, t), o in zip(rows, out) if not o], [t for _, t in rows], 4)
+    got = {r.doc_id: r.score for r in ctw.lm_scores(documents(spark, rows), depth=4).collect()}
+    assert any(out) and all(math.isclose(got[i], s, rel_tol=1e-4, abs_tol=1e-5) for (i, _), s in zip(rows, want))
+
+
 def test_bytes_have_probabilities_that_sum_to_one():
     rng = np.random.default_rng(0)
     codes = ctw.grams([bytes(rng.integers(97, 101, 400).astype(np.uint8)) + b"\0"], 3)
