@@ -2,10 +2,11 @@
 
 Each text gives the counts n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words, all over the whole text and inside
 its row. Their vector, on logarithmic scales: word length, symbols per word, share of repeated lines, share of repeated words. For
-each (lang, source) the location and scatter of the vectors come from the ``H`` = 75 % of documents with the least
-covariance determinant: starting from medians and absolute deviations, STEPS concentration steps each take the documents
-nearest by Mahalanobis distance and estimate mean and covariance from them again, corrected for consistency at the normal
-distribution. A document is rejected beyond ``CUTOFF``.
+each (lang, source) the location and scatter of the vectors come from the ``H`` = half of the vectors with the least
+covariance determinant: from each of STARTS (quantiles as locations, absolute deviations from the medians as scales), concentration steps take the
+vectors nearest by Mahalanobis distance and estimate mean and covariance from them again, corrected for consistency at the normal
+distribution, until no determinant falls any more (at most STEPS); the start with the least determinant gives the estimate. Equal
+vectors weigh at most MAX_SAME = 5 % of their group's rows, so copies, whatever their share, don't carry the estimate. A document is rejected beyond ``CUTOFF``.
 
 All statistics are partial aggregations per group, so a group may hold any share of the rows; quantiles are
 percentile_approx with a rank error of 1 in 10,000. Groups of fewer than MIN_GROUP documents are estimated together; if even
@@ -27,8 +28,10 @@ from recengine.llm.common import Scratch, table
 
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
-H = 0.75
-STEPS = 4
+H = 0.5
+STARTS = (0.5, 0.25, 0.75)
+STEPS = 30
+MAX_SAME = 0.05
 MIN_GROUP = 30
 FLOOR = {"x_length": 0.1, "x_symbols": 0.1, "x_lines": 0.1, "x_repeat": 0.1}
 X = tuple(FLOOR)
@@ -101,24 +104,33 @@ def cholesky(cov: DataFrame, x: tuple[str, ...]) -> DataFrame:
 def estimates(v: DataFrame, scratch: Scratch) -> DataFrame:
     """Location and factored scatter of each group ``g`` of the vectors: (g, m_i, l_i_j)."""
     n = len(X)
-    mid = v.groupBy("g").agg(*[F.percentile_approx(x, F.lit(0.5), F.lit(10000)).alias(f"m_{i}") for i, x in enumerate(X)])
+    rows = v.groupBy("g").agg(F.greatest(F.lit(1), F.floor(F.count("*") * F.lit(MAX_SAME))).alias("most"))
+    same = v.groupBy("g", *X).agg(F.count("*").alias("n")).join(rows, "g")
+    v = scratch.save(same.select("g", *X, F.explode(F.expr("array_repeat(0, int(least(n, most)))")).alias("copy")).drop("copy"), "vectors")
+    mid = v.groupBy("g").agg(*[F.percentile_approx(x, F.array(*map(F.lit, STARTS)), F.lit(10000)).alias(f"q_{i}") for i, x in enumerate(X)])
     mid = scratch.save(mid, "median")
-    mad = v.join(mid, "g").groupBy("g", *[f"m_{i}" for i in range(n)]).agg(
-        *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{i}")), F.lit(0.5), F.lit(10000)).alias(f"a_{i}") for i, x in enumerate(X)])
-    params = scratch.save(mad.select("g", *[f"m_{i}" for i in range(n)], *[
+    mad = v.join(mid, "g").groupBy("g", *[f"q_{i}" for i in range(n)]).agg(
+        *[F.percentile_approx(F.abs(F.col(x) - F.col(f"q_{i}")[0]), F.lit(0.5), F.lit(10000)).alias(f"a_{i}") for i, x in enumerate(X)])
+    params = mad.withColumn("start", F.explode(F.array(*[F.lit(k) for k in range(len(STARTS))])))
+    params = scratch.save(params.select("g", "start", *[F.col(f"q_{i}")[F.col("start")].alias(f"m_{i}") for i in range(n)], *[
         (F.greatest(F.col(f"a_{i}") * 1.4826, F.lit(FLOOR[X[i]])) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}")
-        for i in range(n) for j in range(i + 1)]), "start")
+        for i in range(n) for j in range(i + 1)], F.lit(math.inf).alias("log_det")), "start")
     factor = consistency(H, n)
     for step in range(STEPS):
-        far = v.join(params, "g").select("g", *X, distance(X).alias("d"))
-        near = scratch.save(far.groupBy("g").agg(F.percentile_approx("d", F.lit(H), F.lit(10000)).alias("q")), f"near{step}")
-        cov = far.join(near, "g").where("d <= q").groupBy("g").agg(
+        far = v.join(params, "g").select("g", "start", *X, distance(X).alias("d"))
+        near = scratch.save(far.groupBy("g", "start").agg(F.percentile_approx("d", F.lit(H), F.lit(10000)).alias("q")), f"near{step}")
+        cov = far.join(near, ["g", "start"]).where("d <= q").groupBy("g", "start").agg(
             *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(X)],
             *[(F.covar_pop(X[i], X[j]) * factor + (FLOOR[X[i]] ** 2 if i == j else 0)).alias(f"c_{i}_{j}")
               for i in range(n) for j in range(i + 1)])
-        cov = cholesky(cov, X)
-        params = scratch.save(cov.drop(*[f"c_{i}_{j}" for i in range(n) for j in range(i + 1)]), f"step{step}")
-    return params
+        cov = cholesky(cov, X).drop(*[f"c_{i}_{j}" for i in range(n) for j in range(i + 1)])
+        last = params.select("g", "start", F.col("log_det").alias("before"))
+        params = scratch.save(cov.withColumn("log_det", sum(F.log(f"l_{i}_{i}") for i in range(n))), f"step{step}")
+        if params.join(last, ["g", "start"]).where("before - log_det > 1e-9").isEmpty():
+            break
+    # equal determinants: the earlier start
+    best = params.groupBy("g").agg(F.min_by("start", F.struct(F.round("log_det", 9), "start")).alias("start"))
+    return params.join(best, ["g", "start"]).drop("start", "log_det")
 
 
 def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

@@ -79,5 +79,21 @@ def test_junk_goes_and_prose_stays(spark):
     assert all(kept[i] for i in range(200)) and not any(kept[1000 + i] for i in range(40))
 
 
+def test_a_third_of_junk_copies_is_rejected(spark):
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(800)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    junk = " ".join(w + "##" for w in text(200).split())
+    near = [" ".join(w + "##" for w in text(200).split()) for _ in range(35)]
+    rows = [(i, text(int(rng.integers(200, 400)))) for i in range(65)]
+    rows += [(1000 + i, junk) for i in range(35)]
+    rows += [(i, text(int(rng.integers(200, 400))), "de") for i in range(2000, 2065)]
+    rows += [(3000 + i, x, "de") for i, x in enumerate(near)]
+    kept = {r.doc_id: r.kept for r in q.quality_rules(documents(spark, rows)).collect()}
+    assert not any(kept[i] for i in [*range(1000, 1035), *range(3000, 3035)])
+    assert all(kept[i] for i in [*range(65), *range(2000, 2065)])
+
+
+
 def test_empty_table(spark):
     assert q.quality_rules(documents(spark, [])).collect() == []
