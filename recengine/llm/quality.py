@@ -33,10 +33,10 @@ STARTS = (0.5, 0.25, 0.75)
 STEPS = 30
 MAX_SAME = 0.05
 MIN_GROUP = 30
-FLOOR = {"x_length": 0.1, "x_symbols": 0.1, "x_lines": 0.1, "x_repeat": 0.1}
+FLOOR = {"x_length": 0.05, "x_symbols": 0.05, "x_lines": 0.05, "x_repeat": 0.05}
 X = tuple(FLOOR)
-#: Chi-square with 4 degrees of freedom: its upper tail is exp(-t/2) * (1 + t/2), 5e-6 at 30.
-CUTOFF = 30.0
+#: Chi-square with 4 degrees of freedom: its upper tail is exp(-t/2) * (1 + t/2), 0.001 at 18.467.
+CUTOFF = 18.467
 
 
 def base_counts(docs: DataFrame) -> DataFrame:

@@ -95,5 +95,17 @@ def test_a_third_of_junk_copies_is_rejected(spark):
 
 
 
+def test_each_kind_of_junk_alone_is_rejected(spark):
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(800)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    rows = [(i, text(int(rng.integers(60, 3000)))) for i in range(200)]
+    rows += [(1000 + i, "\n".join([text(9)] * 4 + [text(12) for _ in range(5)])) for i in range(5)]
+    rows += [(2000 + i, text(120).replace(" ", " | ")) for i in range(5)]
+    rows += [(3000 + i, " ".join([text(30)] * 2 + [text(70)])) for i in range(5)]
+    kept = {r.doc_id: r.kept for r in q.quality_rules(documents(spark, rows)).collect()}
+    assert [i for i, k in kept.items() if not k] and {i for i, k in kept.items() if k} == set(range(200))
+
+
 def test_empty_table(spark):
     assert q.quality_rules(documents(spark, [])).collect() == []
