@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recengine.llm import chat_format, ctw, decontaminate, html_extract, language_id, mixing, ngram_join, quality, substring_dedup, token_output
+from recengine.llm import chat_format, ctw, decontaminate, fill_in_middle, html_extract, language_id, mixing, ngram_join, quality, substring_dedup, token_output
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
 }
 
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op7_substring_dedup": substring_dedup.OP7_SQL,
     "op8_chat_format": chat_format.OP8_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
+    "op12_fill_in_middle": fill_in_middle.OP12_SQL,
 }
