@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recengine.llm import chat_format, ctw, decontaminate, fill_in_middle, html_extract, language_id, mixing, ngram_join, quality, substring_dedup, token_output
+from recengine.llm import chat_format, ctw, decontaminate, fill_in_middle, html_extract, language_id, minhash_join, mixing, ngram_join, quality, substring_dedup, token_output, vector_codes
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_minhash_join": minhash_join.op11_minhash_join,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 ORACLE = {
@@ -24,5 +26,7 @@ ORACLE = {
     "op7_substring_dedup": substring_dedup.OP7_SQL,
     "op8_chat_format": chat_format.OP8_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
+    "op11_minhash_join": minhash_join.OP11_SQL,
     "op12_fill_in_middle": fill_in_middle.OP12_SQL,
+    "op13_vector_codes": vector_codes.OP13_SQL,
 }
