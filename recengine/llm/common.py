@@ -157,12 +157,17 @@ def connected_components(scratch: Scratch, edges: DataFrame, name: str) -> DataF
 
     Rounds of contraction inside tasks and of alternating large star and small star: every node links its neighbours to the
     smallest of them, by a partial aggregation and a join on the node, until the edges are stars. Nothing is
-    collected; hot nodes are split by the adaptive skew join. Each round is written to the shared folder.
+    collected; hot nodes are split by the adaptive skew join. Each round is written to the shared folder. Edges that one task contracts
+    whole (CHUNK_EDGES at most) need no rounds.
     """
     e = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                      .distinct(), f"{name}-0")
     state = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     last, step = state(e), 0
+    if last[0] <= CHUNK_EDGES:
+        stars = scratch.save(contracted(e.coalesce(1)), f"{name}-1")
+        scratch.drop(f"{name}-0")
+        return as_components(stars)
     while True:
         less = contracted(e)
         both = less.unionByName(less.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -176,6 +181,11 @@ def connected_components(scratch: Scratch, edges: DataFrame, name: str) -> DataF
         scratch.drop(f"{name}-{step - 1}")
         now = state(e)
         if now == last:
-            return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-                    .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
+            return as_components(e)
         last = now
+
+
+def as_components(stars: DataFrame) -> DataFrame:
+    """(node, component) from edges (u, v) of every node to its component's least."""
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -29,6 +29,8 @@ from recengine.llm.common import Scratch, connected_components
 
 #: Classes of a block that is screened, and of one that carries sets; elements of the sets of a block.
 SCREEN, BLOCK, ELEMENTS = 1024, 256, 2_000_000
+#: Copies of a component's row in a join by component.
+SALTS = 16
 #: Another round of blocks follows while the last one united at least so large a share of its members.
 WORTH = 0.02
 
@@ -38,12 +40,12 @@ class Comparer:
 
     percent = 100
 
-    def matrix(self, signatures: list[bytes]) -> np.ndarray:
-        """Signatures of the classes of a unit, one per row."""
+    def matrix(self, signatures: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Signatures of the classes of a unit: arrays with a row for each."""
         raise NotImplementedError
 
-    def scores(self, key: int, n: np.ndarray, m: np.ndarray, x: int, others: np.ndarray) -> np.ndarray:
-        """A likelihood of a link of class x with each of the others; negative where none is possible."""
+    def scores(self, key: int, n_x: int, x: tuple[np.ndarray, ...], n: np.ndarray, m: tuple[np.ndarray, ...]) -> np.ndarray:
+        """A likelihood of a link of a class (set size n_x, signature x) with each of the others (n, m); negative where none is possible."""
         raise NotImplementedError
 
     def links(self, a: np.ndarray, b: np.ndarray) -> bool:
@@ -66,13 +68,13 @@ def components(scratch: Scratch, found: DataFrame, name: str) -> DataFrame:
     return parts
 
 
-def apart(members: DataFrame, parts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(key, cls, n, component, major, minors, size, n_minor, n_all) of the lists of three or more classes in several components."""
+def apart(members: DataFrame, parts: DataFrame, scratch: Scratch, name: str, least: int = 2) -> DataFrame:
+    """(key, cls, n, component, major, minors, size, n_minor, n_all) of the lists of ``least`` or more members in several components."""
     m = members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     m = scratch.save(m.select("key", "cls", "n", "component"), name)
     per = m.groupBy("key", "component").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     lists = per.groupBy("key").agg(F.max(F.struct("c", "s", "component")).alias("top"), F.sum("c").alias("size"), F.sum("s").alias("n_all"),
-                                   F.count("*").alias("components")).where("components > 1 and size > 2")
+                                   F.count("*").alias("components")).where(f"components > 1 and size >= {least}")
     lists = lists.select("key", F.col("top.component").alias("most"), "size", "n_all", (F.col("size") - F.col("top.c")).alias("minors"),
                          (F.col("n_all") - F.col("top.s")).alias("n_minor"))
     return m.join(lists, "key").withColumn("major", F.col("component") == F.col("most")).drop("most")
@@ -110,11 +112,19 @@ def hopeful_pairs(t: pa.Table, comparer: Comparer, label: np.ndarray) -> Iterato
     m = comparer.matrix(t["signature"].to_pylist())
     i, j, key = t["i"][0].as_py(), t["j"][0].as_py(), t["key"][0].as_py()
     right = np.flatnonzero(block == j)
+    n_right, m_right = n[right], tuple(a[right] for a in m)
     for x in np.flatnonzero(block == i).tolist():
-        others = right[(label[right] != label[x]) & ((right > x) | (i != j))]
-        if len(others):
-            score = comparer.scores(key, n, m, x, others)
-            yield x, others[np.argsort(-score, kind="stable")[:np.count_nonzero(score >= 0)]]
+        open_ = (label[right] != label[x]) & ((right > x) | (i != j))
+        places = np.flatnonzero(open_)
+        if not len(places):
+            continue
+        one = tuple(a[x] for a in m)
+        if 4 * len(places) < len(right):
+            score = comparer.scores(key, n[x], one, n_right[places], tuple(a[places] for a in m_right))
+        else:  # all of the block, without copying its signatures
+            score = comparer.scores(key, n[x], one, n_right, m_right)[places]
+        good = np.flatnonzero(score >= 0)
+        yield x, right[places[good[np.argsort(-score[good], kind="stable")]]]
 
 
 def labels(t: pa.Table) -> np.ndarray:
@@ -150,6 +160,18 @@ def united(units: DataFrame, info: DataFrame, sets: DataFrame, comparer: Compare
     return full.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
 
 
+def class_ids(slim: DataFrame, parts: DataFrame) -> DataFrame:
+    """(cls, component, component_id) of each class: the least doc_id of its component. A component may hold any share of the classes: its
+    ids are added up class by class and go back in SALTS copies."""
+    own = slim.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("own"))
+    c = own.join(parts.withColumnRenamed("node", "cls"), "cls", "left")
+    linked = c.where("component is not null").withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
+    least = linked.groupBy("component").agg(F.min("own").alias("component_id")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = linked.join(least, ["component", "salt"]).select("cls", "component", "component_id")
+    return joined.unionByName(c.where("component is null").select("cls", F.col("cls").alias("component"), F.col("own").alias("component_id")))
+
+
 def resolve(scratch: Scratch, twins: DataFrame, info: DataFrame, found: DataFrame, sets_of, comparer: Comparer,
             rounds: Sequence[Column]) -> DataFrame:
     """(node, component) of the linked classes.
@@ -160,7 +182,7 @@ def resolve(scratch: Scratch, twins: DataFrame, info: DataFrame, found: DataFram
     """
     parts = components(scratch, found, "parts")
     members = scratch.save(memberships(twins).join(info.select("cls", "n"), "cls"), "members")
-    lists = apart(members, parts, scratch, "apart")
+    lists = apart(members, parts, scratch, "apart", 3)  # the pair of a list of two is known
     hopeful = scratch.save(screened(crossing(lists, SCREEN, False), info, comparer), "hopeful")
     scratch.drop("apart")
     if hopeful.isEmpty():

@@ -15,7 +15,7 @@ The rest, without all pairs of a list. Lists that lie in several components afte
 inside units of two blocks; a pair is skipped where an earlier coordinate of the prefix already put both in one list; pairs at the
 threshold are confirmed inside the unit, and links that unite components come out, never pairs. What this proves is each
 document's component: pairs inside one component are not all compared. A link is missed only if its signatures miss the threshold or the
-prefix: less than 2 * MISS for each link, and only where no other path joins its ends.
+prefix: less than 3 * MISS for each link, and only where no other path joins its ends.
 
 Null texts and texts without words have an empty set and link with nothing; their component is their own id. A text of fewer words than n has its whole
 sequence as its one shingle. Null doc_ids take part, but are never a component's id (unless the component has no other). Rows of
@@ -33,13 +33,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recengine.llm.common import Scratch, batches_of, finish, list_array, signed, table, utf8
-from recengine.llm.link_blocks import Comparer, resolve
+from recengine.llm.link_blocks import Comparer, class_ids, resolve
 from recengine.llm.ngram_join import class_sets, first_texts, set_key, shingle_set, verified
 
 SHINGLE, PERCENT = 5, 85
 COORDINATES, MISS = 128, 1e-12
-#: Postings that a task resolves together, elements of a set that are hashed at once, and copies of a component's id in the last join.
-CHUNK_POSTINGS, PIECE, SALTS = 500_000, 2048, 16
+#: Coordinates, in 64-bit words of eight, that are compared first.
+HEAD = 5
+#: Postings that a task resolves together, and elements of a set that are hashed at once.
+CHUNK_POSTINGS, PIECE = 500_000, 2048
 
 #: Hash function c of an element is (element xor MASKS[c]) * FACTORS[c]; the elements are well-spread hashes already.
 MASKS = finish(np.arange(1, COORDINATES + 1, dtype=np.uint64))
@@ -51,14 +53,14 @@ def prefix_length(percent: int, miss: float = MISS) -> int:
     return next((p for p in range(1, COORDINATES) if (1 - percent / 100) ** p <= miss), COORDINATES)
 
 
-def match_threshold(percent: int, miss: float = MISS) -> int:
-    """The largest number of matches that two sets that link reach, but for a probability of ``miss``."""
+def match_threshold(percent: int, miss: float = MISS, of: int = COORDINATES) -> int:
+    """The largest number of matches among ``of`` coordinates that two sets that link reach, but for a probability of ``miss``."""
     p, below = percent / 100, 0.0
-    for t in range(COORDINATES):
-        below += math.comb(COORDINATES, t) * p ** t * (1 - p) ** (COORDINATES - t)
+    for t in range(of):
+        below += math.comb(of, t) * p ** t * (1 - p) ** (of - t)
         if below > miss:
             return t
-    return COORDINATES
+    return of
 
 
 def minima(s: np.ndarray) -> np.ndarray:
@@ -80,27 +82,43 @@ def postings(values: np.ndarray, prefix: int) -> np.ndarray:
     return (np.arange(prefix, dtype=np.uint64) << np.uint64(32)) | (values[:prefix] >> np.uint64(32))
 
 
+def equal_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Equal bytes of 64-bit words, added up along the last axis."""
+    low = np.uint64(0x7F7F7F7F7F7F7F7F)
+    v = a ^ b
+    zero = ~(((v & low) + low) | v | low)  # the top bit of each zero byte
+    return np.bitwise_count(zero).sum(-1, dtype=np.int64)
+
+
 class Matches(Comparer):
     """Counts matching coordinates; a pair that shares an earlier coordinate of the prefix is left to that one's list."""
 
     def __init__(self, percent: int):
         self.percent, self.prefix, self.threshold = percent, prefix_length(percent), match_threshold(percent)
+        self.head_threshold = match_threshold(percent, of=8 * HEAD)
 
     def matrix(self, signatures):
-        return np.frombuffer(b"".join(signatures), np.uint8).reshape(len(signatures), -1)
+        """(values of the prefix, the first bytes of the coordinates, the others)."""
+        rows = np.frombuffer(b"".join(signatures), np.uint8).reshape(len(signatures), -1)
+        words = np.ascontiguousarray(rows[:, 4 * self.prefix:]).view(np.uint64)
+        return (np.ascontiguousarray(rows[:, :4 * self.prefix]).view(np.uint32), np.ascontiguousarray(words[:, :HEAD]),
+                np.ascontiguousarray(words[:, HEAD:]))
 
     def counts(self, a, b):
-        """Matches of signatures row by row, below the threshold -1."""
-        same = np.count_nonzero(a[..., 4 * self.prefix:] == b[..., 4 * self.prefix:], axis=-1)
-        return np.where(same >= self.threshold, same, -1)
-
-    def scores(self, key, n, m, x, others):
-        score = self.counts(m[others], m[x])
-        low, high = np.minimum(n[others], n[x]), np.maximum(n[others], n[x])
-        score[100 * low < self.percent * high] = -1
-        if before := key >> 32:
-            first = m[:, :4 * before].reshape(len(m), before, 4)
-            score[(first[others] == first[x]).all(-1).any(-1)] = -1
+        """Matches of signatures (last two arrays of ``matrix``), row by row; -1 below the threshold. Few pairs get beyond the first coordinates."""
+        out = equal_bytes(a[0], b[0])
+        on = np.flatnonzero(out >= self.head_threshold)
+        same = out[on] + equal_bytes(a[1][on], b[1] if b[1].ndim == 1 else b[1][on])
+        out[:] = -1
+        out[on] = np.where(same >= self.threshold, same, -1)
+        return out
+
+    def scores(self, key, n_x, x, n, m):
+        score = self.counts(m[1:], x[1:])
+        score[100 * np.minimum(n, n_x) < self.percent * np.maximum(n, n_x)] = -1
+        on = np.flatnonzero(score >= 0)
+        if len(on) and (before := key >> 32):
+            score[on[(m[0][on, :before] == x[0][:before]).any(-1)]] = -1
         return score
 
 
@@ -155,7 +173,7 @@ def at_threshold(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
         for rows in batches:
             if rows.num_rows:
                 a, b = (comparer.matrix(rows[c].to_pylist()) for c in ("signature_a", "signature_b"))
-                keep = pa.array(comparer.counts(a, b) >= 0)
+                keep = pa.array(comparer.counts(a[1:], b[1:]) >= 0)
                 yield pa.RecordBatch.from_arrays([rows["a"].filter(keep), rows["b"].filter(keep)], names=["a", "b"])
 
     side = lambda k: info.select(F.col("cls").alias(k), F.col("n").alias(f"n_{k}"), F.col("signature").alias(f"signature_{k}"))
@@ -163,18 +181,6 @@ def at_threshold(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "signature_a", "signature_b").mapInArrow(run, "a long, b long")
 
 
-def class_ids(slim: DataFrame, parts: DataFrame) -> DataFrame:
-    """(cls, component_id) of each class: the least doc_id of its component. Components may be large: their ids are added up class by
-    class and go back in SALTS copies."""
-    own = slim.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("own"))
-    c = own.join(parts.withColumnRenamed("node", "cls"), "cls", "left")
-    linked = c.where("component is not null").withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
-    least = linked.groupBy("component").agg(F.min("own").alias("component_id")).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = linked.join(least, ["component", "salt"]).select("cls", "component_id")
-    return joined.unionByName(c.where("component is null").select("cls", F.col("own").alias("component_id")))
-
-
 def minhash_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, n_shingles, cls, component_id) per row of ``docs``; text_key is a hash of the text, cls of its set (null when empty)."""
     scratch = Scratch(docs.sparkSession, "minhash")
@@ -198,8 +204,8 @@ def minhash_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> D
     sets_of = lambda c: class_sets(docs, first_texts(slim, c), n)
     parts = resolve(scratch, twins, info, found, sets_of, comparer,
                     [F.shiftright("key", 32) == c for c in range(comparer.prefix)])
-    scratch.drop("twins", "info")
     ids = scratch.save(class_ids(slim, parts), "ids")
+    scratch.drop(*[name for name in scratch.paths if name not in ("slim", "ids")])
     return slim.join(ids, "cls", "left").select(
         "doc_id", "text_key", "n_shingles", "cls", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 

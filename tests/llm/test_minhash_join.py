@@ -73,7 +73,9 @@ def test_linked_sets_reach_prefix_and_threshold(percent):
             x, y = j.minima(a), j.minima(b)
             m = comparer.matrix([j.signature(x, comparer.prefix), j.signature(y, comparer.prefix)])
             assert (j.postings(x, comparer.prefix) == j.postings(y, comparer.prefix)).any()
-            assert comparer.counts(m[0], m[1]) >= comparer.threshold
+            one, other = (tuple(a[k] for a in m[1:]) for k in (0, 1))
+            count = comparer.counts(tuple(a[:1] for a in m[1:]), other)[0]
+            assert count >= comparer.threshold and count == np.count_nonzero(x.astype(np.uint8) == y.astype(np.uint8)) and len(one) == 2
             matches.append(np.mean(x == y) - len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
     assert len(matches) > 200 and abs(np.mean(matches)) < 0.01  # matches estimate the similarity
 
