@@ -9,13 +9,12 @@ tile cuts the hash space into k + 1 ranges, k taken for the largest sizes of its
 sums of the elements of each range are the tile's signatures (at 90 %, about one per ten shingles), and only sets that share one
 are compared.
 
-Comparisons, without all pairs of a group. (1) Each member of a signature's group is compared with one center of the group: first
+Comparisons, without all pairs of a group. Each member of a signature's group is compared with one center of the group: first
 inside the chunk of documents that a task reads, whose first holder alone passes the signature on (so that a group reaches
-the shuffle as at most one row per chunk, copies not at all), then among these. (2) Where the verified links leave a group of
-three or more in several components, its members are compared with the most linked one. (3) Where that leaves several still,
-the pairs across components are taken in blocks of at most BLOCK x BLOCK. In each step, bit counts of the hashed bitmaps bound
-the overlap from above, |A and B| <= |A| - popcount(a & ~b), and only pairs that may still link are verified: the sets of their
-classes are made again from one text each, and the sorted arrays intersected exactly.
+the shuffle as at most one row per chunk, copies not at all), then among these. Groups that the links leave in several
+components are resolved in blocks (``link_blocks``). In each step, bit counts of the hashed bitmaps bound
+the overlap from above, |A and B| <= |A| - popcount(a & ~b), and only pairs that may still link are confirmed by the exact intersection of the
+sorted arrays: pairs of a member and its center by a join with the sets, which are made again from one text of each class, others inside the blocks.
 Joins are left to the adaptive skew split, and a group is never held by one task: its blocks are.
 
 What this proves is each document's component: pairs inside one component are not all verified, but no link between
@@ -36,14 +35,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from recengine.llm.common import (MIX_A, Scratch, batches_of, connected_components, finish, list_array, lower_words,
-                                  ngram_hashes, signed, table, utf8, word_hashes)
+from recengine.llm.common import MIX_A, Scratch, batches_of, finish, list_array, lower_words, ngram_hashes, signed, table, utf8, word_hashes
+from recengine.llm.link_blocks import SALTS, Comparer, class_ids, resolve
 
 SHINGLE = 3
 PERCENT = 90
-#: Sets in one side of a block. Bits of a bitmap per shingle, and its least and greatest number of 64-bit words.
-BLOCK = 256
-BITS_PER_SHINGLE, LEAST_WORDS, MOST_WORDS = 2, 2, 512
+#: Bits of a bitmap per shingle, and its least and greatest number of 64-bit words.
+BITS_PER_SHINGLE, LEAST_WORDS, MOST_WORDS = 8, 2, 4096
 LAST = 2 ** 63 - 1
 #: Signatures of the documents that a task resolves together.
 CHUNK_SIGNATURES = 500_000
@@ -223,65 +221,20 @@ def verified(pairs: DataFrame, docs: DataFrame, slim: DataFrame, n: int, percent
     return out
 
 
-def block_pairs(members: DataFrame, *columns: str) -> DataFrame:
-    """Members of groups (sig, cls, component, ...) dealt to the pairs (i, j) of blocks of about BLOCK sets, i <= j."""
-    groups = members.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(groups, "sig").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    # a set of block x is on one side of the block pairs (x, y) and (y, x), written with the lower first
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return rows.withColumn("other", other).select(
-        "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "component", *columns)
-
-
-def unit(t: pa.Table, maps: list[np.ndarray], n: np.ndarray, percent: int, visit) -> None:
-    """Calls visit(x, y) for the pairs of a unit whose components differ (visit may unite them) and whose bits allow a link."""
-    block, cls = (t[c].to_numpy() for c in ("block", "cls"))
-    label = np.unique(t["component"].to_numpy(), return_inverse=True)[1]
-    words = min(map(len, maps))
-    bits = np.array([folded(x, words) for x in maps])
-    i, j = t["i"][0].as_py(), t["j"][0].as_py()
-    right = np.flatnonzero(block == j)
-    for x in np.flatnonzero(block == i).tolist():
-        y = right[(label[right] != label[x]) & ((cls[right] > cls[x]) | (i != j))]
-        bound = overlap_bound(n[x], n[y], bits[x], bits[y])
-        hopeful = links(bound, n[x], n[y], percent)
-        for z in y[hopeful][np.argsort(-bound[hopeful], kind="stable")].tolist():
-            if label[z] != label[x] and visit(x, z):
-                label[label == label[z]] = label[x]
-
-
-def across_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) across components inside each group that may link. members: (sig, cls, component, n, bits)."""
-    def compare(t: pa.Table) -> pa.Table:
-        cls, out = t["cls"].to_numpy(), []
-
-        def visit(x, z):
-            out.append((min(int(cls[x]), int(cls[z])), max(int(cls[x]), int(cls[z]))))
-            return False
-        unit(t, [np.frombuffer(x, np.uint64) for x in t["bits"].to_pylist()], t["n"].to_numpy(), percent, visit)
-        return pa.table({k: pa.array([p[m] for p in out], pa.int64()) for m, k in enumerate(("a", "b"))})
-
-    return block_pairs(members, "n", "bits").groupBy("sig", "i", "j").applyInArrow(compare, "a long, b long").distinct()
-
-
-def apart_members(twins: DataFrame, parts: DataFrame) -> DataFrame:
-    """(sig, cls, component) of the groups of three or more classes in several components, each membership once."""
-    members = twins.select("sig", "cls").unionByName(twins.select("sig", F.col("center").alias("cls"))).distinct()
-    members = members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "sig", "cls", F.coalesce("component", "cls").alias("component"))
-    apart = (members.groupBy("sig").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("same"),
-                                        F.min("component").alias("c"), F.max("component").alias("d"))
-             .where("size > 2 and c < d").groupBy("size", "same").agg(F.min("sig").alias("sig")).select("sig"))
-    return members.join(apart, "sig", "left_semi")
-
-
-def hub_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of each group's most linked member with the members of other components: most near copies link with it."""
-    degree = found.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("degree"))
-    m = members.join(degree, "cls", "left")
-    hubs = m.groupBy("sig").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "cls", "component")).alias("h"))
-    m = m.join(hubs, "sig").where("component <> h.component")
-    return m.select(F.least("cls", "h.cls").alias("a"), F.greatest("cls", "h.cls").alias("b")).distinct()
+class Bitmaps(Comparer):
+    """Bounds of the overlap from hashed bitmaps."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+
+    def matrix(self, signatures):
+        maps = [np.frombuffer(x, np.uint64) for x in signatures]
+        words = min(map(len, maps))
+        return (np.array([folded(x, words) for x in maps]),)
+
+    def scores(self, key, n_x, x, n, m):
+        bound = overlap_bound(n, n_x, m[0], x[0])
+        return np.where(links(bound, n, n_x, self.percent), bound, -1)
 
 
 def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -302,26 +255,17 @@ def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Dat
     slim = scratch.save(rows.select("doc_id", "text_key", "n_shingles", "cls"), "slim")
     info = scratch.save(rows.where("bits is not null").select("cls", F.col("n_shingles").alias("n"), "bits")
                         .join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "info")
-    scratch.drop("rows")
+    scratch.drop("rows", "classes")
     hopeful = scratch.save(may_link(tested, info, percent), "hopeful")
     found = verified(hopeful, docs, slim, n, percent, scratch, "links")
-    parts = scratch.save(connected_components(scratch, found, "parts"), "parts")
-    # groups of three or more that the links leave apart: first by their hubs, then block by block
-    more = scratch.save(hub_pairs(apart_members(twins, parts), found).join(tested, ["a", "b"], "left_anti"), "hubs")
-    tested = tested.unionByName(more)
-    found = found.unionByName(verified(scratch.save(may_link(more, info, percent), "hub-hopeful"), docs, slim, n, percent, scratch, "hub-links"))
-    parts = scratch.save(connected_components(scratch, found, "joined"), "joined")
-    members = scratch.save(apart_members(twins, parts).join(info, "cls"), "members")
-    more = scratch.save(across_pairs(members, percent).join(tested, ["a", "b"], "left_anti"), "across")
-    scratch.drop("members")
-    if not more.isEmpty():
-        found = found.unionByName(verified(more, docs, slim, n, percent, scratch, "more-links"))
-        parts = connected_components(scratch, found, "whole")
-    named = slim.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "component", F.coalesce("component", "cls"))
-    named = scratch.save(named, "named")
-    ids = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(ids, "component", "left").select(
+    scratch.drop("stars", "hopeful")
+    # a group's ranges take turns in the rounds
+    rounds = [F.pmod(F.xxhash64("key"), F.lit(8)) == k for k in range(8)]
+    parts = resolve(scratch, twins.withColumnRenamed("sig", "key"), info.withColumnRenamed("bits", "signature"), found,
+                    lambda c: class_sets(docs, first_texts(slim, c), n), Bitmaps(percent), rounds)
+    ids = scratch.save(class_ids(slim, parts), "ids")
+    scratch.drop(*[name for name in scratch.paths if name not in ("slim", "ids")])
+    return slim.join(ids, "cls", "left").select(
         "doc_id", "text_key", "n_shingles", "cls", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -329,22 +273,25 @@ def one_of_each(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row of least doc_id (nulls last, then by a hash of
     the text) stays, once. Documents with an empty set all stay."""
     scratch = Scratch(docs.sparkSession, "ngram-keep")
-    d = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": F.xxhash64("text")})
-    joined = scratch.save(ngram_join(docs, n, percent).where("component is not null"), "joined")
+    # the row goes along as one value, so that its columns' names don't matter
+    d = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = scratch.save(ngram_join(docs, n, percent).where("component is not null").select("component", "doc_id", "text_key"), "joined")
     last = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
-    kept = joined.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_key"), last).alias("k"))
-    gone = joined.join(kept, "component").where(~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("text_key") == F.col("k.text_key"))))
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    kept = joined.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_key"), last).alias("k"), F.count("*").alias("rows"))
+    # rows of a component meet its kept row in SALTS places
+    kept = kept.where("rows > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = joined.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)).cast("int"))
+    gone = salted.join(kept, ["component", "salt"]).where(
+        ~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("text_key") == F.col("k.text_key"))))
+    gone = gone.select(F.col("doc_id").alias("g"), F.col("text_key").alias("h")).distinct()
     # ids of repeated rows: equal rows are one document and stay once
-    again = joined.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    rest = d.join(gone.withColumnsRenamed({"__id": "g", "__key": "h"}), F.col("__id").eqNullSafe(F.col("g")) & (F.col("__key") == F.col("h")), "left_anti")
-    same = F.col("__id").eqNullSafe(F.col("g")) & (F.col("__key") == F.col("h"))
-    again = again.withColumnsRenamed({"__id": "g", "__key": "h"})
-    if again.isEmpty():
-        return rest.select(*docs.columns)
-    once = rest.join(again, same, "left_semi").dropDuplicates(["__id", "__key"])
-    return rest.join(again, same, "left_anti").unionByName(once).select(*docs.columns)
+    again = joined.groupBy(F.col("doc_id").alias("g"), F.col("text_key").alias("h")).agg(F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    same = F.col("id").eqNullSafe(F.col("g")) & (F.col("key") == F.col("h"))
+    rest = d.join(gone, same, "left_anti")
+    if not again.isEmpty():
+        once = rest.join(again, same, "left_semi").dropDuplicates(["id", "key"])
+        rest = rest.join(again, same, "left_anti").unionByName(once)
+    return rest.select("row.*")
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

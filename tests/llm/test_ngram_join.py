@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from llm_helpers import documents
-from recengine.llm import ngram_join as j
+from recengine.llm import link_blocks, ngram_join as j
 
 
 def brute(rows, n=3, percent=90):
@@ -48,7 +48,8 @@ def near_copies(rng, n_words, copies, edits):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_near_copies_equal_brute_force(spark, seed, monkeypatch):
-    monkeypatch.setattr(j, "BLOCK", 8)  # groups of many blocks
+    monkeypatch.setattr(link_blocks, "BLOCK", 8)  # groups of many blocks
+    monkeypatch.setattr(link_blocks, "SCREEN", 16)
     rng = random.Random(seed)
     texts = []
     for size in (4, 9, 10, 12, 19, 21, 40, 60, 100, 250, 700):
