@@ -8,16 +8,18 @@ A page becomes a tree of elements with its runs of text (blocks) as leaves. Ever
   inside   anything inside a marked element
 Node potentials are P(feature | state) of its tag, of hints in its class, id and role, and for a block of its length, share of
 linked words, last character and kind of element; edge potentials are P(state | state of the parent). Only
-elements with a naming tag or hint can be marked. Inside, an element's potential is the greater of content's and other's, and a
+elements with a naming tag or a strong hint can be marked. A hint is strong where a whole class or role names the element, or its id, unless that
+is an anchor (of a heading, or of a section inside an article); other matches are weak: a feature with mild potentials, which prose outweighs. Inside, an element's potential is the greater of content's and other's, and a
 block's is content's: prose there is no evidence that the part belongs to the article. Messages pass from
 the leaves to the root and back, which gives every block's exact marginal; blocks with P(content) >= 1/2 are kept.
 
 The potentials are counted on labelled pages and smoothed with the prior counts below. Labelled pages are those whose markup says what is
 the article (one outermost article or main element, or role main): what lies inside is content, apart from subtrees
-with a hint of another kind; its ancestors are frame; the rest is other. At most MAX_TRAIN_PAGES pages are learned from, picked
-by a hash of the whole row; every page is parsed and labelled by the model alone, whole.
+with a strong hint of another kind; its ancestors are frame; the rest is other. At most MAX_TRAIN_PAGES pages with such markup are learned from, picked
+by a hash of page_id, url and html; every page is parsed and labelled by the model alone, whole.
 
-Scripts, styles, comments, head and similar elements hold no text. Character references are decoded, white space in a block
+Scripts, styles, comments, head, form fields and similar elements hold no text; formulas, drawings, buttons and embedded objects hold theirs, as inline
+elements. Character references are decoded, white space in a block
 becomes one blank, blocks are joined by an empty line in page order. br is white space. Open elements are closed as browsers do in
 the usual cases (p before a block, li, table cells, end of page). Null or empty html, and pages without content, give ''.
 """
@@ -40,7 +42,7 @@ FRAME, CONTENT, OTHER, MARKED, INSIDE = range(5)
 
 #: Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style head title noscript template svg math iframe object select button datalist canvas audio video textarea".split())
+SILENT = frozenset("script style head title noscript template iframe select datalist textarea annotation annotation-xml".split())
 RAW = frozenset("script style title textarea noscript iframe template".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table "
@@ -61,6 +63,13 @@ HINTS = {
     CONTENT: frozenset("article content post entry story main body text maincontent articlebody page-content".split()),
 }
 
+#: Words that alone are no more than a weak hint, and words beside a hint that leave it whole.
+VAGUE = frozenset("more discussion search tags rating legal form alert notice skip share popular feedback contact promotion trending text body".split())
+BESIDE = frozenset("box wrapper wrap container section block list area inner outer bar item items site page top bottom left right main global primary "
+                   "secondary widget widgets links link panel module group holder div row col column".split())
+#: Elements whose id is an anchor, and those of which it is one inside an article.
+ANCHORED, ANCHORED_INSIDE = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd a".split()), frozenset("section figure table blockquote ol ul dl pre".split())
+
 #: Prior counts (frame, content, other) of each feature's values; unlisted values start from (1, 1, 1).
 PRIOR = {
     ("tag", "article"): (0.1, 60, 0.02), ("tag", "main"): (40, 40, 1), ("tag", "nav"): (0.02, 0.02, 200), ("tag", "footer"): (0.02, 0.02, 200),
@@ -69,7 +78,7 @@ PRIOR = {
     ("tag", "p"): (0.1, 60, 20), ("tag", "div"): (60, 40, 60), ("tag", "section"): (30, 40, 30), ("tag", "text"): (0.01, 60, 60),
     ("tag", "inline"): (1, 60, 60), ("tag", "list"): (5, 30, 60), ("tag", "heading"): (0.1, 40, 20), ("tag", "table"): (10, 30, 20),
     ("hint", "other"): (0.5, 0.02, 300), ("hint", "content"): (30, 100, 0.5), ("hint", "both"): (5, 5, 30),
-    ("marked", True): (1, 1, 1),
+    ("marked", True): (1, 1, 1), ("weak", True): (10, 20, 60),
     ("words", 0): (1, 6, 30), ("words", 1): (1, 15, 30), ("words", 2): (1, 30, 20), ("words", 3): (1, 40, 8),
     ("links", 0): (1, 90, 40), ("links", 1): (1, 12, 8), ("links", 2): (1, 4, 60),
     ("end", "stop"): (1, 70, 25), ("end", "none"): (1, 30, 70),
@@ -104,21 +113,34 @@ def tag_kind(tag: str) -> str:
     return tag if tag in known else "block" if tag in BLOCK else "inline"
 
 
-def hint_of(tag: str, attributes: str) -> tuple[str | None, bool, bool]:
-    """(hint, hidden, says that it is the main part) of an element."""
-    found, hidden, main = set(), False, tag in ("article", "main")
+def token_hints(token: str, anchor: bool) -> tuple[set[int], bool]:
+    """(states that a token of class, id or role hints at, whether the hint at other is weak)."""
+    parts = _HINT_WORD.findall(token)
+    words = {token, *parts}
+    if words & _ABOUT:
+        return set(), False
+    found = {state for state, known in HINTS.items() if words & known}
+    whole = token in HINTS[OTHER] - VAGUE or any(p in HINTS[OTHER] - VAGUE for p in parts) and all(
+        p in HINTS[OTHER] or p in BESIDE for p in parts)
+    return found, OTHER in found and (anchor or not whole)
+
+
+def hint_of(tag: str, attributes: str, in_article: bool = False) -> tuple[str | None, bool, bool, bool]:
+    """(hint, weak hint at other, hidden, says that it is the main part) of an element."""
+    found, weak, hidden, main = set(), False, False, tag in ("article", "main")
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             hidden = True
         elif name in ("class", "id", "role"):
             main |= name == "role" and value in ("main", "article")
+            anchor = name == "id" and (tag in ANCHORED or in_article and tag in ANCHORED_INSIDE)
             for token in value.split():
-                words = {token, *_HINT_WORD.findall(token)}
-                if not words & _ABOUT:
-                    found |= {state for state, known in HINTS.items() if words & known}
+                states, slight = token_hints(token, anchor)
+                weak |= slight
+                found |= states - {OTHER} if slight else states
     hint = None if not found else "both" if len(found) > 1 else "content" if CONTENT in found else "other"
-    return hint, hidden, main
+    return hint, weak and OTHER not in found, hidden, main
 
 
 class Page:
@@ -159,9 +181,10 @@ class Page:
             self.stack.append((tag, self.stack[-1][1] if self.stack else self._node([("tag", "body")])))
             return
         self._flush()
-        hint, hidden, main = hint_of(tag, attributes) if attributes or tag in ("article", "main") else (None, False, False)
-        features = [("tag", "hidden" if hidden else tag_kind(tag)), *([("hint", hint)] if hint else [])]
-        if hidden or hint == "other" or tag in MARKING or tag == "header" and not any(t in ("article", "main") for t, _ in self.stack):
+        in_article = any(t in ("article", "main") for t, _ in self.stack)
+        hint, weak, hidden, main = hint_of(tag, attributes, in_article) if attributes or tag in ("article", "main") else (None, False, False, False)
+        features = [("tag", "hidden" if hidden else tag_kind(tag)), *([("hint", hint)] if hint else []), *([("weak", True)] if weak else [])]
+        if hidden or hint == "other" or tag in MARKING or tag == "header" and not in_article:
             features.append(("marked", True))
         self.stack.append((tag, self._node(features, main=main)))
 
@@ -207,8 +230,8 @@ class Page:
             tag, closing, attributes = tag.lower(), m[1] or m[4], (m[3] or m[6] or "")
             if closing:
                 if silent:
-                    if tag in silent:
-                        del silent[silent.index(tag):]
+                    if tag in silent:  # the innermost of its name
+                        del silent[len(silent) - 1 - silent[::-1].index(tag):]
                     continue
                 if tag == "br":
                     self._say(" ")
@@ -229,6 +252,8 @@ class Page:
                 if tag == "body" and "head" in silent:
                     silent = []
                 else:
+                    if tag in silent and not attributes.endswith("/"):
+                        silent.append(tag)
                     continue
             if tag in SILENT:
                 if tag not in VOID and not attributes.endswith("/"):
@@ -246,7 +271,7 @@ class Page:
                 self._close(CLOSES[tag], HOLDS - {"td", "th"} if tag in ("td", "th", "tr", "tbody", "tfoot") else HOLDS)
             if tag in ("html", "body") and any(t == tag for t, _ in self.stack):
                 continue
-            if tag not in BLOCK and attributes and hint_of(tag, attributes)[1]:
+            if tag not in BLOCK and attributes and hint_of(tag, attributes)[2]:
                 silent.append(tag)  # a hidden inline element
                 continue
             if tag == "a":
@@ -342,11 +367,13 @@ class TreeModel:
 
 
 def learn(pages: DataFrame, max_pages: int = MAX_TRAIN_PAGES) -> TreeModel:
-    """Counts features and edges of labelled pages (html); at most ``max_pages`` of them, picked by hash."""
-    d = pages.select("html").where("html is not null")
+    """Counts features and edges of labelled pages (page_id, url, html); at most about ``max_pages`` of those with the markup that
+    labels are taken from, picked by hash."""
+    d = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]|role\\s*=\\s*[\"']?(article|main)")).select("page_id", "url", "html")
     n = d.count()
     if n > max_pages:
-        d = d.where(F.pmod(F.xxhash64("html"), F.lit(1 << 40)) < int(max_pages / n * (1 << 40)))
+        d = d.where(F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(1 << 40)) < int(max_pages / n * (1 << 40)))
+    d = d.select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, str, int], int] = {}

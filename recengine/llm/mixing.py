@@ -123,10 +123,10 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, seed: str = SEED) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it (0, 1 or 2 times)."""
     _, plan = mix_plan(docs, weights, share, seed)
-    d = docs.withColumn("__key", mix_key(F.col("doc_id"), seed))
-    plan = plan.select(F.col("s").alias("__s"), "base", "threshold")
-    taken = d.join(plan, F.col("source").eqNullSafe(F.col("__s"))).withColumn("__n", copies(F.col("__key"))).where("__n > 0")
-    return taken.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*docs.columns)
+    # the row goes along as one value, so that its columns' names don't matter
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").alias("of"), mix_key(F.col("doc_id"), seed).alias("key"))
+    taken = d.join(plan, F.col("of").eqNullSafe(F.col("s"))).withColumn("n", copies(F.col("key"))).where("n > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,15 +57,17 @@ class ChunkEncoder:
     per piece and the library's model is asked for new pieces only. One step above, a text is cut before each single
     blank between two characters that are no white space: the pattern always begins a piece there, so the ids of
     such chunks are remembered too. Texts where white space meets a blank are split by the pattern alone. A tokenizer of another kind
-    encodes whole texts. Strings of special tokens are ordinary text.
+    encodes whole texts, and so does any where a text holds the string of an added token, which the library takes as that token. With
+    ``escape`` such strings are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, escape: bool = False):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = escape
+        self.added = [] if escape else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.pieces = Remembered(self.model_ids, CACHE_PIECES)
         self.chunks = Remembered(self.chunk_ids, CACHE_CHUNKS)
@@ -96,7 +98,7 @@ class ChunkEncoder:
         """The ids of a text, as little-endian integers of ``dtype``."""
         if not text:
             return b""
-        if not self.by_piece:
+        if not self.by_piece or any(t in text for t in self.added):
             return self.whole(text)
         rest = text.split(" ")
         if len(rest) == 1:
@@ -148,8 +150,8 @@ def id_type(vocabulary: int) -> np.dtype:
 
 
 @functools.lru_cache(1)
-def encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+def encoder(path: str, escape: bool = False) -> ChunkEncoder:
+    return ChunkEncoder(path, escape)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -209,8 +211,9 @@ class SequenceWriter:
             x.close()
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, seq_len: int = SEQ_LEN) -> DataFrame:
-    """Encodes ``docs`` (doc_id, text) and writes the data set; returns its manifest, a row per file.
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, seq_len: int = SEQ_LEN, escape: bool = False) -> DataFrame:
+    """Encodes ``docs`` (doc_id, text) and writes the data set; returns its manifest, a row per file. ``escape``: strings of added
+    tokens are ordinary text.
 
     The manifest (part, file, n_docs, file_tokens, n_rows) is computed by the writing tasks, so persist or write it.
     """
@@ -226,7 +229,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, seq
         fs.create_dir(root, recursive=True)
         name, out, n = f"part-{part:06d}.arrow", None, 0
         draft = f"{root}/.attempt-{TaskContext.get().taskAttemptId()}-{name}"
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, escape)
         for b in batches_of(batches, 500):
             out = out or SequenceWriter(fs, draft, seq_len, encode.dtype)
             out.add(b["doc_id"].to_pylist(), [encode(x) for x in b["text"].to_pylist()])
@@ -289,11 +292,11 @@ def read_documents(manifest: DataFrame) -> DataFrame:
 
 
 def token_output(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None,
-                 seq_len: int = SEQ_LEN) -> DataFrame:
+                 seq_len: int = SEQ_LEN, escape: bool = False) -> DataFrame:
     """Writes the data set (a new folder in the shared folder by default) and reads its documents back."""
     spark = docs.sparkSession
     folder = (folder or new_path(spark, "tokens")).rstrip("/")
-    write_tokens(docs, folder, tokenizer, seq_len).write.parquet(f"{folder}/manifest")
+    write_tokens(docs, folder, tokenizer, seq_len, escape).write.parquet(f"{folder}/manifest")
     return read_documents(spark.read.parquet(f"{folder}/manifest"))
 
 

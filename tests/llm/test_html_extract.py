@@ -45,6 +45,16 @@ CASES = [
     (f"<body><div><p>{LONG}</p><p>{LONG2}</p></div><div><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></div><footer>"
      + f"<p>{LONG}</p>" * 20 + "</footer>", f"{LONG}\n\n{LONG2}"),
     (f"<div><div><p>{LONG}</p><p>{LONG2}</p></div></div>", f"{LONG}\n\n{LONG2}"),
+    # text of formulas, buttons and drawings; form fields hold none
+    (f"<article><p>{LONG}</p><p>Let <math><mi>x</mi><annotation>\\\\x</annotation></math> be a number.</p><p>Then press <button>OK</button> now.</p>"
+     f"<p>See <svg><text>figure</text></svg> here.</p><p>Pick <select><option>none</option></select>one.</p></article>",
+     f"{LONG}\n\nLet x be a number.\n\nThen press OK now.\n\nSee figure here.\n\nPick one."),
+    # anchors, and words that are only a part of a name or vague, don't decide
+    (f"<body><nav><a href=x>Home</a></nav><article><h2 id=search-options>Search options</h2><section id=discussion><p>{LONG}</p><p>{LONG2}</p></section>"
+     f"<div class=more><p>{LONG}</p></div><p class=notice-period>{LONG2}</p><p>{LONG}</p></article></body>",
+     f"Search options\n\n{LONG}\n\n{LONG2}\n\n{LONG}\n\n{LONG2}\n\n{LONG}"),
+    # hidden inline elements end with their own end tag
+    (f"<article><p>{LONG} <span hidden>x <span>y</span> z</span><i>It goes on.</i></p></article>", f"{LONG} It goes on."),
 ]
 
 
@@ -55,6 +65,15 @@ def test_layouts(spark):
         assert got[i].n_chars == len(want)
 
 
+def test_training_takes_labelled_pages_and_counts_copies(spark):
+    one = f"<body><article><p>{LONG}</p></article><nav>x</nav></body>"
+    rows = pages(spark, [one] * 300 + [f"<div>{LONG}</div>"] * 700)
+    root = lambda m: float(np.exp(m.logs[m.place["tag", "nav"], h.OTHER]))
+    few, all_ = h.learn(rows, 60), h.learn(rows, 1000)
+    plain = h.TreeModel({}, np.zeros((3, 3)), np.zeros(3))
+    assert root(plain) != root(few) != root(all_)  # copies are sampled one by one: neither none nor all of them
+
+
 def test_empty_table_and_long_page(spark):
     assert h.extract(pages(spark, [])).collect() == []
     long = "<article>" + f"<p>{LONG}</p>" * 20000 + "<div>" * 3000 + "</article>" + "<b" * 2000

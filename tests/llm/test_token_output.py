@@ -9,9 +9,9 @@ from llm_helpers import SF_SMALL, documents
 from recengine.llm import token_output as t
 
 
-def direct(rows):
+def direct(rows, escape=False):
     tk = Tokenizer.from_file(t.default_tokenizer())
-    tk.encode_special_tokens = True
+    tk.encode_special_tokens = escape
     out, start = [], 0
     for doc_id, text in rows:
         ids = np.array(tk.encode(text or "", add_special_tokens=False).ids + [t.END_ID], "<u4")
@@ -31,6 +31,18 @@ ODD = ["", None, "a", " a", "a ", "a  b", "a \nb", "a\n b", "it's we'll", "x<|en
        "é ü ß 12 345 ... !?", "😀 😀a 😀", "a\x1c b", "\x85 a b", "a" * 5000, "wo rd " * 4000, "x'S 'S 're y"]
 
 
+def test_added_tokens_are_the_librarys(spark):
+    encode = t.ChunkEncoder(t.default_tokenizer())
+    ids = lambda x, e=encode: np.frombuffer(e(x), e.dtype).tolist()
+    assert ids("hi <|endoftext|> there") == [5303, 220, 50256, 612]
+    escaped = t.ChunkEncoder(t.default_tokenizer(), escape=True)
+    assert len(ids("hi <|endoftext|> there", escaped)) == 9
+    rows = [(1, "hi <|endoftext|> there"), (2, "<|endoftext|>"), (3, "a <|endoftext|"), (4, "x <|endoftext|><|endoftext|>  y z")]
+    for escape in (False, True):
+        got = sorted(map(tuple, t.token_output(documents(spark, rows), escape=escape).collect()))
+        assert got == direct(rows, escape)
+
+
 def test_odd_texts_ties_and_extra_columns(spark):
     rows = [(i, x) for i, x in enumerate(ODD)] + [(3, "tie b"), (3, "tie a"), (3, "tie a"), (-5, "first")]
     df = documents(spark, rows).selectExpr("*", "1 as start", "2 as n_tokens", "3 as ids")
