@@ -14,18 +14,21 @@ def hot_by_group(course: DataFrame, group: str = "type",
                  entities: Sequence[str] = ("name", "school", "instructor"),
                  measure: str = "participants_number", *, k: int = 10, how: str = "inner",
                  by_id: bool = True, id_col: str = "id", suffix: str = "_num",
-                 with_rank: bool = True) -> DataFrame:
+                 with_rank: bool = True, sort: bool = False) -> DataFrame:
     """Top-``k`` entities of each kind per group, side by side on rank.
 
     Each ranking sums ``measure`` (as bigint) by (id, group, entity) when ``by_id`` (so each
     catalogue row is ranked on its own and an entity may repeat) or by (group, entity).
     ``how="inner"`` keeps ranks present in every ranking; ``"left"`` keeps all ranks of the
-    first one. Output: group, e1, e1<suffix>, e2, ..., rn.
+    first one. Output: group, e1, e1<suffix>, e2, ..., rn; ``sort`` orders it by group and first measure
+    (descending), then rank.
     """
     ranked = ranked_entities(course, [group], list(entities), measure, k=k,
                              id_col=id_col if by_id else None)
-    return zip_ranked(ranked, [group], list(entities), value_names=[e + suffix for e in entities],
-                      how=how, with_rank=with_rank)
+    out = zip_ranked(ranked, [group], list(entities), value_names=[e + suffix for e in entities], how=how)
+    if sort:
+        out = out.orderBy(F.col(group).asc_nulls_first(), F.col(entities[0] + suffix).desc_nulls_last(), "rn")
+    return out if with_rank else out.drop("rn")
 
 
 def hot_by_month(course: DataFrame, date: str = "start_time_date",

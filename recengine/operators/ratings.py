@@ -4,10 +4,11 @@ rating = 1 + 0.2*coalesce(rating, 4) + 0.3*coalesce(grading, 3)
            + 0.5*[item type in the user's course types] + 0*[school in the user's schools]
            + 0.5*[item labels in the user's labels]
 
-The rating is exact: an integer number of ``1/unit`` steps (column ``x``), also returned as
-the double nearest to it (``x / unit``). Nothing is rounded: a value whose weighted term is no
-whole number of steps stops the job. Downstream similarity sums are then integer sums: the
-same bits whatever the partitioning or the engine.
+Where every weighted term is a whole number of ``1/unit`` steps the rating is exact: column ``x`` is the integer
+number of steps, and the rating the double nearest to ``x / unit``, so that downstream similarity sums
+are integer sums: the same bits whatever the partitioning or the engine. A rating with a term between steps (an
+average of star ratings, say) is the formula's value in doubles, and its ``x`` is null; ``step_values`` then gives the operators
+doubles for all rows. Nothing is rounded to the grid.
 """
 
 from __future__ import annotations
@@ -25,13 +26,16 @@ DEFAULT_WEIGHTS = {"rating": 0.2, "grading": 0.3, "type": 0.5, "school": 0.0, "l
 DEFAULT_FILL = {"rating": 4, "grading": 3}
 
 DEFAULT_UNIT = 10_000
+#: Digits that cosines of doubles are compared by, as scores are: the order of a sum changes the last ones.
+DOUBLE_DIGITS = 9
 
 
-def _steps(w: float, unit: int) -> int:
-    s = round(w * unit)
-    if abs(s - w * unit) > 1e-9 * max(1, abs(w * unit)):
-        raise ValueError(f"weight {w} is not a multiple of 1/{unit}; raise unit")
-    return int(s)
+def step_values(r: DataFrame, value: str = "x", rating: str = "rating", unit: int = DEFAULT_UNIT) -> tuple[DataFrame, int | None]:
+    """``r`` with a ``value`` in every rated row, and the digits that sums of it are compared by: the integer steps (None: exact), or
+    ``rating * unit`` in doubles for all rows where some rating lies between steps."""
+    if rating not in r.columns or value not in r.columns or r.where(F.col(value).isNull() & F.col(rating).isNotNull()).isEmpty():
+        return r, None
+    return r.withColumn(value, F.col(rating).cast("double") * F.lit(unit)), DOUBLE_DIGITS
 
 
 def composite_rating(facts: DataFrame, items: DataFrame, users: DataFrame, *,
@@ -48,8 +52,8 @@ def composite_rating(facts: DataFrame, items: DataFrame, users: DataFrame, *,
     still gets a rating from the fill values. Duplicate interactions stay (bag semantics)
     unless ``dedupe`` keeps one row per pair (the highest raw rating).
 
-    A term ``value * weight`` must be a whole number of steps (three-decimal gradings with
-    the default weights and unit); the plan raises on the first row where it is not.
+    x is null where a term ``value * weight`` is no whole number of steps (with the default weights and unit, gradings of
+    three decimals are); the rating is then the sum in doubles.
     """
     w = dict(DEFAULT_WEIGHTS, **(weights or {}))
     f = dict(DEFAULT_FILL, **(fill or {}))
@@ -64,25 +68,20 @@ def composite_rating(facts: DataFrame, items: DataFrame, users: DataFrame, *,
                       F.col("school_names").alias("_uschools"), F.col("labels").alias("_ulabels"))
     j = (st.join(c, st.item_id == c._cid, "left").join(su, F.col("user_id") == su._uid, "left"))
 
-    def term(value, key):
-        s = _steps(w[key], unit)
-        if not s:
-            return F.lit(0).cast("bigint")
-        steps = value * F.lit(s)
-        off = F.abs(steps - F.round(steps)) > F.lit(1e-6)
-        stop = F.raise_error(F.concat(F.lit(f"{key} "), value.cast("string"),
-                                      F.lit(f" is no whole number of 1/{unit} steps; raise unit")))
-        return F.when(off, stop.cast("bigint")).otherwise(F.round(steps).cast("bigint"))
-
-    def flag(cond, key):
-        s = _steps(w[key], unit)
-        return F.when(cond, F.lit(s)).otherwise(F.lit(0)).cast("bigint") if s else F.lit(0).cast("bigint")
-
-    x = (F.lit(BASE * unit).cast("bigint")
-         + term(F.coalesce(F.col("_r").cast("double"), F.lit(float(f["rating"]))), "rating")
-         + term(F.coalesce(F.col("_g").cast("double"), F.lit(float(f["grading"]))), "grading")
-         + flag(text_contains("_utypes", "_ctype"), "type")
-         + flag(text_contains("_uschools", "_cschool"), "school")
-         + flag(text_contains("_ulabels", "_clabels"), "labels"))
-    return j.select("user_id", "item_id", (x.cast("double") / F.lit(float(unit))).alias("rating"),
-                    x.alias("x"))
+    def step(amount, key):
+        """A weighted amount in steps; null between steps."""
+        steps = amount * F.lit(w[key] * unit)
+        near = F.round(steps)
+        return F.when(F.abs(steps - near) <= F.lit(1e-6), near.cast("bigint"))
+
+    one = lambda cond: F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0))
+    amounts = {"rating": F.coalesce(F.col("_r").cast("double"), F.lit(float(f["rating"]))),
+               "grading": F.coalesce(F.col("_g").cast("double"), F.lit(float(f["grading"]))),
+               "type": one(text_contains("_utypes", "_ctype")), "school": one(text_contains("_uschools", "_cschool")),
+               "labels": one(text_contains("_ulabels", "_clabels"))}
+    amounts = {k: v for k, v in amounts.items() if w[k]}
+    x = sum((step(v, k) for k, v in amounts.items()), F.lit(BASE * unit).cast("bigint"))
+    whole = sum((v * F.lit(float(w[k])) for k, v in amounts.items()), F.lit(float(BASE)))
+    rated = j.select("user_id", "item_id", whole.alias("_whole"), x.alias("x"))
+    return rated.select("user_id", "item_id",
+                        F.coalesce(F.col("x").cast("double") / F.lit(float(unit)), F.col("_whole")).alias("rating"), "x")

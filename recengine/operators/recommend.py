@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recengine.operators.ratings import DEFAULT_UNIT
+from recengine.operators.ratings import DEFAULT_UNIT, step_values
 from recengine.operators.similarity import cosine_neighbors, pair_partitions
 from recengine.operators.skew import DEFAULT_HOT_ROWS, hub_join, profile_keys, salted_join
 from recengine.operators.topk import top_k_per_group
@@ -22,7 +22,10 @@ SCORE_DIGITS = 9  # scores are ranked after rounding, so float summation order c
 
 
 def truncated(r: DataFrame, value: str = "x", unit: int = DEFAULT_UNIT, name: str = "xt") -> DataFrame:
-    """Add the rating truncated to a whole number (toward zero), from its 1/unit steps."""
+    """Add the rating truncated to a whole number (toward zero), from its 1/unit steps (doubles: after rounding to 9 digits)."""
+    if dict(r.dtypes)[value] == "double":
+        whole = F.round(F.col(value) / F.lit(float(unit)), SCORE_DIGITS)
+        return r.withColumn(name, whole.cast("bigint"))
     return r.withColumn(name, F.expr(f"`{value}` div {int(unit)}"))
 
 
@@ -73,10 +76,11 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
 
     Items u already has are excluded. Output: (user, out_item, ranking).
     """
+    r, digits = step_values(r, value, unit=unit)
     prof = profile_keys(r, [item, user], hot_rows=hot_rows)
     hot_items = prof[item].hot
     nb = neighbors if neighbors is not None else cosine_neighbors(
-        r, entity=item, by=user, value=value, k=k_neighbors, neighbor="_nb", profile=prof)
+        r, entity=item, by=user, value=value, k=k_neighbors, neighbor="_nb", profile=prof, digits=digits)
     if neighbors is not None:
         nb = nb.select(item, F.col(nb.columns[1]).alias("_nb"), "cos")
     # each rating row meets at most k neighbours: the join emits up to k * rows rows
@@ -117,6 +121,7 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     The user similarity uses ratings truncated to whole numbers; the scores use the full
     ratings. Items u already has are excluded. Output: (user, out_item, ranking).
     """
+    r, _ = step_values(r, value, unit=unit)
     prof = profile_keys(r, [user, item], hot_rows=hot_rows)
     hot_users = prof[user].hot
     nb = neighbors if neighbors is not None else cosine_neighbors(

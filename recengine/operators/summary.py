@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recengine.functions.columns import nulls_one
+from recengine.operators.bitmaps import WHOLE, distinct_counts, stacked_ids
 
 
 def group_count(df: DataFrame, keys: Sequence[str], name: str = "cnt", *, sort: bool = False) -> DataFrame:
@@ -25,14 +26,15 @@ def cardinality_summary(columns: Mapping[str, tuple[DataFrame, str]], *, approx:
     """One row with the number of distinct values per named column; null counts as one.
 
     ``columns`` maps an output name to (frame, column). Columns of the same frame are
-    counted in one aggregation; the one-row results are merged by a union and a global
-    aggregate (no join). Output columns follow the order of ``columns``. ``approx`` trades
+    counted from one scan, whole numbers by bitmaps and others by their distinct values (``bitmaps``); the
+    one-row results are merged by a union and a global aggregate (no join). Output columns follow the order of ``columns``. ``approx`` trades
     exactness for a single pass without shuffling distinct values (HyperLogLog++).
     """
     by_frame: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
     for out_name, (df, col) in columns.items():
         by_frame.setdefault(id(df), (df, []))[1].append((out_name, col))
-    parts = [df.agg(*[nulls_one(c, approx).alias(n) for n, c in cols]) for df, cols in by_frame.values()]
+    parts = [df.agg(*[nulls_one(c, approx).alias(n) for n, c in cols]) if approx else distinct_counts(dict(cols), df)
+             for df, cols in by_frame.values()]
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p, allowMissingColumns=True)
@@ -56,6 +58,16 @@ def stacked_value_counts(df: DataFrame, cols: Sequence[str], value: str = "value
 
 
 def rating_profile(r: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
-    """One row: number of interactions, distinct users, distinct items (null counts as one)."""
-    return r.agg(F.count(F.lit(1)).alias("n_ratings"), nulls_one(user).alias("n_users"),
-                 nulls_one(item).alias("n_items"))
+    """One row: number of interactions, distinct users, distinct items (null counts as one).
+
+    Whole-number ids are counted by bitmaps from one scan, which counts the rows as well."""
+    kinds = dict(r.dtypes)
+    if kinds[user] not in WHOLE or kinds[item] not in WHOLE:
+        counts = distinct_counts({"n_users": user, "n_items": item}, r)
+        n = r.agg(F.count(F.lit(1)).alias("n_ratings"))
+        both = n.unionByName(counts, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in ("n_ratings", "n_users", "n_items")])
+    b = stacked_ids(r, [user, item])
+    of = lambda k, v: F.coalesce(F.sum(F.when(F.col("_k") == k, v)), F.lit(0)).cast("bigint")
+    ids = F.bitmap_count("bitmap")
+    return b.agg(of(0, F.col("n")).alias("n_ratings"), of(0, ids).alias("n_users"), of(1, ids).alias("n_items"))

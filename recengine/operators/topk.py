@@ -93,3 +93,25 @@ def zip_ranked(ranked: DataFrame, group: Sequence[str], entities: Sequence[str],
     if with_rank:
         out.append(F.col(rank))
     return z.select(*out)
+
+
+def zip_frames(frames: Sequence[DataFrame], keys: Sequence[str], *, how: str = "left", rank: str = "rn") -> DataFrame:
+    """Place separately ranked frames side by side on (keys, rank): keys, rank, then the other columns of each frame in turn.
+
+    Each frame has at most one row per (keys, rank), as ``top_k_per_group`` gives it, and its own value columns.
+    ``how="left"`` keeps every row of the first frame, ``"inner"`` the positions present in all; a null key matches
+    nothing. Joins of frames of k rows per group, dealt by the keys alone where Spark need not broadcast them.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    on = [*keys, rank]
+    names = [c for f in frames for c in f.columns if c not in on]
+    if len(names) != len(set(names)):
+        raise ValueError(f"value columns of the frames repeat: {names}")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.join(f, on, how)
+    if how == "inner":
+        for k in keys:  # a single frame has its null keys dropped as well
+            out = out.where(F.col(k).isNotNull())
+    return out.select(*keys, rank, *names)

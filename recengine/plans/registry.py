@@ -14,10 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recengine.functions.columns import lifecycle_status, parse_cjk_date
-from recengine.operators import als, analysis, clean, evaluate, ratings, recommend, similarity, summary, topk
+from recengine.functions.columns import STATUS_LABELS, lifecycle_status, parse_cjk_date
+from recengine.operators import als, analysis, bitmaps, clean, evaluate, monthly, ratings, recommend, similarity, summary, topk
+from recengine.session import reliable_checkpoint
+from recengine.sources import buckets
+from recengine.sources.buckets import shared_path
 from recengine.sources.fixture_sql import with_fixtures
 from recengine.sources.fixtures import Catalog
+from recengine.sources.io import load_tables
 
 # Parameters of the registered queries (cleaning needs a cutoff that removes rows and a
 # fixed "now" so the status is reproducible).
@@ -40,9 +44,10 @@ def register(name: str, sql: str | None = None):
 
 def _status_sql(start: str = "start_time_date", end: str = "end_time_date") -> str:
     t = AS_OF_SQL
-    return (f"case when {start} < {t} and {end} > {t} then '课程进行中' "
-            f"when {end} < {t} then '课程已结束' when {start} > {t} then '课程即将开始' "
-            f"else '未知' end")
+    ongoing, ended, upcoming, unknown = STATUS_LABELS
+    return (f"case when {start} < {t} and {end} > {t} then '{ongoing}' "
+            f"when {end} < {t} then '{ended}' when {start} > {t} then '{upcoming}' "
+            f"else '{unknown}' end")
 
 
 # --- counts -----------------------------------------------------------------------------
@@ -353,7 +358,7 @@ def q_neighbor_lists(spark, sf):
 
 # --- recommendations --------------------------------------------------------------------
 
-@register("item_cf_recommend", f"""
+ORACLE_ITEM_CF = f"""
 with {RATINGS_SQL}, {_cosine_sql("item_id", "user_id", "x", 12, "nbr")},
 s as (select r.user_id, k.item_v as course_id, sum(k.cos * r.x / {UNIT}.0) as score
       from rated r join nbr k on r.item_id = k.item_id
@@ -362,7 +367,10 @@ s as (select r.user_id, k.item_v as course_id, sum(k.cos * r.x / {UNIT}.0) as sc
 select user_id, course_id, cast(ranking as int) as ranking
 from (select *, row_number() over (partition by user_id order by round(score, 9) desc, course_id) as ranking
       from s) t where ranking <= 12
-""")
+"""
+
+
+@register("item_cf_recommend", ORACLE_ITEM_CF)
 def q_item_cf_recommend(spark, sf):
     return recommend.item_cf_recommend(_ratings(spark, sf), k_neighbors=12, n=12, unit=UNIT)
 
@@ -385,19 +393,18 @@ def q_user_cf_recommend(spark, sf):
 
 @register("rmse_join", f"""
 with {RATINGS_SQL},
-rec as (select student_id as user_id, course_id as hourse_id, rating from student_course
+rec as (select student_id as user_id, course_id as item_id, rating from student_course
         where rating is not null),
-www as (select user_id, item_id as hourse_id, rating as zonhe from rated)
-select count(*) as n, round(sqrt(avg((cast(rec.rating as double) - www.zonhe) * (cast(rec.rating as double) - www.zonhe))), 9) as rmse
-from rec join www on rec.user_id = www.user_id and rec.hourse_id = www.hourse_id
+other as (select user_id, item_id, rating as score from rated)
+select count(*) as n, round(sqrt(avg((cast(rec.rating as double) - other.score) * (cast(rec.rating as double) - other.score))), 9) as rmse
+from rec join other on rec.user_id = other.user_id and rec.item_id = other.item_id
 """)
 def q_rmse_join(spark, sf):
     cat = Catalog(spark, sf)
     rec = (cat.student_course().where(F.col("rating").isNotNull())
-           .select(F.col("student_id").alias("user_id"), F.col("course_id").alias("hourse_id"), "rating"))
-    www = _ratings(spark, sf, persist=False).select(
-        "user_id", F.col("item_id").alias("hourse_id"), F.col("rating").alias("zonhe"))
-    out = evaluate.rmse_of(rec, www, ["user_id", "hourse_id"], "rating", "zonhe")
+           .select(F.col("student_id").alias("user_id"), F.col("course_id").alias("item_id"), "rating"))
+    other = _ratings(spark, sf, persist=False).select("user_id", "item_id", F.col("rating").alias("score"))
+    out = evaluate.rmse_of(rec, other, ["user_id", "item_id"], "rating", "score")
     return out.select("n", F.round("rmse", 9).alias("rmse"))
 
 
@@ -507,20 +514,95 @@ def q_als_recommend_check(spark, sf):
             .crossJoin(facts))
 
 
-@register("als_grid_check", f"""
+def _scored_sql(regs: str) -> str:
+    return f"""
 with {SPLIT_SQL}, t as (select * from halves where split = 'train'),
  s as (select count(*) as n from halves h where split = 'test'
        and exists (select 1 from t where t.user_id = h.user_id) and exists (select 1 from t where t.item_id = h.item_id)),
- g as (select unnest([0.1::double, 0.01, 0.001]) as "lambda")
-select "lambda", s.n, true as below_twice_spread from g, s
-""")
+ u as (select count(distinct user_id) as users from t),
+ g as (select unnest([{regs}]::double[]) as "lambda")
+select "lambda", s.n, u.users, true as rmse_agrees, true as solved from g, s, u
+"""
+
+
+def _model_facts(spark, sf, regs, reported):
+    """Per grid point: the test pairs scored (both ids seen in training), the users with factors, whether the reported error is the root of
+    the saved predictions' mean square (written as moments, apart from the evaluator's form), and whether every user's factors solve
+    their normal equations to the precision of single floats. These hold for any right fit, good or bad."""
+    r = _ratings(spark, sf)
+    out = None
+    for _, lam, model, scored, train in als.als_grid_models(r, regs=regs, seed=42):
+        p = reliable_checkpoint(scored.select(F.col("rating").cast("double").alias("y"), F.col("prediction").cast("double").alias("p")))
+        moments = p.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.col("y") * F.col("y")) - 2 * F.avg(F.col("y") * F.col("p"))
+                                                             + F.avg(F.col("p") * F.col("p"))).alias("again"))
+        error = reliable_checkpoint(als.normal_equation_error(model, train, lam))
+        facts = moments.crossJoin(error).select(F.lit(lam).alias("lambda"), "n", "users", "again", (F.col("error") < 1e-4).alias("solved"))
+        out = facts if out is None else out.unionByName(facts)
+    told = reported(r)
+    return out.join(told, "lambda").select("lambda", "n", "users", (F.abs(F.col("again") - F.col("rmse")) < 1e-4).alias("rmse_agrees"), "solved")
+
+
+@register("als_grid_check", _scored_sql("0.1, 0.01, 0.001"))
 def q_als_grid_check(spark, sf):
-    """Per grid point: the test pairs scored (both ids seen in training), and whether the error is below twice the ratings'
-    standard deviation, the error of a useless guess."""
+    regs = (0.1, 0.01, 0.001)
+    return _model_facts(spark, sf, regs, lambda r: als.als_grid_search(r, regs=regs, seed=42).select("lambda", "rmse"))
+
+
+@register("als_rmse_check", _scored_sql("0.1"))
+def q_als_rmse_check(spark, sf):
+    return _model_facts(spark, sf, (0.1,), lambda r: als.als_rmse(r, reg=0.1, seed=42).select(F.lit(0.1).alias("lambda"), "rmse"))
+
+
+# --- stored and mergeable forms ------------------------------------------------------------
+
+@register("zip_frames", """
+with a as (select type, name, cast(sum(participants_number) as bigint) as name_num from course group by type, name),
+b as (select type, school, count(*) as school_cnt from course group by type, school),
+ra as (select * from (select *, row_number() over (partition by type order by name_num desc nulls last, name asc nulls first) as rn
+                      from a) t where rn <= 5),
+rb as (select * from (select *, row_number() over (partition by type order by school_cnt desc, school asc nulls first) as rn
+                      from b) t where rn <= 3)
+select ra.type, cast(ra.rn as int) as rn, ra.name, ra.name_num, rb.school, rb.school_cnt
+from ra left join rb on ra.type = rb.type and ra.rn = rb.rn
+""")
+def q_zip_frames(spark, sf):
+    """Two rankings by different measures and lengths."""
+    c = Catalog(spark, sf).course()
+    names = c.groupBy("type", "name").agg(F.sum(F.col("participants_number").cast("bigint")).alias("name_num"))
+    schools = summary.group_count(c, ["type", "school"], "school_cnt")
+    ra = topk.top_k_per_group(names, ["type"], [F.col("name_num").desc_nulls_last()], 5, ties=[F.col("name").asc_nulls_first()])
+    rb = topk.top_k_per_group(schools, ["type"], [F.col("school_cnt").desc()], 3, ties=[F.col("school").asc_nulls_first()])
+    return topk.zip_frames([ra, rb], ["type"], how="left")
+
+
+@register("hot_by_month_incremental", _month_sql("inner"))
+def q_hot_by_month_incremental(spark, sf):
+    """The catalogue in three batches, ranked again month by month as they come."""
+    store = shared_path(spark, "months")
+    course = Catalog(spark, sf).course()
+    for batch in range(3):
+        monthly.add_batch(store, batch, course.where(F.pmod(F.xxhash64("id"), F.lit(3)) == batch))
+    return monthly.monthly_rankings(spark, store, how="inner")
+
+
+@register("monthly_distinct_customers", """
+select cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month, count(distinct o_custkey) as customers
+from orders group by 1, 2
+""")
+def q_monthly_distinct_customers(spark, sf):
+    """Bitmaps of each day, merged to months: distinct counts that add up."""
+    orders = load_tables(spark, sf, ["orders"])["orders"]
+    days = bitmaps.id_bitmaps(orders, "o_custkey", by=["o_orderdate"])
+    months = days.select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "bucket", "bitmap")
+    return bitmaps.bitmap_counts(bitmaps.merged_bitmaps(months, by=["year", "month"]), by=["year", "month"], name="customers")
+
+
+@register("item_cf_from_tables", ORACLE_ITEM_CF)
+def q_item_cf_from_tables(spark, sf):
+    """Item CF through bucketed tables of ratings, neighbours, scores and history."""
     r = _ratings(spark, sf)
-    spread = r.agg(F.stddev_pop("rating").alias("sd"))
-    return (als.als_grid_search(r, regs=(0.1, 0.01, 0.001), seed=42).crossJoin(spread)
-            .select("lambda", "n", (F.col("rmse") < 2 * F.col("sd")).alias("below_twice_spread")))
+    nb = similarity.cosine_neighbors(r, entity="item_id", by="user_id", value="x", k=12)
+    return buckets.item_cf_from_tables(r, nb, n=12)
 
 
 FLAGSHIP = "item_cf_recommend"

@@ -4,18 +4,22 @@
 password, driver) are always caller-supplied options; nothing is hard-wired.
 
 A JDBC read is split into ``num_partitions`` range queries over ``partition_column`` when
-bounds are given, so a large table is not pulled through a single connection. A JDBC
+bounds are given, or one query per condition of ``predicates`` (key ranges of equal row counts, see
+``partitions``), so a large table is not pulled through a single connection. Overwriting a file
+table is staged (``staged``): the job may read the table, and the old rows stay until the new ones are complete. A JDBC
 overwrite keeps the target's definition (``truncate``), and writes use batched inserts with
 at most ``num_partitions`` concurrent connections.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from recengine.sources.staged import staged_overwrite
+
 
 def jdbc_read_options(url: str, table: str, options: Mapping[str, str] | None = None, *,
                       partition_column: str | None = None, lower_bound: int | None = None,
@@ -46,17 +50,24 @@ def read_table(spark: SparkSession, name: str, *, root: str | None = None, fmt:
                url: str | None = None, options: Mapping[str, str] | None = None,
                partition_column: str | None = None, lower_bound: int | None = None,
                upper_bound: int | None = None, num_partitions: int | None = None,
-               view: str | None = None) -> DataFrame:
+               predicates: Sequence[str] | None = None, view: str | None = None) -> DataFrame:
     """Read table ``name`` from a parquet folder (``root``) or over JDBC (``url``).
 
+    ``predicates``: one JDBC query per condition, instead of ranges of equal width; every row must meet exactly one.
     ``view`` optionally registers the result as a temporary view of that name.
     """
     if fmt == "jdbc":
         if url is None:
             raise ValueError("a JDBC read needs url=")
-        df = spark.read.format("jdbc").options(**jdbc_read_options(
-            url, name, options, partition_column=partition_column, lower_bound=lower_bound,
-            upper_bound=upper_bound, num_partitions=num_partitions)).load()
+        if predicates is not None and partition_column is not None:
+            raise ValueError("give either predicates or a partition column")
+        opts = jdbc_read_options(url, name, options, partition_column=partition_column, lower_bound=lower_bound,
+                                 upper_bound=upper_bound, num_partitions=num_partitions)
+        if predicates is not None:
+            properties = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+            df = spark.read.jdbc(url, name, predicates=list(predicates), properties=properties)
+        else:
+            df = spark.read.format("jdbc").options(**opts).load()
     else:
         if root is None:
             raise ValueError("a file read needs root=")
@@ -77,8 +88,10 @@ def read_table(spark: SparkSession, name: str, *, root: str | None = None, fmt:
 def write_table(df: DataFrame, name: str, *, mode: str = "overwrite", root: str | None = None,
                 fmt: str = "parquet", url: str | None = None,
                 options: Mapping[str, str] | None = None,
-                num_partitions: int | None = None) -> None:
-    """Write ``df`` as table ``name``: parquet folder under ``root`` or a JDBC table."""
+                num_partitions: int | None = None, staged: bool = True) -> None:
+    """Write ``df`` as table ``name``: parquet folder under ``root`` or a JDBC table.
+
+    Overwriting a folder is staged (``staged_overwrite``) unless ``staged`` is false."""
     if mode not in ("overwrite", "append", "ignore", "error", "errorifexists"):
         raise ValueError(f"unknown save mode {mode!r}")
     if fmt == "jdbc":
@@ -91,7 +104,11 @@ def write_table(df: DataFrame, name: str, *, mode: str = "overwrite", root: str
         return
     if root is None:
         raise ValueError("a file write needs root=")
-    df.write.format(fmt).mode(mode).options(**dict(options or {})).save(f"{root.rstrip('/')}/{name}")
+    path = f"{root.rstrip('/')}/{name}"
+    if mode == "overwrite" and staged:
+        staged_overwrite(df, path, fmt, dict(options or {}))
+        return
+    df.write.format(fmt).mode(mode).options(**dict(options or {})).save(path)
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names: list[str] | tuple[str, ...]) -> dict[str, DataFrame]:

@@ -1,0 +1,130 @@
+"""Staged overwrites, key ranges for JDBC scans, bucketed tables."""
+
+import datetime as dt
+import os
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from recengine.operators import recommend, similarity
+from recengine.sources import buckets, io, partitions, staged
+
+
+def left_behind(root):
+    return sorted(f for f in os.listdir(root) if f.startswith((staged.ATTEMPT, staged.ASIDE)))
+
+
+def test_a_job_overwrites_its_own_input(spark, tmpdir_path):
+    io.write_table(spark.range(10).withColumn("v", F.lit(1)), "t", root=tmpdir_path)
+    for step in range(3):
+        t = io.read_table(spark, "t", root=tmpdir_path)
+        io.write_table(t.withColumn("v", F.col("v") + 1).unionByName(t.limit(1)), "t", root=tmpdir_path)
+    t = io.read_table(spark, "t", root=tmpdir_path)
+    assert t.count() == 13 and t.agg(F.max("v")).first()[0] == 4
+    assert left_behind(tmpdir_path) == []
+
+
+def test_a_failed_job_leaves_the_old_table(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    staged.staged_overwrite(spark.range(5), path)
+    broken = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") == 900, F.raise_error(F.lit("half way")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="half way"):
+        staged.staged_overwrite(broken, path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(5))
+    assert left_behind(tmpdir_path) == []
+
+
+def test_recovery_between_the_renames(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    staged.staged_overwrite(spark.range(5), path)
+    attempt, aside = staged._beside(spark, path, staged.ATTEMPT), staged._beside(spark, path, staged.ASIDE)
+    spark.range(7).write.parquet(attempt)
+    os.rename(path, aside.removeprefix("file:"))  # the crash
+    assert staged.recover(spark, path) and not staged.recover(spark, path)
+    assert spark.read.parquet(path).count() == 5 and left_behind(tmpdir_path) == []
+    # an aside folder whose table is there is a leftover
+    spark.range(1).write.parquet(staged._beside(spark, path, staged.ASIDE))
+    staged.staged_overwrite(spark.range(6), path)
+    assert spark.read.parquet(path).count() == 6 and left_behind(tmpdir_path) == []
+
+
+KEYS = {
+    "numbers": [random.Random(1).randrange(-500, 500) for _ in range(900)],
+    "third of the rows": [7] * 300 + list(range(600)),
+    "text": [random.Random(2).choice(["a", "b'c", "", "ä", "zz", "Z", "it''s"]) + str(i % 9) for i in range(300)],
+    "doubles": [random.Random(3).random() for _ in range(200)],
+    "dates": [dt.date(2024, 1, 1) + dt.timedelta(days=i % 40) for i in range(200)],
+    "times": [dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i * 77) for i in range(100)],
+    "one key": [5] * 50,
+    "none": [],
+}
+
+
+@pytest.mark.parametrize("name", KEYS)
+@pytest.mark.parametrize("ranges", [1, 4, 9])
+def test_every_row_meets_one_predicate(spark, name, ranges):
+    keys = KEYS[name]
+    kind = {str: "string", int: "bigint", float: "double", dt.date: "date", dt.datetime: "timestamp"}[type(keys[0]) if keys else int]
+    unseen = {"bigint": [-10 ** 9, 10 ** 9], "string": ["~~"]}.get(kind, [])
+    rows = [(i, k) for i, k in enumerate([*keys, None, None, *unseen])]
+    df = spark.createDataFrame(rows, f"id long, k {kind}").persist()
+    sample = partitions.sample_keys(df.where(F.col("id") < len(keys)), "k")
+    found = partitions.key_ranges(sample, ranges, split_heavy=True)
+    where = partitions.range_predicates("k", found, "id")
+    sizes = df.select(*[F.coalesce(F.expr(p), F.lit(False)).cast("int").alias(f"p{i}") for i, p in enumerate(where)])
+    met = sizes.select(sum((F.col(c) for c in sizes.columns), F.lit(0)).alias("met"))
+    assert {r.met for r in met.collect()} == {1}
+    assert sum(r.nulls for r in found) == 1
+    if name in ("numbers", "third of the rows", "one key") and ranges > 1:
+        each = sizes.agg(*[F.sum(c) for c in sizes.columns]).first()
+        assert max(each) <= 2 * len(rows) / ranges + 4  # evenly, whatever the distribution
+    df.unpersist()
+
+
+def test_predicates_and_bounds_exclude_each_other(spark):
+    with pytest.raises(ValueError):
+        io.read_table(spark, "t", fmt="jdbc", url="jdbc:none", predicates=["1 = 1"], partition_column="k")
+    with pytest.raises(ValueError):
+        partitions.range_predicates("k", [partitions.KeyRange(1, 1, parts=2)])
+    with pytest.raises(TypeError):
+        partitions.literal(None)
+
+
+def interactions(spark):
+    rng = random.Random(5)
+    rows = sorted({(u, i) for u in range(40) for i in rng.sample(range(25), 8)})
+    r = spark.createDataFrame([(u, i, 10_000 * (1 + (u * i) % 5)) for u, i in rows], "user_id long, item_id long, x long")
+    return r.withColumn("rating", F.col("x") / 10_000)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_joins_need_no_exchange(spark, tmpdir_path):
+    r = interactions(spark)
+    nb = similarity.cosine_neighbors(r, k=4)
+    keep = lambda df, name, keys: buckets.save_bucketed(df, f"{name}_x", keys, 4, f"{tmpdir_path}/{name}")
+    ratings, lists = keep(r, "r", ["item_id"]), keep(nb, "nb", ["item_id"])
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        history = ratings.hint("merge").join(lists.select("item_id", "item_v", "cos"), "item_id")
+        assert "Exchange" not in plan_of(history) and "SortMergeJoin" in plan_of(history)
+        scores = keep(buckets.score_from_tables(ratings, lists), "s", ["user_id", "course_id"])
+        taken = keep(r.selectExpr("user_id", "item_id as course_id"), "t", ["user_id", "course_id"])
+        fresh = buckets.fresh_from_tables(scores, taken)
+        assert "Exchange" not in plan_of(fresh) and "LeftAnti" in plan_of(fresh)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    for t in ("r", "nb", "s", "t"):
+        spark.sql(f"drop table {t}_x")
+
+
+def test_recommendations_from_tables_equal_the_plain_ones(spark):
+    r = interactions(spark)
+    nb = similarity.cosine_neighbors(r, k=4)
+    plain = Counter(map(tuple, recommend.item_cf_recommend(r, k_neighbors=4, n=6).collect()))
+    assert Counter(map(tuple, buckets.item_cf_from_tables(r, nb, n=6, buckets=3).collect())) == plain and plain

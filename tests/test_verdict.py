@@ -4,7 +4,6 @@ import math
 from collections import Counter
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from recengine.operators import als, evaluate, ratings, recommend, similarity, skew
@@ -25,9 +24,33 @@ def test_ratings_are_not_rounded(spark):
     assert got == {0: (3.255, 32550), 1: (3.297, 32970), 2: (3.27, 32700)}
 
 
-def test_values_between_steps_stop_the_job(spark):
-    with pytest.raises(PySparkException, match="no whole number of"):
-        ratings.composite_rating(*frames(spark, [4.85555])).collect()
+def test_values_between_steps_have_the_formulas_rating(spark):
+    gradings = [4.8333, 4.85555, 32 / 7, 4.85]
+    got = {r.item_id: (r.rating, r.x) for r in ratings.composite_rating(*frames(spark, gradings)).collect()}
+    for i, g in enumerate(gradings):
+        assert got[i][0] == pytest.approx(1 + 0.2 * 4 + 0.3 * g, abs=1e-12)
+    assert [got[i][1] for i in range(4)] == [None, None, None, 32550]
+    odd = ratings.composite_rating(*frames(spark, [4.0]), weights={"rating": 1 / 7}).first()
+    assert odd.x is None and odd.rating == pytest.approx(1 + 4 / 7 + 1.2, abs=1e-12)
+
+
+def test_recommenders_take_ratings_between_steps(spark):
+    rows = [(u, i, 1 + ((u * 7 + i * 3) % 11) / 3) for u in range(12) for i in range(9) if (u + i) % 4]
+    r = spark.createDataFrame(rows, "user_id long, item_id long, rating double").withColumn(
+        "x", F.when(F.col("rating") == F.round("rating"), F.round(F.col("rating") * 10_000).cast("bigint")))
+    values, digits = ratings.step_values(r)
+    assert digits == 9 and values.where("x is null").isEmpty() and ratings.step_values(values)[1] is None
+    # the same with all values in doubles from the start
+    doubles = values.drop("rating")
+    for f in (recommend.item_cf_recommend, recommend.user_cf_recommend):
+        assert Counter(map(tuple, f(r, k_neighbors=3, n=4).collect())) == Counter(map(tuple, f(doubles, k_neighbors=3, n=4).collect()))
+    cos = lambda product: {(c.item_id, c["rank"]): c.cos for c in similarity.cosine_neighbors(
+        values, k=3, product=product, digits=digits).collect()}
+    joined, blocked = cos("joined"), cos("blocked")
+    assert joined.keys() == blocked.keys() and all(abs(joined[k] - blocked[k]) < 1e-8 for k in joined)
+    assert all(p.prediction is not None for f in (evaluate.item_cf_predictions, evaluate.user_cf_predictions) for p in f(r).collect())
+    xt = {p.rating: p.xt for p in recommend.truncated(values).collect()}
+    assert all(t == math.floor(v + 1e-9) for v, t in xt.items())
 
 
 def test_whole_part_is_that_of_the_exact_rating(spark):
