@@ -44,9 +44,8 @@ def _table(spark: SparkSession, store: str, name: str, schema: str) -> DataFrame
 
 
 def _write(df: DataFrame, store: str, name: str, batch: int) -> None:
-    path = f"{store}/{name}/batch={batch}"
-    # one file per month and task that holds some of it
-    staged_overwrite(df, path, partition_by=["ym"])
+    # the rows of a month together: one file, or several where they are many
+    staged_overwrite(df.hint("rebalance", "ym"), f"{store}/{name}/batch={batch}", partition_by=["ym"])
 
 
 def changed_sums(spark: SparkSession, store: str, months: Sequence[int], batch: int) -> DataFrame:
