@@ -2,16 +2,18 @@
 
 Each text gives the counts n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words, all over the whole text and inside
 its row. Their vector, on logarithmic scales: word length, symbols per word, share of repeated lines, share of repeated words. For
-each (lang, source) the location and scatter of the vectors come from the ``H`` = half of the vectors with the least
+each (lang, source) the location and scatter of the vectors come from the ``H`` = half of the rows with the least
 covariance determinant: from each of STARTS (quantiles as locations, absolute deviations from the medians as scales), concentration steps take the
-vectors nearest by Mahalanobis distance and estimate mean and covariance from them again, corrected for consistency at the normal
-distribution, until no determinant falls any more (at most STEPS); the start with the least determinant gives the estimate. Equal
-vectors weigh at most MAX_SAME = 5 % of their group's rows, so copies, whatever their share, don't carry the estimate. A document is rejected beyond ``CUTOFF``.
+half nearest by Mahalanobis distance and estimate mean and covariance from it again, corrected for consistency at the normal
+distribution, until no determinant falls any more; the start with the least determinant gives the estimate. A document is rejected beyond ``CUTOFF``.
 
-All statistics are partial aggregations per group, so a group may hold any share of the rows; quantiles are
-percentile_approx with a rank error of 1 in 10,000. Groups of fewer than MIN_GROUP documents are estimated together; if even
-those are fewer, they aren't judged. Scatter never falls below FLOOR per coordinate: smaller differences are no deviations
-(most texts have no symbols or repeated lines at all). Only documents that pass the base rules enter estimates.
+Equal vectors are one row with a weight. Quantiles and the half are read off histograms (GRID buckets a unit, OCTAVE buckets a doubling of the distance):
+of the bucket in which the half ends, each vector counts with the share that fills the half, so copies, whatever their number, weigh no more than
+there is room for. All statistics are partial aggregations per group, so a group may hold any share of the rows; a window sees a group's buckets only.
+
+Documents of groups with fewer than MIN_GROUP rows are measured from their own group's medians, with a scatter estimated over all such groups together.
+Scatter never falls below FLOOR per coordinate: smaller differences are no deviations
+(most texts have no symbols or repeated lines at all). Only documents that pass the base rules enter estimates, and all of them are judged.
 
 Null text has no words and fails the base rules; null lang or source is a group of its own. Windows shorter than three
 words don't exist; lines without a word don't count.
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recengine.llm.common import Scratch, table
@@ -30,9 +32,11 @@ SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
 H = 0.5
 STARTS = (0.5, 0.25, 0.75)
-STEPS = 30
-MAX_SAME = 0.05
 MIN_GROUP = 30
+#: Buckets of a histogram of values (a unit) and of distances (a doubling); least fall of a logarithmic determinant that calls for another step.
+GRID, OCTAVE, FALL = 4096, 1024, 1e-4
+#: Steps after which the search is given up with an error; groups that are broadcast at most (beyond it Spark chooses the join).
+STEPS, BROADCAST_GROUPS = 1000, 100_000
 FLOOR = {"x_length": 0.05, "x_symbols": 0.05, "x_lines": 0.05, "x_repeat": 0.05}
 X = tuple(FLOOR)
 #: Chi-square with 4 degrees of freedom: its upper tail is exp(-t/2) * (1 + t/2), 0.001 at 18.467.
@@ -101,55 +105,90 @@ def cholesky(cov: DataFrame, x: tuple[str, ...]) -> DataFrame:
     return cov
 
 
+def cut(histogram: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """(keys, at, part) of a histogram (keys, b, n): the bucket in which ``share`` of a key's rows ends, and the part of it that belongs to
+    the share. The window sees the buckets of one key."""
+    run = Window.partitionBy(*keys).orderBy("b")
+    h = histogram.withColumns({"upto": F.sum("n").over(run), "all": F.sum("n").over(Window.partitionBy(*keys))})
+    ends = h.where(F.col("upto") >= F.col("all") * share).groupBy(*keys).agg(F.min_by(F.struct("b", "n", "upto", "all"), "b").alias("x"))
+    return ends.select(*keys, F.col("x.b").alias("at"), ((F.col("x.all") * share - F.col("x.upto") + F.col("x.n")) / F.col("x.n")).alias("part"))
+
+
+def quantiles(values: DataFrame, share: float, name: str) -> DataFrame:
+    """(g, <name>_i): quantiles of the coordinates of (g, i, x, n)."""
+    h = values.groupBy("g", "i", F.floor(F.col("x") * GRID).alias("b")).agg(F.sum("n").alias("n"))
+    at = cut(h, ["g", "i"], share).select("g", "i", ((F.col("at") + 0.5) / GRID).alias("q"))
+    return at.groupBy("g").agg(*[F.max(F.when(F.col("i") == k, F.col("q"))).alias(f"{name}_{k}") for k in range(len(X))])
+
+
 def estimates(v: DataFrame, scratch: Scratch) -> DataFrame:
-    """Location and factored scatter of each group ``g`` of the vectors: (g, m_i, l_i_j)."""
+    """Location and factored scatter of each group ``g`` of the weighted vectors (g, X, n): (g, m_i, l_i_j)."""
     n = len(X)
-    rows = v.groupBy("g").agg(F.greatest(F.lit(1), F.floor(F.count("*") * F.lit(MAX_SAME))).alias("most"))
-    same = v.groupBy("g", *X).agg(F.count("*").alias("n")).join(rows, "g")
-    v = scratch.save(same.select("g", *X, F.explode(F.expr("array_repeat(0, int(least(n, most)))")).alias("copy")).drop("copy"), "vectors")
-    mid = v.groupBy("g").agg(*[F.percentile_approx(x, F.array(*map(F.lit, STARTS)), F.lit(10000)).alias(f"q_{i}") for i, x in enumerate(X)])
-    mid = scratch.save(mid, "median")
-    mad = v.join(mid, "g").groupBy("g", *[f"q_{i}" for i in range(n)]).agg(
-        *[F.percentile_approx(F.abs(F.col(x) - F.col(f"q_{i}")[0]), F.lit(0.5), F.lit(10000)).alias(f"a_{i}") for i, x in enumerate(X)])
-    params = mad.withColumn("start", F.explode(F.array(*[F.lit(k) for k in range(len(STARTS))])))
-    params = scratch.save(params.select("g", "start", *[F.col(f"q_{i}")[F.col("start")].alias(f"m_{i}") for i in range(n)], *[
-        (F.greatest(F.col(f"a_{i}") * 1.4826, F.lit(FLOOR[X[i]])) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}")
-        for i in range(n) for j in range(i + 1)], F.lit(math.inf).alias("log_det")), "start")
+    pairs = [(i, j) for i in range(n) for j in range(i + 1)]
+    long = v.select("g", "n", F.posexplode(F.array(*X)).alias("i", "x"))
+    places = [scratch.save(quantiles(long, share, f"q{k}"), f"place{k}") for k, share in enumerate(STARTS)]
+    middle = places[0].select("g", F.array(*[f"q0_{i}" for i in range(n)]).alias("mid"))
+    away = long.join(middle, "g").select("g", "i", F.abs(F.col("x") - F.get("mid", F.col("i"))).alias("x"), "n")
+    scales = scratch.save(quantiles(away, 0.5, "a"), "scales")
+    params = None
+    for k, place in enumerate(places):
+        one = place.join(scales, "g").select("g", F.lit(k).alias("start"), *[F.col(f"q{k}_{i}").alias(f"m_{i}") for i in range(n)], *[
+            (F.greatest(F.col(f"a_{i}") * 1.4826, F.lit(FLOOR[X[i]])) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}") for i, j in pairs],
+            F.lit(math.inf).alias("log_det"))
+        params = one if params is None else params.unionByName(one)
+    params = scratch.save(params, "step0")
+    scratch.drop("scales", *[f"place{k}" for k in range(len(STARTS))])
     factor = consistency(H, n)
-    for step in range(STEPS):
-        far = v.join(params, "g").select("g", "start", *X, distance(X).alias("d"))
-        near = scratch.save(far.groupBy("g", "start").agg(F.percentile_approx("d", F.lit(H), F.lit(10000)).alias("q")), f"near{step}")
-        cov = far.join(near, ["g", "start"]).where("d <= q").groupBy("g", "start").agg(
-            *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(X)],
-            *[(F.covar_pop(X[i], X[j]) * factor + (FLOOR[X[i]] ** 2 if i == j else 0)).alias(f"c_{i}_{j}")
-              for i in range(n) for j in range(i + 1)])
-        cov = cholesky(cov, X).drop(*[f"c_{i}_{j}" for i in range(n) for j in range(i + 1)])
+    for step in range(1, STEPS + 1):
+        far = v.join(params, "g").withColumn("b", F.floor(F.log2(distance(X) + 2.0 ** -20) * OCTAVE))
+        near = scratch.save(cut(far.groupBy("g", "start", "b").agg(F.sum("n").alias("n")), ["g", "start"], H), f"near{step}")
+        w = F.col("n") * F.when(F.col("b") < F.col("at"), 1.0).when(F.col("b") == F.col("at"), F.col("part")).otherwise(0.0)
+        z = [F.col(X[i]) - F.col(f"m_{i}") for i in range(n)]
+        held = far.join(near, ["g", "start"]).where("b <= at").select("g", "start", *[f"m_{i}" for i in range(n)], w.alias("w"), *[
+            z[i].alias(f"z_{i}") for i in range(n)])
+        sums = held.groupBy("g", "start").agg(F.sum("w").alias("w"), *[F.max(f"m_{i}").alias(f"m_{i}") for i in range(n)],
+                                              *[F.sum(F.col("w") * F.col(f"z_{i}")).alias(f"s_{i}") for i in range(n)],
+                                              *[F.sum(F.col("w") * F.col(f"z_{i}") * F.col(f"z_{j}")).alias(f"s_{i}_{j}") for i, j in pairs])
+        mean = [F.col(f"s_{i}") / F.col("w") for i in range(n)]
+        cov = sums.select("g", "start", *[(F.col(f"m_{i}") + mean[i]).alias(f"m_{i}") for i in range(n)], *[
+            ((F.col(f"s_{i}_{j}") / F.col("w") - mean[i] * mean[j]) * factor + (FLOOR[X[i]] ** 2 if i == j else 0)).alias(f"c_{i}_{j}")
+            for i, j in pairs])
+        cov = cholesky(cov, X).drop(*[f"c_{i}_{j}" for i, j in pairs])
         last = params.select("g", "start", F.col("log_det").alias("before"))
         params = scratch.save(cov.withColumn("log_det", sum(F.log(f"l_{i}_{i}") for i in range(n))), f"step{step}")
-        if params.join(last, ["g", "start"]).where("before - log_det > 1e-9").isEmpty():
+        falls = not params.join(last, ["g", "start"]).where(F.col("before") - F.col("log_det") > FALL).isEmpty()
+        scratch.drop(f"near{step}", f"step{step - 1}")
+        if not falls:
             break
-    # equal determinants: the earlier start
-    best = params.groupBy("g").agg(F.min_by("start", F.struct(F.round("log_det", 9), "start")).alias("start"))
+    else:
+        raise RuntimeError(f"no least determinant after {STEPS} steps")
+    # nearly equal determinants: the earlier start
+    best = params.groupBy("g").agg(F.min_by("start", F.struct(F.round("log_det", 3), "start")).alias("start"))
     return params.join(best, ["g", "start"]).drop("start", "log_det")
 
 
 def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """(doc_id, counts, base_failed, distance, kept) per row of ``docs``; distance is null where no verdict was made."""
+    """(doc_id, counts, base_failed, distance, kept) per row of ``docs``; distance is null where the base rules fail."""
     scratch = Scratch(docs.sparkSession, "quality")
     d = scratch.save(base_counts(docs).withColumn("base_failed", base_failed()), "counts")
     share = lambda a, b: F.log1p(F.col(a) / F.greatest(F.col(b), F.lit(1)))
     d = d.withColumns({"x_length": F.log(F.greatest("word_chars", F.lit(1)) / F.greatest("n_words", F.lit(1))),
                        "x_symbols": share("n_symbols", "n_words"), "x_lines": share("n_dup_lines", "n_lines"),
-                       "x_repeat": share("n_repeat_words", "n_words")})
-    key = F.to_json(F.struct("lang", "source"))
-    passed = d.where(~F.col("base_failed")).withColumn("key", key)
-    groups = passed.groupBy("key").agg(F.when(F.count("*") >= MIN_GROUP, F.first("key")).otherwise(F.lit("")).alias("g"))
-    groups = scratch.save(groups, "groups")
-    v = passed.join(groups, "key").select("g", *X)
-    sizes = v.groupBy("g").agg(F.count("*").alias("size")).where(F.col("size") >= MIN_GROUP).select("g")
-    params = estimates(v, scratch).join(sizes, "g")
-    judged = (d.withColumn("key", key).join(groups, "key", "left").join(params, "g", "left")
-              .withColumn("distance", F.when(~F.col("base_failed"), distance(X))))
+                       "x_repeat": share("n_repeat_words", "n_words"), "key": F.to_json(F.struct("lang", "source"))})
+    same = scratch.save(d.where(~F.col("base_failed")).groupBy("key", *X).agg(F.count("*").alias("n")), "vectors")
+    sizes = same.groupBy("key").agg(F.sum("n").alias("size"))
+    few = same.join(sizes.where(F.col("size") < MIN_GROUP).select("key"), "key")  # fewer than MIN_GROUP rows a key
+    centres = few.groupBy("key").agg(*[F.expr(f"percentile({x}, 0.5, n)").alias(f"o_{i}") for i, x in enumerate(X)])
+    groups = scratch.save(sizes.join(centres, "key", "left").select(
+        "key", F.when(F.col("size") < MIN_GROUP, F.lit("")).otherwise(F.col("key")).alias("g"),
+        *[F.coalesce(f"o_{i}", F.lit(0.0)).alias(f"o_{i}") for i in range(len(X))]), "groups")
+    moved = same.join(groups, "key").select("g", *[(F.col(x) - F.col(f"o_{i}")).alias(x) for i, x in enumerate(X)], "n")
+    v = scratch.save(moved.groupBy("g", *X).agg(F.sum("n").alias("n")), "moved")
+    found = scratch.save(groups.join(estimates(v, scratch), "g").select("key", *[
+        (F.col(f"m_{i}") + F.col(f"o_{i}")).alias(f"m_{i}") for i in range(len(X))], *[f"l_{i}_{j}" for i in range(len(X)) for j in range(i + 1)]), "found")
+    scratch.drop(*[name for name in scratch.paths if name not in ("counts", "found")])
+    judged = d.join(F.broadcast(found) if found.count() <= BROADCAST_GROUPS else found, "key", "left")
+    judged = judged.withColumn("distance", F.when(~F.col("base_failed"), distance(X)))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"))
 
