@@ -8,8 +8,8 @@ A page becomes a tree of elements with its runs of text (blocks) as leaves. Ever
   inside   anything inside a marked element
 Node potentials are P(feature | state) of its tag, of hints in its class, id and role, and for a block of its length, share of
 linked words, last character and kind of element; edge potentials are P(state | state of the parent). Only
-elements with a naming tag or a strong hint can be marked. A hint is strong where a whole class or role names the element, or its id, unless that
-is an anchor (of a heading, or of a section inside an article); other matches are weak: a feature with mild potentials, which prose outweighs. Inside, an element's potential is the greater of content's and other's, and a
+elements with a naming tag or a strong hint can be marked. A hint is strong where a whole class, role or id names the element by words that leave no
+doubt, other than the id of a heading or paragraph (an anchor); other matches are weak: a feature with mild potentials, which prose outweighs. Inside, an element's potential is the greater of content's and other's, and a
 block's is content's: prose there is no evidence that the part belongs to the article. Messages pass from
 the leaves to the root and back, which gives every block's exact marginal; blocks with P(content) >= 1/2 are kept.
 
@@ -67,8 +67,8 @@ HINTS = {
 VAGUE = frozenset("more discussion search tags rating legal form alert notice skip share popular feedback contact promotion trending text body".split())
 BESIDE = frozenset("box wrapper wrap container section block list area inner outer bar item items site page top bottom left right main global primary "
                    "secondary widget widgets links link panel module group holder div row col column".split())
-#: Elements whose id is an anchor, and those of which it is one inside an article.
-ANCHORED, ANCHORED_INSIDE = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd a".split()), frozenset("section figure table blockquote ol ul dl pre".split())
+#: Elements whose id is an anchor.
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd a".split())
 
 #: Prior counts (frame, content, other) of each feature's values; unlisted values start from (1, 1, 1).
 PRIOR = {
@@ -125,7 +125,7 @@ def token_hints(token: str, anchor: bool) -> tuple[set[int], bool]:
     return found, OTHER in found and (anchor or not whole)
 
 
-def hint_of(tag: str, attributes: str, in_article: bool = False) -> tuple[str | None, bool, bool, bool]:
+def hint_of(tag: str, attributes: str) -> tuple[str | None, bool, bool, bool]:
     """(hint, weak hint at other, hidden, says that it is the main part) of an element."""
     found, weak, hidden, main = set(), False, False, tag in ("article", "main")
     for name, value in _ATTRIBUTE.findall(attributes):
@@ -134,7 +134,7 @@ def hint_of(tag: str, attributes: str, in_article: bool = False) -> tuple[str |
             hidden = True
         elif name in ("class", "id", "role"):
             main |= name == "role" and value in ("main", "article")
-            anchor = name == "id" and (tag in ANCHORED or in_article and tag in ANCHORED_INSIDE)
+            anchor = name == "id" and tag in ANCHORED
             for token in value.split():
                 states, slight = token_hints(token, anchor)
                 weak |= slight
@@ -181,10 +181,9 @@ class Page:
             self.stack.append((tag, self.stack[-1][1] if self.stack else self._node([("tag", "body")])))
             return
         self._flush()
-        in_article = any(t in ("article", "main") for t, _ in self.stack)
-        hint, weak, hidden, main = hint_of(tag, attributes, in_article) if attributes or tag in ("article", "main") else (None, False, False, False)
+        hint, weak, hidden, main = hint_of(tag, attributes) if attributes or tag in ("article", "main") else (None, False, False, False)
         features = [("tag", "hidden" if hidden else tag_kind(tag)), *([("hint", hint)] if hint else []), *([("weak", True)] if weak else [])]
-        if hidden or hint == "other" or tag in MARKING or tag == "header" and not in_article:
+        if hidden or hint == "other" or tag in MARKING or tag == "header" and not any(t in ("article", "main") for t, _ in self.stack):
             features.append(("marked", True))
         self.stack.append((tag, self._node(features, main=main)))
 
