@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as p
@@ -110,3 +111,19 @@ def test_language_stage(spark):
     assert {(r.doc_id, r.lang) for r in got.collect()} == {(1, "en"), (2, "fr"), (3, "fr")}
     nothing = p.identify_language(spark, documents(spark, [(1, "a b", None), (2, "3", None)]), SF_SMALL)
     assert [(r.doc_id, r.lang) for r in nothing.collect()] == [(1, None)]
+
+
+CLASHES = ("score lang_pred row id key g h k rows salt again component component_id cls doc_key text_key n_shingles base threshold s of n size target source_size "
+           "words block label hit n_hit n_words contaminated copies taken __id __key __s __n __i `my col` a b node").split(" ")
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in p.STAGES[:-1]])
+def test_extra_columns_may_have_any_name(spark, stage):
+    names = " ".join(CLASHES).replace("`my col`", "`my_col`").split()
+    rows = [(i, f"This is the {w} number {i} of some plain english words that go on for a while and stop", "en", f"s{i % 2}")
+            for i, w in enumerate(("text", "line", "page", "book", "note") * 4)] + [(99, "Das ist ein kurzer Satz auf Deutsch", "de", None)]
+    docs = documents(spark, rows).select(*COLUMNS, *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n.strip("`")) for n in names])
+    out = dict(p.STAGES)[stage](spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert got and all(r[n.strip("`")] == f"{n}:{r.doc_id}" for r in got for n in names)
