@@ -5,11 +5,11 @@ member has been compared with one center of its list, most lists lie in one comp
 whose components differ, and proves that no link between two components is left:
 
 1. Screening. Members of a list's largest component form major blocks, the others minor ones, of at most SCREEN classes. Every minor block
-   meets every block of its list in one unit, which compares the classes' signatures and returns the members that may link with one of
-   another component. Lists without such members (texts that share a passage) are done.
+   meets every block of its list in one unit, which compares the classes' signatures (coarse ones first) and returns the members that may link with one of
+   another component. Lists without such members (texts that share a passage) are done; lists with the same members count once.
 2. Rounds of blocks. The members of some lists are dealt to blocks of at most BLOCK classes with their sets; a unit unites the components of
    one block by exact intersections and returns the links that unite two: fewer than it has members. Rounds go on while they unite many.
-3. Crossing. In the lists that are still apart, minor blocks meet all blocks, with their sets, as in 1.
+3. Crossing. The lists that are still apart are screened again; then their minor blocks meet all blocks, with their sets, as in 1.
 
 So rows are proportional to members (times the blocks of a list in 1 and 3), never to pairs; a unit holds two blocks, whose number follows from the
 list's members and from their sets' sizes. A pair that shares several lists is compared in the first one only, where the comparer's
@@ -69,14 +69,16 @@ def components(scratch: Scratch, found: DataFrame, name: str) -> DataFrame:
 
 
 def apart(members: DataFrame, parts: DataFrame, scratch: Scratch, name: str, least: int = 2) -> DataFrame:
-    """(key, cls, n, component, major, minors, size, n_minor, n_all) of the lists of ``least`` or more members in several components."""
+    """(key, cls, n, component, major, minors, size, n_minor, n_all) of the lists of ``least`` or more members in several components;
+    of lists with the same members, only that of the least key."""
     m = members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     m = scratch.save(m.select("key", "cls", "n", "component"), name)
-    per = m.groupBy("key", "component").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    per = m.groupBy("key", "component").agg(F.count("*").alias("c"), F.sum("n").alias("s"), F.bit_xor(F.xxhash64("cls")).alias("x"))
     lists = per.groupBy("key").agg(F.max(F.struct("c", "s", "component")).alias("top"), F.sum("c").alias("size"), F.sum("s").alias("n_all"),
-                                   F.count("*").alias("components")).where(f"components > 1 and size >= {least}")
-    lists = lists.select("key", F.col("top.component").alias("most"), "size", "n_all", (F.col("size") - F.col("top.c")).alias("minors"),
-                         (F.col("n_all") - F.col("top.s")).alias("n_minor"))
+                                   F.bit_xor("x").alias("x"), F.count("*").alias("components")).where(f"components > 1 and size >= {least}")
+    lists = lists.groupBy("size", "x", "n_all").agg(F.min(F.struct("key", "top")).alias("l")).select(
+        F.col("l.key").alias("key"), F.col("l.top.component").alias("most"), "size", "n_all", (F.col("size") - F.col("l.top.c")).alias("minors"),
+        (F.col("n_all") - F.col("l.top.s")).alias("n_minor"))
     return m.join(lists, "key").withColumn("major", F.col("component") == F.col("most")).drop("most")
 
 
@@ -173,23 +175,29 @@ def class_ids(slim: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def resolve(scratch: Scratch, twins: DataFrame, info: DataFrame, found: DataFrame, sets_of, comparer: Comparer,
-            rounds: Sequence[Column]) -> DataFrame:
+            rounds: Sequence[Column], coarse: DataFrame | None = None) -> DataFrame:
     """(node, component) of the linked classes.
 
     twins: (key, cls, center); info: (cls, n, signature) of their classes; found: the links (a, b) known so far, of which those of
     every member with its list's center are complete. sets_of(classes) gives (cls, members); rounds: for each round of blocks, which
-    lists (a condition on key) it takes.
+    lists (a condition on key) it takes. coarse: (cls, n, signature) with smaller signatures that are screened first.
     """
     parts = components(scratch, found, "parts")
     members = scratch.save(memberships(twins).join(info.select("cls", "n"), "cls"), "members")
-    lists = apart(members, parts, scratch, "apart", 3)  # the pair of a list of two is known
-    hopeful = scratch.save(screened(crossing(lists, SCREEN, False), info, comparer), "hopeful")
-    scratch.drop("apart")
-    if hopeful.isEmpty():
-        scratch.drop("members", "hopeful")
+    state = {"members": "members", "least": 3}  # the pair of a list of two is known
+
+    def screen(signatures: DataFrame, name: str) -> bool:
+        """Leaves the members that may link with another component; whether there are any."""
+        nonlocal members
+        lists = apart(members, parts, scratch, f"{name}-apart", state["least"])
+        hopeful = scratch.save(screened(crossing(lists, SCREEN, False), signatures, comparer), f"{name}-hopeful")
+        members = scratch.save(members.join(hopeful, ["key", "cls"], "left_semi"), name)
+        scratch.drop(state["members"], f"{name}-apart", f"{name}-hopeful")
+        state.update(members=name, least=2)
+        return not members.isEmpty()
+
+    if coarse is not None and not screen(coarse, "screen-0") or not screen(info, "screen-1"):
         return parts
-    members = scratch.save(members.join(hopeful, ["key", "cls"], "left_semi"), "hopeful-members")
-    scratch.drop("members", "hopeful")
     classes = members.select("cls").distinct()
     sets = scratch.save(sets_of(classes), "sets")
     info = scratch.save(info.join(classes, "cls", "left_semi"), "hopeful-info")
@@ -209,6 +217,6 @@ def resolve(scratch: Scratch, twins: DataFrame, info: DataFrame, found: DataFram
         new, rows = step(lambda m, k=k: single(m, k), f"round-{k}", condition)
         if new < WORTH * rows or not new:
             break
-    step(lambda m: crossing(m, BLOCK, True), "cross")
-    scratch.drop("hopeful-members", "sets", "hopeful-info")
+    if screen(info, "screen-2"):
+        step(lambda m: crossing(m, BLOCK, True), "cross")
     return parts

@@ -42,6 +42,8 @@ SHINGLE = 3
 PERCENT = 90
 #: Bits of a bitmap per shingle, and its least and greatest number of 64-bit words.
 BITS_PER_SHINGLE, LEAST_WORDS, MOST_WORDS = 8, 2, 4096
+#: Each round of blocks takes one of so many shares of the groups.
+ROUNDS = 16
 LAST = 2 ** 63 - 1
 #: Signatures of the documents that a task resolves together.
 CHUNK_SIGNATURES = 500_000
@@ -221,6 +223,17 @@ def verified(pairs: DataFrame, docs: DataFrame, slim: DataFrame, n: int, percent
     return out
 
 
+def coarser(info: DataFrame) -> DataFrame:
+    """(cls, n, signature): the bitmaps of (cls, n, bits) folded to an eighth of their size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            maps = (np.frombuffer(x, np.uint64) for x in b["bits"].to_pylist())
+            small = [folded(x, max(LEAST_WORDS, len(x) // 8)).tobytes() for x in maps]
+            yield pa.RecordBatch.from_arrays([b["cls"], b["n"], pa.array(small, pa.binary())], names=["cls", "n", "signature"])
+
+    return info.select("cls", "n", "bits").mapInArrow(run, "cls long, n long, signature binary")
+
+
 class Bitmaps(Comparer):
     """Bounds of the overlap from hashed bitmaps."""
 
@@ -260,9 +273,10 @@ def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Dat
     found = verified(hopeful, docs, slim, n, percent, scratch, "links")
     scratch.drop("stars", "hopeful")
     # a group's ranges take turns in the rounds
-    rounds = [F.pmod(F.xxhash64("key"), F.lit(8)) == k for k in range(8)]
+    rounds = [F.pmod(F.xxhash64("key"), F.lit(ROUNDS)) == k for k in range(ROUNDS)]
+    coarse = scratch.save(coarser(info), "coarse")
     parts = resolve(scratch, twins.withColumnRenamed("sig", "key"), info.withColumnRenamed("bits", "signature"), found,
-                    lambda c: class_sets(docs, first_texts(slim, c), n), Bitmaps(percent), rounds)
+                    lambda c: class_sets(docs, first_texts(slim, c), n), Bitmaps(percent), rounds, coarse)
     ids = scratch.save(class_ids(slim, parts), "ids")
     scratch.drop(*[name for name in scratch.paths if name not in ("slim", "ids")])
     return slim.join(ids, "cls", "left").select(
