@@ -41,7 +41,7 @@ from recengine.llm.link_blocks import SALTS, Comparer, class_ids, resolve
 SHINGLE = 3
 PERCENT = 90
 #: Bits of a bitmap per shingle, and its least and greatest number of 64-bit words.
-BITS_PER_SHINGLE, LEAST_WORDS, MOST_WORDS = 8, 2, 4096
+BITS_PER_SHINGLE, LEAST_WORDS, MOST_WORDS = 8, 2, 1024
 #: Each round of blocks takes one of so many shares of the groups.
 ROUNDS = 16
 LAST = 2 ** 63 - 1
@@ -269,12 +269,14 @@ def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Dat
     info = scratch.save(rows.where("bits is not null").select("cls", F.col("n_shingles").alias("n"), "bits")
                         .join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "info")
     scratch.drop("rows", "classes")
-    hopeful = scratch.save(may_link(tested, info, percent), "hopeful")
+    # small bitmaps first: a task holds those of thousands of pairs at once
+    coarse = scratch.save(coarser(info), "coarse")
+    maybe = scratch.save(may_link(tested, coarse.withColumnRenamed("signature", "bits"), percent), "maybe")
+    hopeful = scratch.save(may_link(maybe, info, percent), "hopeful")
     found = verified(hopeful, docs, slim, n, percent, scratch, "links")
-    scratch.drop("stars", "hopeful")
+    scratch.drop("stars", "maybe", "hopeful")
     # a group's ranges take turns in the rounds
     rounds = [F.pmod(F.xxhash64("key"), F.lit(ROUNDS)) == k for k in range(ROUNDS)]
-    coarse = scratch.save(coarser(info), "coarse")
     parts = resolve(scratch, twins.withColumnRenamed("sig", "key"), info.withColumnRenamed("bits", "signature"), found,
                     lambda c: class_sets(docs, first_texts(slim, c), n), Bitmaps(percent), rounds, coarse)
     ids = scratch.save(class_ids(slim, parts), "ids")
