@@ -24,12 +24,13 @@ SHINGLE, PERCENT = 5, 80
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(docs)
-    # the row goes along as one value, so that its columns' names don't matter
-    known = language_id.predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"), model)
+    # columns are numbered meanwhile, so that their names don't matter
+    names = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    known = language_id.predict(docs.toDF(*names), model)
     # if no language could be learned, only texts without a letter are rejected
     keep = F.col("lang_pred") != language_id.UNDETERMINED if model.languages else F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
-    lang = F.coalesce("row.lang", F.when(F.col("lang_pred") != language_id.UNDETERMINED, F.col("lang_pred")))
-    return known.where(keep).select(*[(lang if c == "lang" else F.col("row")[c]).alias(c) for c in docs.columns])
+    lang = F.coalesce(names[docs.columns.index("lang")], F.when(F.col("lang_pred") != language_id.UNDETERMINED, F.col("lang_pred")))
+    return known.where(keep).select(*[(lang if c == "lang" else F.col(name)).alias(c) for c, name in zip(docs.columns, names)])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
