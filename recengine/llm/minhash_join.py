@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recengine.llm.common import Scratch, batches_of, finish, list_array, signed, table, utf8
+from recengine.llm.common import Scratch, batches_of, finish, table, utf8
 from recengine.llm.link_blocks import Comparer, class_ids, resolve
 from recengine.llm.ngram_join import class_sets, first_texts, set_key, shingle_set, verified
 
