@@ -1,10 +1,11 @@
 """Item-based and user-based collaborative filtering recommendations.
 
-Both are flat joins and aggregations: ratings join neighbours, sum or average by
-(user, candidate) while dropping candidates the user already has (marker rows in the same
-aggregation), rank per user.
-No arrays, no UDFs, no RDDs; every step is partial-aggregated or partial-limited before
-its shuffle.
+Ratings join neighbours, sum or average by (user, candidate) while dropping candidates the user
+already has (marker rows in the same aggregation), rank per user.
+What is joined goes to its user once, as short arrays (the neighbours of an item, the rows of a
+neighbour); candidates become rows only there, so neither the aggregation nor the ranking shuffles
+them. Users with many rows take flat joins and aggregations instead, each partial-aggregated or
+partial-limited before its shuffle.
 """
 
 from __future__ import annotations
@@ -61,6 +62,21 @@ def _fresh_scores(cand: DataFrame, taken: DataFrame, user: str, item: str, how:
     return out.select(back(F.shiftright("_k", 32), user), back(F.col("_k") % F.lit(_PACK), item), "score")
 
 
+def _local_scores(rows: DataFrame, user: str, item: str, how: str) -> DataFrame:
+    """``_fresh_scores`` of ``rows`` (user, item, _s, _t) that are dealt by user: marks have _t 1."""
+    agg = F.sum("_s") if how == "sum" else F.avg("_s")
+    return (rows.groupBy(user, item).agg(agg.alias("score"), F.max("_t").alias("_taken"))
+            .where(F.col("_taken") == 0).drop("_taken"))
+
+
+def _parts(df: DataFrame, user: str, hot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of usual users and those of users with many rows."""
+    if hot is None:
+        return df, None
+    keys = hot.select(user)
+    return df.join(keys, user, "left_anti"), df.join(keys, user, "left_semi")
+
+
 def _rank(scores: DataFrame, user: str, item: str, n: int) -> DataFrame:
     ranked = top_k_per_group(scores, [user], [F.round("score", SCORE_DIGITS).desc()], n,
                              ties=[F.col(item).asc()], name="ranking")
@@ -83,15 +99,28 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
         r, entity=item, by=user, value=value, k=k_neighbors, neighbor="_nb", profile=prof, digits=digits)
     if neighbors is not None:
         nb = nb.select(item, F.col(nb.columns[1]).alias("_nb"), "cos")
-    # each rating row meets at most k neighbours: the join emits up to k * rows rows
+    if prof[user].hot is not None:
+        nb = reliable_checkpoint(nb)  # read by both parts
+    usual, many = _parts(r.select(user, item, value), user, prof[user].hot)
+    # each rating row meets at most k neighbours: the candidates are up to k * rows rows
     width = pair_partitions(r.sparkSession, k_neighbors * prof[item].rows)
-    cand = (salted_join(r.select(user, item, value), nb.select(item, "_nb", "cos"), item,
-                        salt_cols=[user], hot=hot_items, partitions=width)
+    lists = nb.groupBy(item).agg(F.collect_list(F.struct("_nb", "cos")).alias("_l")).select(
+        item, F.col("_l._nb").alias("_n"), F.col("_l.cos").alias("_c"))
+    met = salted_join(usual, lists, item, salt_cols=[user], how="left", hot=hot_items).repartition(width, user)
+    kind = dict(r.dtypes)[item]
+    theirs = F.transform(F.arrays_zip("_n", "_c"), lambda e: F.struct(
+        e["_n"].cast(kind).alias(out_item), (e["_c"] * F.col(value) / F.lit(float(unit))).cast("double").alias("_s"), F.lit(0).alias("_t")))
+    mark = F.array(F.struct(F.col(item).alias(out_item), F.lit(None).cast("double").alias("_s"), F.lit(1).alias("_t")))
+    rows = met.select(user, F.inline(F.concat(F.coalesce(theirs, F.filter(mark, lambda e: F.lit(False))), mark)))
+    out = _rank(_local_scores(rows, user, out_item, "sum"), user, out_item, n)
+    if many is None:
+        return out
+    cand = (salted_join(many, nb.select(item, "_nb", "cos"), item, salt_cols=[user], hot=hot_items, partitions=width)
             .select(user, F.col("_nb").alias(out_item),
                     (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
-    taken = r.select(user, F.col(item).alias(out_item))
+    taken = many.select(user, F.col(item).alias(out_item))
     pack = _fits(prof[user]) and _fits(prof[item])
-    return _rank(_fresh_scores(cand, taken, user, out_item, "sum", pack), user, out_item, n)
+    return out.unionByName(_rank(_fresh_scores(cand, taken, user, out_item, "sum", pack), user, out_item, n))
 
 
 def neighbor_rows(theirs: DataFrame, nb: DataFrame, user: str, item: str, hot_users: DataFrame | None,
@@ -111,6 +140,34 @@ def neighbor_rows(theirs: DataFrame, nb: DataFrame, user: str, item: str, hot_us
                     hot_rows=hot_rows, partitions=pair_partitions(nb.sparkSession, out))
 
 
+def rows_by_user(theirs: DataFrame, nb: DataFrame, user: str, item: str, value: str, hot_users: DataFrame | None,
+                 hot_rows: int) -> DataFrame:
+    """What ``neighbor_rows`` gives, dealt by user, with the user's own rows: (user, cos, _own, item, value), own rows with
+    _own 1 and a null cos. ``theirs`` is (_nb, item, value), ``nb`` (user, _nb, cos).
+
+    A neighbour's rows are an array (some arrays, for users with many rows) that goes to each user who has the neighbour.
+    """
+    spark = nb.sparkSession
+    nb = reliable_checkpoint(nb.select(user, "_nb", "cos"))
+    degree = nb.groupBy("_nb").agg(F.count(F.lit(1)).alias("_d"))
+    rows = theirs.groupBy("_nb").agg(F.count(F.lit(1)).alias("_r")).join(degree, "_nb", "left")
+    made = rows.agg(F.sum((F.coalesce("_d", F.lit(0)) + 1).cast("double") * F.col("_r"))).first()[0] or 0.0
+    width = pair_partitions(spark, made)
+    hubs = degree.where(F.col("_d") >= hot_rows).select("_nb", F.ceil((F.col("_d") + 1) / hot_rows).cast("int").alias("_s"))
+    hubs = None if hubs.isEmpty() else hubs
+    own = nb.select(user).distinct().select(user, F.col(user).alias("_nb"), F.lit(None).cast("double").alias("cos"), F.lit(1).alias("_own"))
+    edges = nb.withColumn("_own", F.lit(0)).unionByName(own)
+    part = F.lit(0)
+    if hot_users is not None:
+        theirs = theirs.join(hot_users.withColumnRenamed(hot_users.columns[0], "_nb"), "_nb", "left")
+        part = F.pmod(F.xxhash64(item), F.coalesce("_s", F.lit(1)))
+    lists = theirs.groupBy("_nb", part.alias("_p")).agg(F.collect_list(F.struct(F.col(item).alias("i"), F.col(value).alias("v"))).alias("_l"))
+    lists = lists.select("_nb", F.col("_l.i").alias(item), F.col("_l.v").alias(value))
+    met = salted_join(edges, lists, "_nb", salt_cols=[user], hot=hubs)
+    met = met.select(user, "cos", "_own", item, value).repartition(width, user)
+    return met.select(user, "cos", "_own", F.inline(F.arrays_zip(item, value)))
+
+
 def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user: str = "user_id",
                       item: str = "item_id", value: str = "x", unit: int = DEFAULT_UNIT,
                       out_item: str = "course_id", neighbors: DataFrame | None = None,
@@ -130,8 +187,17 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     if neighbors is not None:
         nb = nb.select(user, F.col(nb.columns[1]).alias("_nb"), "cos")
     theirs = r.select(F.col(user).alias("_nb"), F.col(item).alias(out_item), value)
-    cand = (neighbor_rows(theirs, nb.select(user, "_nb", "cos"), user, out_item, hot_users, hot_rows)
-            .select(user, out_item, (F.col("cos") * F.col(value) / F.lit(float(unit))).alias("_s")))
-    taken = r.select(user, F.col(item).alias(out_item))
+    if hot_users is not None:
+        nb = reliable_checkpoint(nb)  # read by both parts
+    usual, many = _parts(nb, user, hot_users)
+    score = (F.col("cos") * F.col(value) / F.lit(float(unit))).cast("double").alias("_s")
+    rows = rows_by_user(theirs, usual, user, out_item, value, hot_users, hot_rows)
+    rows = rows.select(user, out_item, score, F.col("_own").alias("_t"))
+    out = _rank(_local_scores(rows, user, out_item, "avg"), user, out_item, n)
+    if many is None:
+        return out
+    cand = neighbor_rows(theirs, many.select(user, "_nb", "cos"), user, out_item, hot_users, hot_rows)
+    taken = _parts(r.select(user, F.col(item).alias(out_item)), user, hot_users)[1]
     pack = _fits(prof[user]) and _fits(prof[item])
-    return _rank(_fresh_scores(cand, taken, user, out_item, "avg", pack), user, out_item, n)
+    cand = cand.select(user, out_item, score)
+    return out.unionByName(_rank(_fresh_scores(cand, taken, user, out_item, "avg", pack), user, out_item, n))

@@ -342,3 +342,13 @@ def test_pair_partitions_whole_waves(spark):
     assert similarity.pair_partitions(spark, 10 * par * 1_000_000) == 10 * par
     assert similarity.pair_partitions(spark, (par + 1) * 1_000_000) == 2 * par
     assert similarity.pair_partitions(spark, 1e12) >= 1e6  # no cap
+
+
+@pytest.mark.parametrize("fn", ["item_cf_recommend", "user_cf_recommend"])
+def test_candidates_are_not_shuffled(spark, fn):
+    """Candidates were dealt by (user, candidate) and again by user for the ranking."""
+    r = _ratings_df(spark, _random_ratings(8))
+    out = getattr(recommend, fn)(r, k_neighbors=4, n=5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("Generate inline")[0]
+    assert "Window" in above and "HashAggregate" in above and "Exchange" not in above
