@@ -352,3 +352,12 @@ def test_candidates_are_not_shuffled(spark, fn):
     plan = out._jdf.queryExecution().executedPlan().toString()
     above = plan.split("Generate inline")[0]
     assert "Window" in above and "HashAggregate" in above and "Exchange" not in above
+
+
+def test_models_are_fitted_once_for_the_checks(spark, monkeypatch):
+    from recengine.plans import registry
+    fits = []
+    fit = als.als_fit
+    monkeypatch.setattr(als, "als_fit", lambda *a, **kw: fits.append(kw) or fit(*a, iters=2, **kw))
+    got = registry.QUERIES["als_rmse_check"](spark, "/root/testdata/sf0.001").collect()
+    assert len(fits) == 1 and got[0].rmse_agrees and got[0].solved
