@@ -28,6 +28,8 @@ DEFAULT_FILL = {"rating": 4, "grading": 3}
 DEFAULT_UNIT = 10_000
 #: Digits that cosines of doubles are compared by, as scores are: the order of a sum changes the last ones.
 DOUBLE_DIGITS = 9
+#: Tasks that a key's rows are dealt to in joins of a fixed number of tasks.
+SALTS = 4
 
 
 def step_values(r: DataFrame, value: str = "x", rating: str = "rating", unit: int = DEFAULT_UNIT) -> tuple[DataFrame, int | None]:
@@ -38,12 +40,21 @@ def step_values(r: DataFrame, value: str = "x", rating: str = "rating", unit: in
     return r.withColumn(value, F.col(rating).cast("double") * F.lit(unit)), DOUBLE_DIGITS
 
 
+def _left_join(rows: DataFrame, dim: DataFrame, key: str, dim_key: str, other: str, partitions: int | None) -> DataFrame:
+    if not partitions:
+        return rows.join(dim, F.col(key) == F.col(dim_key), "left")
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).repartition(partitions, key, "_salt")
+    dim = dim.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).repartition(partitions, dim_key, "_copy")
+    return rows.join(dim, (F.col(key) == F.col(dim_key)) & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy")
+
+
 def composite_rating(facts: DataFrame, items: DataFrame, users: DataFrame, *,
                      weights: Mapping[str, float] | None = None,
                      fill: Mapping[str, float] | None = None, unit: int = DEFAULT_UNIT,
                      dedupe: bool = False,
                      fact_user: str = "student_id", fact_item: str = "course_id",
-                     fact_rating: str = "rating", item_id: str = "id", user_id: str = "id") -> DataFrame:
+                     fact_rating: str = "rating", item_id: str = "id", user_id: str = "id",
+                     partitions: int | None = None) -> DataFrame:
     """(user_id, item_id, rating double, x bigint = rating in 1/``unit`` steps).
 
     ``facts`` are interactions (user, item, rating?), ``items`` the catalogue (id, type,
@@ -52,6 +63,9 @@ def composite_rating(facts: DataFrame, items: DataFrame, users: DataFrame, *,
     still gets a rating from the fill values. Duplicate interactions stay (bag semantics)
     unless ``dedupe`` keeps one row per pair (the highest raw rating).
 
+    ``partitions`` fixes the number of tasks of the dimension joins, for tables that would fill the memory of fewer
+    tasks; a key's rows then go to ``SALTS`` of them.
+
     x is null where a term ``value * weight`` is no whole number of steps (with the default weights and unit, gradings of
     three decimals are); the rating is then the sum in doubles.
     """
@@ -66,7 +80,7 @@ def composite_rating(facts: DataFrame, items: DataFrame, users: DataFrame, *,
                      F.col("labels").alias("_clabels"))
     su = users.select(F.col(user_id).alias("_uid"), F.col("course_type").alias("_utypes"),
                       F.col("school_names").alias("_uschools"), F.col("labels").alias("_ulabels"))
-    j = (st.join(c, st.item_id == c._cid, "left").join(su, F.col("user_id") == su._uid, "left"))
+    j = _left_join(_left_join(st, c, "item_id", "_cid", "user_id", partitions), su, "user_id", "_uid", "item_id", partitions)
 
     def step(amount, key):
         """A weighted amount in steps; null between steps."""

@@ -20,7 +20,7 @@ from recengine.session import reliable_checkpoint
 from recengine.sources import buckets
 from recengine.sources.buckets import shared_path
 from recengine.sources.fixture_sql import with_fixtures
-from recengine.sources.fixtures import Catalog
+from recengine.sources.fixtures import Catalog, task_width
 from recengine.sources.io import load_tables
 
 # Parameters of the registered queries (cleaning needs a cutoff that removes rows and a
@@ -303,7 +303,8 @@ def _ratings(spark, sf, persist=True):
                 r.persist()
             return r
     cat = Catalog(spark, sf)
-    r = ratings.composite_rating(cat.student_course(), cat.course(), cat.sys_user(), unit=UNIT)
+    r = ratings.composite_rating(cat.student_course(), cat.course(), cat.sys_user(), unit=UNIT,
+                                 partitions=task_width(cat.table("lineitem")))
     if persist:
         r = r.persist()
         _RATINGS[(spark.sparkContext.applicationId, sf)] = r

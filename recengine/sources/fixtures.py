@@ -8,6 +8,8 @@ for the DuckDB oracle; both must give equal rows (checked by the oracle tests).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,25 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+#: Rows that one task joins or groups; smaller tables are dealt as Spark sees fit.
+ROWS_PER_TASK = 500_000
+
+
+def task_width(rows: DataFrame) -> int | None:
+    """Tasks of at most ROWS_PER_TASK rows each where there are more of them than task slots, else None."""
+    width = math.ceil(rows.count() / ROWS_PER_TASK)
+    return width if width > max(1, rows.sparkSession.sparkContext.defaultParallelism) else None
+
+
 def student_course(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Interactions (student_id, course_id, rating int?): one row per (customer, part)."""
+    width = task_width(lineitem)
+    if width:
+        lineitem, orders = lineitem.repartition(width, "l_orderkey"), orders.repartition(width, "o_orderkey")
     lo = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    if width:
+        # grouped where the rows arrive: no map of all groups before the shuffle
+        lo = lo.select("o_custkey", "l_partkey", "l_returnflag", "l_quantity").repartition(width, "o_custkey", "l_partkey")
     flag = F.col("l_returnflag")
     # max(flag) = 'N' <=> some flag is 'N' and none sorts above it; boolean aggregates keep
     # this a hash aggregation (a string max would force a sort-based one)

@@ -354,6 +354,19 @@ def test_candidates_are_not_shuffled(spark, fn):
     assert "Window" in above and "HashAggregate" in above and "Exchange" not in above
 
 
+def test_large_tables_are_joined_by_tasks_of_bounded_size(spark, monkeypatch):
+    """The tasks of these joins were as many as Spark's setting says, whatever the tables' size."""
+    from recengine.plans import registry
+    from recengine.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    plain = sorted(map(tuple, registry._ratings(spark, sf, persist=False).collect()))
+    monkeypatch.setattr(fixtures, "ROWS_PER_TASK", 500)
+    wide = registry._ratings(spark, sf, persist=False)
+    assert sorted(map(tuple, wide.collect())) == plain and plain
+    width = fixtures.task_width(fixtures.Catalog(spark, sf).table("lineitem"))
+    assert width > 8 and wide._jdf.queryExecution().toString().count("REPARTITION_BY_NUM") >= 7
+
+
 def test_models_are_fitted_once_for_the_checks(spark, monkeypatch):
     from recengine.plans import registry
     fits = []
