@@ -5,7 +5,7 @@ so far; since u . v <= |u| |v|, the user is done at the first block whose longes
 block is one matrix product, for the users that are still open.
 
 The item table is never assumed small: it goes to the tasks in rounds of at most ``ROUND_ITEMS`` items (a broadcast of known size). Between rounds
-the users' lists are written to the shared checkpoint folder; users that are done pass through, and rounds end when none is open.
+the users' lists are written to the shared checkpoint folder; only open users go on, and rounds end when none is open.
 """
 
 from __future__ import annotations
@@ -42,16 +42,26 @@ class Lists:
         self.item = np.full((users, n), np.iinfo(np.int64).max, np.int64)
 
     def add(self, rows: np.ndarray, score: np.ndarray, item: np.ndarray) -> None:
-        """Merges the scores (rows x items) of some items."""
-        if score.shape[1] > self.n:
+        """Merges the scores (rows x items) of some items; only those that reach a list's last place are sorted."""
+        floor = self.score[rows, -1]
+        short = np.flatnonzero(floor == -np.inf)
+        if len(short) and score.shape[1] > self.n:
             # more than n of them can't enter; ties at the n-th place stay for the exact order below
-            floor = np.partition(score, score.shape[1] - self.n, axis=1)[:, score.shape[1] - self.n]
-            keep = max(int((score >= floor[:, None]).sum(1).max()), self.n)
-            at = np.argsort(-score, axis=1, kind="stable")[:, :keep]
-            score, item = np.take_along_axis(score, at, 1), item[at]
-        else:
-            item = np.broadcast_to(item, score.shape)
-        s, i = np.concatenate([self.score[rows], score], 1), np.concatenate([self.item[rows], item], 1)
+            least = -np.partition(-score[short], self.n - 1, axis=1)[:, self.n - 1]
+            floor[short] = np.where(np.isnan(least), -np.inf, least)
+        enters = score >= floor[:, None]
+        count = np.count_nonzero(enters, axis=1)
+        some = np.flatnonzero(count)
+        if not len(some):
+            return
+        at, col = np.nonzero(enters)
+        count, rows = count[some], rows[some]
+        row = np.repeat(np.arange(len(some)), count)
+        place = self.n + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+        s = np.full((len(some), self.n + count.max()), -np.inf, np.float32)
+        i = np.full(s.shape, np.iinfo(np.int64).max, np.int64)
+        s[:, :self.n], i[:, :self.n] = self.score[rows], self.item[rows]
+        s[row, place], i[row, place] = score[at, col], item[col]
         order = np.lexsort((i, -s), axis=1)[:, :self.n]
         self.score[rows], self.item[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
@@ -83,11 +93,11 @@ def top_products(users: DataFrame, items: DataFrame, n: int, *, block: int = BLO
     state = users.select(F.col("id").cast("long").alias("id"), F.col("features").cast("array<float>").alias("features"),
                          F.array().cast("array<long>").alias("items"), F.array().cast("array<float>").alias("scores"),
                          F.lit(0).cast("long").alias("visits"), F.lit(True).alias("open"))
-    schema = state.schema
+    schema, done = state.schema, []
     for first in range(0, total, round_items):
-        part = ranked.where((F.col("_at") > first) & (F.col("_at") <= first + round_items)).orderBy("_at").collect()  # at most round_items rows
-        sent = spark.sparkContext.broadcast((np.array([r.item for r in part], np.int64),
-                                             np.array([r.features for r in part], np.float32)))
+        part = ranked.where((F.col("_at") > first) & (F.col("_at") <= first + round_items)).orderBy("_at").toArrow()  # at most round_items rows
+        sent = spark.sparkContext.broadcast((part["item"].to_numpy().astype(np.int64),
+                                             part["features"].combine_chunks().flatten().to_numpy().astype(np.float32).reshape(part.num_rows, -1)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ids, v = sent.value
@@ -96,22 +106,30 @@ def top_products(users: DataFrame, items: DataFrame, n: int, *, block: int = BLO
                     yield advance(b, ids, v)
 
         def advance(b: pa.RecordBatch, ids: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-            u = np.array(b["features"].to_pylist(), np.float32).reshape(b.num_rows, -1)
+            u = b["features"].flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(b.num_rows, -1)
             lists, open_ = Lists(b.num_rows, n), b["open"].to_numpy(zero_copy_only=False).copy()
-            for k, (i, s) in enumerate(zip(b["items"].to_pylist(), b["scores"].to_pylist())):
-                lists.item[k, :len(i)], lists.score[k, :len(s)] = i, s
+            held = b["items"].value_lengths().to_numpy(zero_copy_only=False)
+            filled = np.arange(n) < held[:, None]
+            lists.item[filled] = b["items"].flatten().to_numpy(zero_copy_only=False)
+            lists.score[filled] = b["scores"].flatten().to_numpy(zero_copy_only=False)
             visits = b["visits"].to_numpy() + scan_blocks(u, lists, open_, ids, v, block)
-            held = (lists.score > -np.inf).sum(1).tolist()
+            filled = lists.score > -np.inf  # from the front: lists are sorted
+            ends = pa.array(np.concatenate([[0], np.cumsum(filled.sum(1))]), pa.int32())
             return pa.RecordBatch.from_arrays(
-                [b["id"], b["features"], pa.array([x[:h] for x, h in zip(lists.item.tolist(), held)], pa.list_(pa.int64())),
-                 pa.array([x[:h] for x, h in zip(lists.score.tolist(), held)], pa.list_(pa.float32())), pa.array(visits, pa.int64()),
+                [b["id"], b["features"], pa.ListArray.from_arrays(ends, pa.array(lists.item[filled], pa.int64())),
+                 pa.ListArray.from_arrays(ends, pa.array(lists.score[filled], pa.float32())), pa.array(visits, pa.int64()),
                  pa.array(open_)], names=schema.names)
 
         state = state.mapInArrow(run, schema)
         if first + round_items < total:
             state = reliable_checkpoint(state)
             sent.unpersist()
-            if state.where("open").isEmpty():
+            # lists that are done are not carried through the next rounds
+            done.append(state.where("not open"))
+            state = state.where("open")
+            if state.isEmpty():
                 break
+    for lists in done:
+        state = state.unionByName(lists)
     flat = state.select("id", "visits", F.posexplode(F.arrays_zip("items", "scores")).alias("_p", "_x"))
     return flat.select("id", F.col("_x.items").alias("item"), F.col("_x.scores").alias("score"), (F.col("_p") + 1).alias("rank"), "visits")

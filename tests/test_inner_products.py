@@ -87,3 +87,43 @@ def test_recommendations_for_some_users(spark, ratings):
     part = als.als_recommend(ratings, n=6, iters=3, rank=4, users=some)
     key = lambda df: sorted((r.user_id, r.course_id, r.ranking) for r in df.collect())
     assert key(part) == key(whole.where("user_id in (3, 5)"))
+
+
+def test_only_scores_that_reach_a_list_are_sorted(monkeypatch):
+    rng = np.random.default_rng(5)
+    u, v = (rng.normal(size=(n, 4)).astype(np.float32) for n in (64, 4096))
+    v /= np.sqrt((v ** 2).sum(1, keepdims=True))  # of one length: users stay open
+    sorted_, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, axis=-1: sorted_.append(np.size(keys[0])) or lexsort(keys, axis=axis))
+    lists, open_ = inner_products.Lists(64, 5), np.ones(64, bool)
+    visits = inner_products.scan_blocks(u, lists, open_, np.arange(4096), v, 128)
+    assert visits.sum() > 2 * 64
+    # the first block sorts its five best; before, each later one sorted as many again for every open user
+    assert sum(sorted_) < 0.6 * 2 * 5 * visits.sum()
+    for i in range(64):
+        assert lists.score[i] == pytest.approx(np.sort(v @ u[i])[::-1][:5], rel=1e-5)
+
+
+def test_scores_that_are_no_numbers_enter_no_list():
+    lists = inner_products.Lists(2, 2)
+    lists.add(np.arange(2), np.array([[np.nan, 1, 3, np.nan, 2], [np.nan, np.nan, np.nan, np.nan, 4]], np.float32), np.arange(5))
+    assert lists.item[0].tolist() == [2, 4] and lists.item[1, 0] == 4 and lists.score[1, 1] == -np.inf
+    lists.add(np.arange(2), np.array([[3, 3, 1], [np.nan, 0, 5]], np.float32), np.array([7, 1, 8]))
+    assert lists.item.tolist() == [[1, 2], [8, 4]]
+
+
+def test_done_users_are_not_carried_through_the_rounds(spark, monkeypatch):
+    _, items = factors(spark, np.random.default_rng(7), 300, rank=3)
+    users = spark.createDataFrame([(1, [1.0, 0.0, 0.0]), (2, [0.0, 0.0, 0.0]), (3, [0.0, 1.0, 1.0])], "id int, features array<float>")
+    carried, checkpoint = [], inner_products.reliable_checkpoint
+
+    def counted(df):
+        out = checkpoint(df)
+        if "open" in out.columns:
+            carried.append(out.count())
+        return out
+
+    monkeypatch.setattr(inner_products, "reliable_checkpoint", counted)
+    got = inner_products.top_products(users, items, 4, block=10, round_items=100).collect()
+    assert sorted(r.id for r in got) == [1] * 4 + [2] * 4 + [3] * 4
+    assert carried[0] == 3 and carried[1] < 3  # the zero user stays open: every product ties
