@@ -47,14 +47,21 @@ class Scratch:
 
     A written table survives the loss of executors. Tables that a returned DataFrame still reads must
     stay; they go with the shared folder.
+
+    ``waves``: tasks and files of a table are at most so many times the cores, or an eighth of the shuffle partitions where that is more.
+    Every file that Spark creates on a file system without Hadoop's native code costs processes of its executor; many tables of
+    many tiny files cost thousands.
     """
 
-    def __init__(self, spark: SparkSession, tag: str):
-        self.spark, self.tag, self.paths = spark, tag, {}
+    def __init__(self, spark: SparkSession, tag: str, waves: int | None = None):
+        self.spark, self.tag, self.waves, self.paths = spark, tag, waves, {}
+
+    def most_files(self) -> int:
+        return max(self.waves * self.spark.sparkContext.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, f"{self.tag}-{name}")
-        df.write.parquet(path)
+        (df if self.waves is None else df.coalesce(self.most_files())).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[name] = path
         return out

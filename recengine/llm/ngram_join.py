@@ -47,6 +47,8 @@ ROUNDS = 16
 LAST = 2 ** 63 - 1
 #: Signatures of the documents that a task resolves together.
 CHUNK_SIGNATURES = 500_000
+#: Tasks a core that write an intermediate table, at most (see Scratch).
+WAVES = 4
 
 
 def shingle_set(text: bytes, n: int) -> np.ndarray:
@@ -255,7 +257,7 @@ def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Dat
 
     text_key is a hash of the text; component a class of the document's component (null for an empty set).
     """
-    scratch = Scratch(docs.sparkSession, "ngram")
+    scratch = Scratch(docs.sparkSession, "ngram", WAVES)
     rows = scratch.save(signature_rows(docs, n, percent), "rows")
     passed = rows.select("cls", F.explode("sigs").alias("sig"))
     order = Window.partitionBy("sig").orderBy("cls")  # at most one row per chunk in a group
@@ -288,7 +290,7 @@ def ngram_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Dat
 def one_of_each(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row of least doc_id (nulls last, then by a hash of
     the text) stays, once. Documents with an empty set all stay."""
-    scratch = Scratch(docs.sparkSession, "ngram-keep")
+    scratch = Scratch(docs.sparkSession, "ngram-keep", WAVES)
     # the row goes along as one value, so that its columns' names don't matter
     d = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     joined = scratch.save(ngram_join(docs, n, percent).where("component is not null").select("component", "doc_id", "text_key"), "joined")

@@ -30,6 +30,15 @@ def test_components_equal_union_find(spark, edges, chunk, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(want.items())
 
 
+def test_scratch_tables_have_few_files(spark):
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = max(spark.sparkContext.defaultParallelism, shuffled // 8)
+    wide = spark.range(0, 4000, numPartitions=8 * most)
+    got = c.Scratch(spark, "t", 1).save(wide, "few")
+    assert len(got.inputFiles()) == most and sorted(r.id for r in got.collect()) == list(range(4000))
+    assert len(c.Scratch(spark, "t", 1).save(spark.range(4, numPartitions=1), "one").inputFiles()) == 1
+
+
 def test_scratch_tables_are_written_and_dropped(spark):
     s = c.Scratch(spark, "t")
     df = s.save(spark.range(5), "five")
