@@ -4,12 +4,16 @@ Ratings join neighbours, sum or average by (user, candidate) while dropping cand
 already has (marker rows in the same aggregation), rank per user.
 What is joined goes to its user once, as short arrays (the neighbours of an item, the rows of a
 neighbour); candidates become rows only there, so neither the aggregation nor the ranking shuffles
-them. Users with many rows take flat joins and aggregations instead, each partial-aggregated or
+them. Beyond ``ROUND_ROWS`` candidates the users take turns, so that what one round sends is on disk at a time.
+Users with many rows take flat joins and aggregations instead, each partial-aggregated or
 partial-limited before its shuffle.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +21,12 @@ from recengine.operators.ratings import DEFAULT_UNIT, step_values
 from recengine.operators.similarity import cosine_neighbors, pair_partitions
 from recengine.operators.skew import DEFAULT_HOT_ROWS, hub_join, profile_keys, salted_join
 from recengine.operators.topk import top_k_per_group
-from recengine.session import reliable_checkpoint
+from recengine.session import in_rounds, reliable_checkpoint, saved
 
+#: Candidates whose users are served in one round (8 to 12 bytes each on their way to the user).
+ROUND_ROWS = 500_000_000
+#: Rows of a table that is read several times: more are saved, fewer checkpointed.
+SAVED_ROWS = 20_000_000
 SCORE_DIGITS = 9  # scores are ranked after rounding, so float summation order cannot reorder them
 
 
@@ -77,6 +85,20 @@ def _parts(df: DataFrame, user: str, hot: DataFrame | None) -> tuple[DataFrame,
     return df.join(keys, user, "left_anti"), df.join(keys, user, "left_semi")
 
 
+def rounds_of(rows: float) -> int:
+    return max(1, math.ceil(rows / ROUND_ROWS))
+
+
+def _turn(df: DataFrame, user: str, rounds: int, i: int) -> DataFrame:
+    """The rows of the users whose turn it is; a null user is one of them."""
+    return df if rounds <= 1 else df.where(F.pmod(F.xxhash64(user, F.lit(2)), F.lit(rounds)) == i)
+
+
+def _kept(df: DataFrame, rows: float) -> DataFrame:
+    """``df`` for several readers; ``rows``: a bound of its rows."""
+    return saved(df, "kept") if rows > SAVED_ROWS else reliable_checkpoint(df)
+
+
 def _rank(scores: DataFrame, user: str, item: str, n: int) -> DataFrame:
     ranked = top_k_per_group(scores, [user], [F.round("score", SCORE_DIGITS).desc()], n,
                              ties=[F.col(item).asc()], name="ranking")
@@ -100,19 +122,26 @@ def item_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
     if neighbors is not None:
         nb = nb.select(item, F.col(nb.columns[1]).alias("_nb"), "cos")
     if prof[user].hot is not None:
-        nb = reliable_checkpoint(nb)  # read by both parts
+        nb = _kept(nb, k_neighbors * prof[item].distinct)  # read by both parts
     usual, many = _parts(r.select(user, item, value), user, prof[user].hot)
     # each rating row meets at most k neighbours: the candidates are up to k * rows rows
     width = pair_partitions(r.sparkSession, k_neighbors * prof[item].rows)
+    rounds = rounds_of(k_neighbors * prof[item].rows)
     lists = nb.groupBy(item).agg(F.collect_list(F.struct("_nb", "cos")).alias("_l")).select(
         item, F.col("_l._nb").alias("_n"), F.col("_l.cos").alias("_c"))
-    met = salted_join(usual, lists, item, salt_cols=[user], how="left", hot=hot_items).repartition(width, user)
+    lists = lists if rounds <= 1 else saved(lists, "lists")
     kind = dict(r.dtypes)[item]
     theirs = F.transform(F.arrays_zip("_n", "_c"), lambda e: F.struct(
         e["_n"].cast(kind).alias(out_item), (e["_c"] * F.col(value) / F.lit(float(unit))).cast("double").alias("_s"), F.lit(0).alias("_t")))
     mark = F.array(F.struct(F.col(item).alias(out_item), F.lit(None).cast("double").alias("_s"), F.lit(1).alias("_t")))
-    rows = met.select(user, F.inline(F.concat(F.coalesce(theirs, F.filter(mark, lambda e: F.lit(False))), mark)))
-    out = _rank(_local_scores(rows, user, out_item, "sum"), user, out_item, n)
+
+    def served(i: int) -> DataFrame:
+        met = salted_join(_turn(usual, user, rounds, i), lists, item, salt_cols=[user], how="left", hot=hot_items)
+        met = met.repartition(max(1, math.ceil(width / rounds)), user)
+        rows = met.select(user, F.inline(F.concat(F.coalesce(theirs, F.filter(mark, lambda e: F.lit(False))), mark)))
+        return _rank(_local_scores(rows, user, out_item, "sum"), user, out_item, n)
+
+    out = in_rounds(r.sparkSession, rounds, served, "ranked")
     if many is None:
         return out
     cand = (salted_join(many, nb.select(item, "_nb", "cos"), item, salt_cols=[user], hot=hot_items, partitions=width)
@@ -141,18 +170,20 @@ def neighbor_rows(theirs: DataFrame, nb: DataFrame, user: str, item: str, hot_us
 
 
 def rows_by_user(theirs: DataFrame, nb: DataFrame, user: str, item: str, value: str, hot_users: DataFrame | None,
-                 hot_rows: int) -> DataFrame:
-    """What ``neighbor_rows`` gives, dealt by user, with the user's own rows: (user, cos, _own, item, value), own rows with
-    _own 1 and a null cos. ``theirs`` is (_nb, item, value), ``nb`` (user, _nb, cos).
+                 hot_rows: int, then: Callable[[DataFrame], DataFrame], edges: float = 0) -> DataFrame:
+    """``then`` of what ``neighbor_rows`` gives, dealt by user, with the user's own rows: (user, cos, _own, item, value), own rows with
+    _own 1 and a null cos. ``theirs`` is (_nb, item, value), ``nb`` (user, _nb, cos), ``edges`` a bound of its rows.
 
-    A neighbour's rows are an array (some arrays, for users with many rows) that goes to each user who has the neighbour.
+    A neighbour's rows are an array (some arrays, for users with many rows) that goes to each user who has the neighbour. ``then``
+    gets all rows of a user at once, but not all users: they may take turns.
     """
     spark = nb.sparkSession
-    nb = reliable_checkpoint(nb.select(user, "_nb", "cos"))
+    nb = _kept(nb.select(user, "_nb", "cos"), edges)
     degree = nb.groupBy("_nb").agg(F.count(F.lit(1)).alias("_d"))
     rows = theirs.groupBy("_nb").agg(F.count(F.lit(1)).alias("_r")).join(degree, "_nb", "left")
     made = rows.agg(F.sum((F.coalesce("_d", F.lit(0)) + 1).cast("double") * F.col("_r"))).first()[0] or 0.0
-    width = pair_partitions(spark, made)
+    rounds = rounds_of(made)
+    width = max(1, math.ceil(pair_partitions(spark, made) / rounds))
     hubs = degree.where(F.col("_d") >= hot_rows).select("_nb", F.ceil((F.col("_d") + 1) / hot_rows).cast("int").alias("_s"))
     hubs = None if hubs.isEmpty() else hubs
     own = nb.select(user).distinct().select(user, F.col(user).alias("_nb"), F.lit(None).cast("double").alias("cos"), F.lit(1).alias("_own"))
@@ -163,9 +194,14 @@ def rows_by_user(theirs: DataFrame, nb: DataFrame, user: str, item: str, value:
         part = F.pmod(F.xxhash64(item), F.coalesce("_s", F.lit(1)))
     lists = theirs.groupBy("_nb", part.alias("_p")).agg(F.collect_list(F.struct(F.col(item).alias("i"), F.col(value).alias("v"))).alias("_l"))
     lists = lists.select("_nb", F.col("_l.i").alias(item), F.col("_l.v").alias(value))
-    met = salted_join(edges, lists, "_nb", salt_cols=[user], hot=hubs)
-    met = met.select(user, "cos", "_own", item, value).repartition(width, user)
-    return met.select(user, "cos", "_own", F.inline(F.arrays_zip(item, value)))
+    lists = lists if rounds <= 1 else saved(lists, "lists")
+
+    def served(i: int) -> DataFrame:
+        met = salted_join(_turn(edges, user, rounds, i), lists, "_nb", salt_cols=[user], hot=hubs)
+        met = met.select(user, "cos", "_own", item, value).repartition(width, user)
+        return then(met.select(user, "cos", "_own", F.inline(F.arrays_zip(item, value))))
+
+    return in_rounds(spark, rounds, served, "served")
 
 
 def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user: str = "user_id",
@@ -188,12 +224,15 @@ def user_cf_recommend(r: DataFrame, *, k_neighbors: int = 12, n: int = 12, user:
         nb = nb.select(user, F.col(nb.columns[1]).alias("_nb"), "cos")
     theirs = r.select(F.col(user).alias("_nb"), F.col(item).alias(out_item), value)
     if hot_users is not None:
-        nb = reliable_checkpoint(nb)  # read by both parts
+        nb = _kept(nb, k_neighbors * prof[user].distinct)  # read by both parts
     usual, many = _parts(nb, user, hot_users)
     score = (F.col("cos") * F.col(value) / F.lit(float(unit))).cast("double").alias("_s")
-    rows = rows_by_user(theirs, usual, user, out_item, value, hot_users, hot_rows)
-    rows = rows.select(user, out_item, score, F.col("_own").alias("_t"))
-    out = _rank(_local_scores(rows, user, out_item, "avg"), user, out_item, n)
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        rows = rows.select(user, out_item, score, F.col("_own").alias("_t"))
+        return _rank(_local_scores(rows, user, out_item, "avg"), user, out_item, n)
+
+    out = rows_by_user(theirs, usual, user, out_item, value, hot_users, hot_rows, ranked, k_neighbors * prof[user].distinct)
     if many is None:
         return out
     cand = neighbor_rows(theirs, many.select(user, "_nb", "cos"), user, out_item, hot_users, hot_rows)
