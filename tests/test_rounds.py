@@ -1,0 +1,112 @@
+"""Work in rounds: equal results, and only one round's shuffle files on disk at a time."""
+
+import os
+import random
+from collections import Counter
+
+import pytest
+
+from recengine.operators import als, evaluate, pair_lists, recommend, similarity
+from recengine.plans import registry
+from recengine.session import free_unused, in_rounds, saved
+from recengine.sources import buckets
+
+
+def rows(df):
+    return Counter(tuple(round(v, 9) if isinstance(v, float) else v for v in x) for x in df.collect())
+
+
+@pytest.fixture()
+def ratings(spark):
+    rng = random.Random(3)
+    made = [(u, i, rng.randrange(1, 6) * 1.0) for u in range(60) for i in range(45) if rng.random() < (0.9 if u == 0 or i == 0 else 0.25)]
+    made += made[::19] + [(None, 1, 2.0), (None, 4, 3.0), (1, None, 3.0), (2, None, 1.0)]
+    return spark.createDataFrame([(u, i, x, int(x * 10_000)) for u, i, x in made], "user_id long, item_id long, rating double, x long")
+
+
+def shuffle_files(spark):
+    """Shuffle files that are on disk now."""
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for _, _, fs in os.walk(d) for f in fs if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 8])
+def test_lists_in_rounds_equal_those_at_once(spark, ratings, hot_rows, monkeypatch):
+    near = lambda k: rows(similarity.cosine_neighbors(ratings, k=k, product="listed", hot_rows=hot_rows))
+    whole, more = near(4), near(60)
+    turns, deal = [], pair_lists.in_rounds
+    monkeypatch.setattr(pair_lists, "in_rounds", lambda spark, n, part, tag: turns.append(n) or deal(spark, n, part, tag))
+    monkeypatch.setattr(pair_lists, "ROUND_ENTRIES", 3_000)
+    assert near(4) == whole and near(60) == more and whole
+    for piece, own, packed in ((7, 3, 50), (2048, 256, 40)):
+        monkeypatch.setattr(pair_lists, "PIECE", piece)
+        monkeypatch.setattr(pair_lists, "OWN", own)
+        monkeypatch.setattr(pair_lists, "PACK_ROWS", packed)
+        assert near(4) == whole
+    assert len(turns) == 4 and min(turns) > 2
+    halves = ratings.selectExpr("user_id", "item_id", "x / 3 as x")  # doubles
+    listed = lambda: rows(similarity.cosine_neighbors(halves, k=4, product="listed", digits=6, hot_rows=hot_rows))
+    parts = listed()
+    monkeypatch.setattr(pair_lists, "ROUND_ENTRIES", 10 ** 9)
+    assert parts == listed()
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 20])
+def test_users_in_rounds_get_the_same(spark, ratings, hot_rows, monkeypatch):
+    def served():
+        return [rows(recommend.item_cf_recommend(ratings, k_neighbors=4, n=5, hot_rows=hot_rows)),
+                rows(recommend.user_cf_recommend(ratings, k_neighbors=4, n=5, hot_rows=hot_rows)),
+                rows(evaluate.user_cf_predictions(ratings, k=4, hot_rows=hot_rows, meet="joined"))]
+
+    whole = served()
+    monkeypatch.setattr(recommend, "ROUND_ROWS", 500)
+    monkeypatch.setattr(recommend, "SAVED_ROWS", 10)
+    assert served() == whole and all(whole)
+
+
+def test_tables_in_rounds_give_the_same_and_drop_their_scores(spark, ratings, monkeypatch):
+    nb = similarity.cosine_neighbors(ratings, k=4, neighbor="item_v").where("item_id is not null and item_v is not null").persist()
+    whole = rows(buckets.item_cf_from_tables(ratings, nb, n=5, buckets=6))
+    before = {t.name for t in spark.catalog.listTables() if t.name.startswith("scores_by_pair")}
+    dropped = []
+    monkeypatch.setattr(buckets, "drop_path", lambda spark, path: dropped.append(path))
+    monkeypatch.setattr(buckets, "ROUND_SCORES", 500)
+    assert rows(buckets.item_cf_from_tables(ratings, nb, n=5, buckets=6)) == whole and whole
+    assert len(dropped) > 2 and {t.name for t in spark.catalog.listTables() if t.name.startswith("scores_by_pair")} == before
+
+
+def test_a_round_leaves_no_shuffle_files(spark, ratings):
+    free_unused(spark)
+    before, most = shuffle_files(spark), []
+
+    def part(i):
+        most.append(len(shuffle_files(spark) - before))
+        return ratings.where(f"item_id % 5 = {i}").repartition(7, "user_id").groupBy("user_id").count()
+
+    out = in_rounds(spark, 5, part, "test")
+    assert most == [0] * 5 and out.count() > 100
+    assert saved(ratings, "test").schema == ratings.schema and rows(saved(ratings, "test")) == rows(ratings)
+
+
+def test_ratings_of_large_tables_are_saved(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    plain = rows(registry._ratings(spark, sf, persist=False))
+    monkeypatch.setattr(registry, "task_width", lambda df: 5)
+    r = registry._ratings(spark, sf)
+    assert r.inputFiles() and not r.storageLevel.useMemory and rows(r) == plain
+
+
+def test_large_als_keeps_its_blocks_on_disk_and_the_model(spark, ratings, monkeypatch):
+    known = ratings.where("user_id is not null and item_id is not null")
+    fits, estimator = [], als.als_estimator
+    monkeypatch.setattr(als, "als_estimator", lambda *a, **kw: fits.append(estimator(*a, **kw)) or fits[-1])
+    search = lambda: [tuple(x) for x in als.als_grid_search(known, regs=(0.1, 0.01), iters=4).collect()]
+    whole = search()
+    monkeypatch.setattr(als, "HELD_ROWS", 1)
+    large = search()
+    assert [x[:3] for x in large] == [x[:3] for x in whole]
+    assert [x[3] for x in large] == pytest.approx([x[3] for x in whole], rel=1e-4)
+    assert [f.getIntermediateStorageLevel() for f in fits] == ["MEMORY_AND_DISK"] * 2 + ["DISK_ONLY"] * 2
+    monkeypatch.setattr(als, "BLOCK_ROWS", 60)
+    search()
+    assert fits[-1].getNumUserBlocks() > 4 == fits[0].getNumUserBlocks()
