@@ -92,6 +92,7 @@ def test_ratings_of_large_tables_are_saved(spark, monkeypatch):
     sf = "/root/testdata/sf0.001"
     plain = rows(registry._ratings(spark, sf, persist=False))
     monkeypatch.setattr(registry, "task_width", lambda df: 5)
+    monkeypatch.setattr(registry, "_RATINGS", {})  # other tests may have persisted them
     r = registry._ratings(spark, sf)
     assert r.inputFiles() and not r.storageLevel.useMemory and rows(r) == plain
 
